@@ -1,10 +1,729 @@
-"""Queries by name, each with the SQL that gives the same rows."""
+"""Queries by name, each with the SQL that gives the same rows where SQL can express it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagloom.functions import fixed
+from tagloom.functions import text as T
+from tagloom.operators import decide, match, pool, report, review, store
+from tagloom.plans import inputs as I
+from tagloom.sources import catalogue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- SQL spellings of the text layer, for the other side of the comparison -------------------------------
+CJK = r"\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}"
+q = lambda words: "(" + ", ".join(map(I.literal, words)) + ")"
+
+
+def s_blank(x: str) -> str:
+    return f"({x} IS NULL OR trim({x}) IN ('', 'nan', 'None', '<NA>'))"
+
+
+def s_clean(x: str) -> str:
+    out = f"trim(coalesce({x}, ''))"
+    for w in fixed.NOISE_WORDS:
+        out = f"replace({out}, '{w}', ' ')"
+    return f"CASE WHEN {s_blank(x)} THEN '' ELSE trim(regexp_replace({out}, '[\\s\\x{{3000}}]+', ' ', 'g')) END"
+
+
+def s_norm(x: str) -> str:
+    return f"regexp_replace(regexp_replace(lower(CASE WHEN {s_blank(x)} THEN '' ELSE {x} END), '[’''`]', '', 'g'), '[^\\p{{L}}\\p{{N}}{CJK}]', '', 'g')"
+
+
+def s_lat(x: str) -> str:
+    return f"regexp_replace({x}, '[^a-z0-9]', '', 'g')"
+
+
+def s_cjk(x: str) -> str:
+    return f"regexp_replace({x}, '[^{CJK}]', '', 'g')"
+
+
+def s_tokens(x: str) -> str:
+    return f"list_sort(list_distinct(list_filter(regexp_extract_all(regexp_replace(lower(coalesce({x}, '')), '[’'']', '', 'g'), '[a-z0-9]+'), lambda t: length(t) >= 4 AND t NOT IN {q(fixed.STOP_TOKENS)})))"
+
+
+def s_bracket(x: str) -> str:
+    found = f"regexp_extract_all(CASE WHEN {s_blank(x)} THEN '' ELSE {x} END, '【[^】]*】|\\[[^\\]]*\\]')"
+    cleaned = f"list_filter(list_transform({found}, lambda b: {s_clean('substr(b, 2, length(b) - 2)')}), lambda b: b <> '')"
+    return f"coalesce({cleaned}[1], '')"
+
+
+def s_bracket_rows(source: str, x: str) -> str:
+    """The source with `bracket`: prefixes are stripped one after the other."""
+    out = f"(SELECT *, {s_bracket(x)} AS b0 FROM {source})"
+    for k, p in enumerate(fixed.ORIGIN_PREFIXES):
+        out = f"(SELECT *, CASE WHEN starts_with(b{k}, '{p}') AND length(b{k}) > {len(p)} THEN substr(b{k}, {len(p) + 1}) ELSE b{k} END AS b{k + 1} FROM {out})"
+    return f"(SELECT *, trim(b{len(fixed.ORIGIN_PREFIXES)}) AS bracket FROM {out})"
+
+
+def s_why(raw: str) -> str:
+    """raw: cleaned text."""
+    n = s_norm(raw)
+    category = f"list_filter({list(fixed.CATEGORY_WORDS)!r}, lambda w: contains({raw}, w))[1]"
+    return f"""CASE WHEN {raw} = '' THEN '空白' WHEN {n} = '' THEN '沒有可辨識的文字'
+      WHEN {n} IN {q(fixed.NOT_BRAND_WORDS)} OR lower({raw}) IN {q(fixed.NOT_BRAND_WORDS)} THEN '通用詞，非特定品牌'
+      WHEN regexp_matches({raw}, '{fixed.PROMOTION}') THEN '促銷或販售描述，非品牌證據' WHEN regexp_matches({n}, '^\\p{{Nd}}+$') THEN '純數字'
+      WHEN {category} IS NOT NULL THEN '含品類詞「' || {category} || '」，屬商品描述' WHEN regexp_matches({raw}, '{fixed.SPECIFICATION}') THEN '含規格或數量，屬商品描述'
+      WHEN {s_cjk(n)} = '' AND length({n}) <= 1 THEN '過短' WHEN length({n}) > 25 THEN '過長，不像品牌名' END"""
+
+
+def s_generic(x: str) -> str:
+    return f"({x} = '' OR regexp_matches({x}, '{'|'.join(fixed.GENERIC_WORDS)}') OR length({s_norm(x)}) > 14)"
+
+
+def s_host(n: str) -> str:
+    return f"({n} IN {q(fixed.HOST_NAMES)} OR regexp_full_match({n}, '{fixed.HOST_FAMILY}'))"
+
+
+def s_compat(x: str) -> str:
+    return f"regexp_matches(coalesce({x}, ''), '{fixed.COMPATIBLE}', 'i')"
+
+
+def s_access(x: str) -> str:
+    return f"regexp_matches(coalesce({x}, ''), '{fixed.ACCESSORY}', 'i')"
+
+
+def s_key(source: str, brand: str, title: str, item: str) -> str:
+    """The source with bracket and key."""
+    rows = s_bracket_rows(source, title)
+    name = s_norm(s_clean(brand))
+    host = s_host(s_norm(f"(CASE WHEN coalesce({brand}, '') <> '' THEN {brand} ELSE bracket END)"))
+    return f"""(SELECT *, CASE WHEN {host} AND {s_access(title)} THEN 'I:' || {item} WHEN {name} <> '' THEN 'B:' || {name}
+      WHEN bracket <> '' AND ({s_why(s_clean('bracket'))}) IS NULL AND NOT {s_generic('bracket')} THEN 'T:' || {s_norm('bracket')} ELSE 'I:' || {item} END AS key FROM {rows})"""
+
+
+def s_band(x: str) -> str:
+    return "CASE " + " ".join(f"WHEN {x} >= {low} THEN '{label}'" for low, label in fixed.BANDS) + f" ELSE '{fixed.BANDS[-1][1]}' END"
+
+
+def s_type(x: str) -> str:
+    return f"CASE WHEN {x} IN ('{I.NONE}', '{I.NEW}') THEN {x} ELSE '{I.POOL}' END"
+
+
+ITEMS, RESULTS, LOG, RUNS = (I.sql(*x) for x in (("part", I.ITEMS), ("part", I.RESULTS), ("events", I.LOG), ("orders", I.RUNS)))
+V = I.TEXTS.sql
+items = lambda s, d: I.derived(s, d, "part", I.ITEMS)
+results = lambda s, d: I.derived(s, d, "part", I.RESULTS)
+log = lambda s, d: I.derived(s, d, "events", I.LOG)
+runs = lambda s, d: I.derived(s, d, "orders", I.RUNS)
+
+
+def index(spark: SparkSession) -> pool.Index:
+    return pool.build_index(I.BRANDS.df(spark), I.ALIASES.df(spark), I.LINKS.df(spark))
+
+
+# --- Text functions ---------------------------------------------------------------------------------------
+@query(f"SELECT case_id AS id, {s_clean('s')} AS clean FROM {V}")
+def text_clean(spark, sf_dir):
+    return I.TEXTS.df(spark).select(F.col("case_id").alias("id"), T.clean_raw(F.col("s")).alias("clean"))
+
+
+@query(f"SELECT item_id, {s_norm('title')} AS normal FROM {ITEMS}")
+def text_normalize(spark, sf_dir):
+    return items(spark, sf_dir).select("item_id", T.normalize(F.col("title")).alias("normal"))
+
+
+@query(f"WITH n AS (SELECT case_id, {s_norm('s')} AS n FROM {V}) SELECT case_id, n AS full_text, {s_lat('n')} AS lat, {s_cjk('n')} AS cjk FROM n")
+def text_parts(spark, sf_dir):
+    n = F.col("full_text")
+    return I.TEXTS.df(spark).select("case_id", T.normalize(F.col("s")).alias("full_text")).select("case_id", n, T.latin_part(n).alias("lat"), T.cjk_part(n).alias("cjk"))
+
+
+@query(f"SELECT case_id AS id, array_to_string({s_tokens('s')}, ' ') AS tokens FROM {V} UNION ALL SELECT CAST(doc_id AS INT) + 1000, array_to_string({s_tokens('text')}, ' ') FROM documents WHERE lang = 'en'")
+def text_tokens(spark, sf_dir):
+    one = I.TEXTS.df(spark).select(F.col("case_id").alias("id"), "s")
+    two = I.table(spark, sf_dir, "documents").where("lang = 'en'").select((F.col("doc_id") + 1000).cast("int").alias("id"), F.col("text").alias("s"))
+    return one.unionByName(two).select("id", F.array_join(F.sort_array(T.latin_tokens(F.col("s"))), " ").alias("tokens"))
+
+
+@query(f"SELECT case_id, regexp_replace(replace(lower({s_clean('s')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface FROM {V}")
+def text_surface_key(spark, sf_dir):
+    return I.TEXTS.df(spark).select("case_id", T.surface_key(F.col("s")).alias("surface"))
+
+
+@query(rf"SELECT case_id, regexp_full_match({s_clean('s')}, '[^\x{{3400}}-\x{{9FFF}}]*[A-Za-z0-9][^\x{{3400}}-\x{{9FFF}}]*\s+[\x{{3400}}-\x{{9FFF}}].*') OR regexp_full_match({s_clean('s')}, '[\x{{3400}}-\x{{9FFF}}][^A-Za-z]*\s+[A-Za-z].*') AS bilingual FROM {V}")
+def text_bilingual(spark, sf_dir):
+    return I.TEXTS.df(spark).select("case_id", T.is_bilingual(T.clean_raw(F.col("s"))).alias("bilingual"))
+
+
+@query(f"SELECT case_id, bracket FROM {s_bracket_rows(V, 's')}")
+def text_bracket(spark, sf_dir):
+    return I.TEXTS.df(spark).select("case_id", T.extract_bracket(F.col("s")).alias("bracket"))
+
+
+@query(f"WITH c AS (SELECT case_id, {s_clean('s')} AS c FROM {V}) SELECT case_id, {s_generic('c')} AS generic, (length({s_cjk('c')}) = 0 AND length(c) >= 5) OR length({s_cjk('c')}) >= 3 AS long_enough FROM c")
+def text_generic(spark, sf_dir):
+    return I.TEXTS.df(spark).select("case_id", T.clean_raw(F.col("s")).alias("c")).select("case_id", T.is_generic(F.col("c")).alias("generic"), T.long_enough(F.col("c")).alias("long_enough"))
+
+
+@query(f"WITH c AS (SELECT CAST(case_id AS VARCHAR) AS id, {s_clean('s')} AS c FROM {V} UNION ALL SELECT s_name, {s_clean('s_name')} FROM supplier UNION ALL SELECT item_id, {s_clean('brand')} FROM {ITEMS}) SELECT id, {s_why('c')} AS why FROM c")
+def brand_plausibility(spark, sf_dir):
+    one = I.TEXTS.df(spark).select(F.col("case_id").cast("string").alias("id"), "s")
+    two = I.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("id"), F.col("s_name").alias("s"))
+    three = items(spark, sf_dir).select(F.col("item_id").alias("id"), F.col("brand").alias("s"))
+    return one.unionByName(two).unionByName(three).select("id", T.why_not_brand(F.col("s")).alias("why"))
+
+
+@query(f"SELECT CAST(case_id AS VARCHAR) AS id, {s_compat('s')} AS compatible, {s_access('s')} AS accessory FROM {V} UNION ALL SELECT item_id, {s_compat('brand')}, {s_access('title')} FROM {ITEMS}")
+def compat_accessory_flags(spark, sf_dir):
+    one = I.TEXTS.df(spark).select(F.col("case_id").cast("string").alias("id"), T.compatible(F.col("s")).alias("compatible"), T.accessory(F.col("s")).alias("accessory"))
+    return one.unionByName(items(spark, sf_dir).select(F.col("item_id").alias("id"), T.compatible(F.col("brand")).alias("compatible"), T.accessory(F.col("title")).alias("accessory")))
+
+
+@query(f"WITH n AS (SELECT case_id, {s_norm('s')} AS n FROM {V}) SELECT case_id, {s_host('n')} AS host FROM n")
+def host_platform_flags(spark, sf_dir):
+    return I.TEXTS.df(spark).select("case_id", T.host_brand(F.col("s")).alias("host"))
+
+
+_MIXED = f"(SELECT item_id, brand, title FROM {ITEMS} UNION ALL SELECT 'v' || case_id, NULL, s FROM {V} UNION ALL SELECT 'w' || case_id, s, s FROM {V})"
+
+
+def _mixed(spark, sf_dir):
+    v = I.TEXTS.df(spark)
+    return items(spark, sf_dir).select("item_id", "brand", "title").unionByName(v.select(F.concat(F.lit("v"), "case_id").alias("item_id"), F.lit(None).cast("string").alias("brand"), F.col("s").alias("title"))).unionByName(v.select(F.concat(F.lit("w"), "case_id").alias("item_id"), F.col("s").alias("brand"), F.col("s").alias("title")))
+
+
+@query(f"SELECT item_id, key FROM {s_key(_MIXED, 'brand', 'title', 'item_id')}")
+def brand_key_assign(spark, sf_dir):
+    return _mixed(spark, sf_dir).select("item_id", T.brand_key(F.col("brand"), F.col("title"), F.col("item_id")).alias("key"))
+
+
+@query()
+def similarity_ratio(spark, sf_dir):
+    names = I.table(spark, sf_dir, "part").select(F.col("p_name").alias("a")).distinct().withColumn("c", F.substring("a", 1, 1))
+    pairs = names.join(names.withColumnRenamed("a", "b"), "c").where("a < b")
+    return pairs.select("a", "b", F.round(T.indel_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
+
+
+@query(f"SELECT log_id, substr(sha1(scope || '|' || rule_key || '|' || decision || '|' || coalesce(CASE WHEN brand_id <> 0 THEN CAST(brand_id AS VARCHAR) END, '') || '|' || brand_name || '|' || nobrand_reason || '|' || note), 1, 16) AS fp FROM {LOG}")
+def fingerprint(spark, sf_dir):
+    return log(spark, sf_dir).select("log_id", store.entry_fingerprint().alias("fp"))
+
+
+@query(f"SELECT event_id, {s_band('value')} AS band, CAST(least(greatest(round_even(value, 0), 0), 100) AS INT) AS confidence FROM events")
+def confidence_bands(spark, sf_dir):
+    return I.table(spark, sf_dir, "events").select("event_id", T.band(F.col("value")).alias("band"), T.clamp_confidence(F.col("value")).alias("confidence"))
+
+
+# --- Sources and sinks -------------------------------------------------------------------------------------
+_LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query(f"""WITH j AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY {', '.join(_LINE)}) AS rn, count(*) OVER (PARTITION BY p_partkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_type AS l1, p_brand AS brand, p_name AS title, CASE WHEN l_linenumber = 0 THEN '' ELSE CAST(l_linenumber AS VARCHAR) END AS price, n AS sku_count FROM j WHERE rn = 1""")
+def sku_to_item(spark, sf_dir):
+    rows = I.table(spark, sf_dir, "lineitem").join(I.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select(F.to_json(F.struct("p_partkey", "p_type", "p_brand", "p_name", "l_linenumber")).alias("payload"), F.struct(*_LINE).alias("o"))
+    skus = catalogue.read_sku_json(rows, {"item_id": "p_partkey", "l1": "p_type", "brand": "p_brand", "title": "p_name", "price": "l_linenumber"}, pos=F.col("o"))
+    return catalogue.items_from_skus(skus).select("item_id", "l1", "brand", "title", "price", "sku_count")
+
+
+@query(f"SELECT l1, min(cluster) AS cluster, count(*) AS goods, CAST(sum(sku_count) AS BIGINT) AS skus FROM {ITEMS} GROUP BY l1")
+def category_listing(spark, sf_dir):
+    return catalogue.list_categories(items(spark, sf_dir))
+
+
+@query(f"SELECT * FROM {ITEMS} WHERE l1 = 'PROMO'")
+def category_scan(spark, sf_dir):
+    return catalogue.scan_category(items(spark, sf_dir), "PROMO")
+
+
+_RAW_POOL = I.Values({"pos": "BIGINT", "brand_id": "VARCHAR", "brand_name": "VARCHAR", "category": "VARCHAR", "adg": "VARCHAR"}, [(1, "1", " A ", "x", "1,234.5"), (2, "2.0", "B", None, "bad"), (3, "x", "C", "y", "1"), (4, "1", "D", "z", "2"), (5, None, "E", "z", "2"), (6, "7", "F", "", "12,000,000")])
+
+
+@query(f"SELECT CAST(TRY_CAST(brand_id AS DOUBLE) AS BIGINT) AS brand_id, trim(brand_name) AS name, coalesce(category, '') AS category, coalesce(TRY_CAST(replace(adg, ',', '') AS DOUBLE), 0) AS adg FROM {_RAW_POOL.sql} WHERE TRY_CAST(brand_id AS DOUBLE) IS NOT NULL QUALIFY row_number() OVER (PARTITION BY TRY_CAST(brand_id AS DOUBLE) ORDER BY pos) = 1")
+def pool_typed(spark, sf_dir):
+    return pool.typed_pool(_RAW_POOL.df(spark))
+
+
+_CURATED = I.Values({"alias_text": "VARCHAR", "brand_id": "BIGINT"}, [("綠鐘 GB", 1), ("莉婕", 15), ("無此", 500), (" ", 3), ("Kate!", 4)])
+
+
+@query(f"WITH a AS (SELECT *, {s_norm('alias_text')} AS alias FROM {_CURATED.sql}) SELECT alias_text, brand_id, alias, true AS valid FROM a WHERE brand_id IN (SELECT brand_id FROM {I.BRANDS.sql}) AND alias <> '' UNION ALL SELECT alias_text, brand_id, alias, false FROM a WHERE brand_id NOT IN (SELECT brand_id FROM {I.BRANDS.sql})")
+def alias_curation_split(spark, sf_dir):
+    good, bad = catalogue.curated_aliases(_CURATED.df(spark), I.BRANDS.df(spark))
+    return good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False)))
+
+
+_EXPORT = f"""SELECT i.item_id, i.cluster, i.l1, i.l2, i.l3, i.brand, i.title, candidate1, candidate2, candidate3, CASE WHEN suggested_name = '{I.NEW}' AND new_name <> '' THEN new_name ELSE suggested_name END AS tagged_brand, confidence,
+CASE WHEN confidence < 75 OR suggested_name = '{I.NEW}' THEN '是' ELSE '否' END AS needs_human, path FROM {ITEMS} AS i JOIN {RESULTS} AS r ON i.item_id = r.item_id"""
+
+
+@query(f"{_EXPORT} WHERE r.level1 IN ('PROMO', 'SMALL')")
+def export_items(spark, sf_dir):
+    return catalogue.export_items(items(spark, sf_dir), results(spark, sf_dir), ["PROMO", "SMALL"])
+
+
+@query(f"SELECT CASE WHEN row_number() OVER (ORDER BY item_id) <= count(*) OVER () // 2 THEN 1 ELSE 2 END AS half, item_id, cluster, l1, l2, l3, brand, title, tagged_brand, confidence, needs_human, split_part(path, ' ', 1) AS path_code FROM ({_EXPORT})")
+def export_slim(spark, sf_dir):
+    return catalogue.slim_export(catalogue.export_items(items(spark, sf_dir), results(spark, sf_dir)))
+
+
+# --- Brand index ---------------------------------------------------------------------------------------------
+_PARTS = f"(SELECT *, {s_lat('full_')} AS lat, {s_cjk('full_')} AS cjk FROM (SELECT *, {s_norm('name')} AS full_, regexp_replace(replace(lower({s_clean('name')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface FROM {I.BRANDS.sql}))"
+_REAL = f"(SELECT * FROM {_PARTS} WHERE brand_id NOT IN (0, 99999999))"
+_NATURAL = f"(SELECT DISTINCT key, brand_id FROM (SELECT unnest([full_, lat, cjk]) AS key, brand_id, full_ FROM {_REAL}) WHERE length(key) >= 2 OR (key <> '' AND key = full_))"
+_KEYS = f"""(SELECT key, brand_id, bool_or(source = 'human') AS human, bool_or(source = 'curated') AS curated, bool_or(source = 'auto') AND NOT bool_or(source = 'natural') AS auto, bool_or(source = 'natural') AS "natural"
+FROM (SELECT key, brand_id, 'natural' AS source FROM {_NATURAL} UNION ALL SELECT alias, brand_id, source FROM {I.ALIASES.sql} WHERE brand_id IN (SELECT brand_id FROM {_REAL})) GROUP BY key, brand_id)"""
+_LONG = f"(SELECT * FROM {_KEYS} WHERE ((length({s_cjk('key')}) = 0 AND length(key) >= 5) OR length({s_cjk('key')}) >= 3) AND key NOT IN {q([*fixed.GENERIC_KEYS, *fixed.STOP_TOKENS])})"
+_Q = f"(SELECT *, {s_lat('full_')} AS lat, {s_cjk('full_')} AS cjk FROM (SELECT DISTINCT s, {s_norm('s')} AS full_, regexp_replace(replace(lower({s_clean('s')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface, {s_clean('s')} AS clean FROM {V}) WHERE full_ <> '')"
+
+
+def _parts(spark):
+    return pool.with_parts(I.BRANDS.df(spark))
+
+
+@query(f"SELECT * FROM {_KEYS}")
+def pool_key_index(spark, sf_dir):
+    return pool.key_index(_parts(spark), I.ALIASES.df(spark))
+
+
+@query(f"SELECT unnest({s_tokens('name')}) AS token, brand_id FROM {_REAL}")
+def pool_token_index(spark, sf_dir):
+    return pool.token_index(_parts(spark))
+
+
+@query(f"SELECT substr(cjk, 1, 2) AS bucket, cjk, brand_id FROM {_REAL} WHERE length(cjk) >= 3")
+def pool_prefix_bucket(spark, sf_dir):
+    return pool.prefix_buckets(_parts(spark))
+
+
+@query(f"WITH l AS (SELECT * FROM {I.LINKS.sql} WHERE brand_id_a <> brand_id_b AND brand_id_a IN (SELECT brand_id FROM {_PARTS}) AND brand_id_b IN (SELECT brand_id FROM {_PARTS})) SELECT brand_id_a AS brand_id, brand_id_b AS peer FROM l UNION SELECT brand_id_b, brand_id_a FROM l")
+def pool_entity_links(spark, sf_dir):
+    return pool.entity_links(_parts(spark), I.LINKS.df(spark))
+
+
+_TYPED = I.Values({"typed": "VARCHAR"}, [("KATE 凱婷 [4]",), ("13",), ("13.0",), ("555",), ("sony",), ("H&H",), ("nothing",), ("Liese",)])
+
+
+@query(f"""WITH t AS (SELECT typed, CASE WHEN regexp_matches(trim(typed), '\\[(\\d+)\\]\\s*$') THEN regexp_extract(trim(typed), '\\[(\\d+)\\]\\s*$', 1) ELSE trim(typed) END AS t FROM {_TYPED.sql}),
+n AS (SELECT *, CASE WHEN regexp_full_match(t, '\\d+(\\.0)?') THEN CAST(CAST(t AS DOUBLE) AS BIGINT) END AS id FROM t),
+f AS (SELECT n.*, (SELECT count(*) FROM {_PARTS} WHERE brand_id = id) AS known, (SELECT list_sort(list(brand_id)) FROM {_PARTS} WHERE id IS NULL AND full_ = {s_norm('t')}) AS ids FROM n)
+SELECT typed, CASE WHEN id IS NOT NULL THEN CASE WHEN known > 0 THEN id END WHEN len(ids) = 1 THEN ids[1] END AS brand_id,
+CASE WHEN id IS NOT NULL AND known = 0 THEN 'brand_id ' || id || ' 不在品牌庫' WHEN id IS NULL AND coalesce(len(ids), 0) > 1 THEN '「' || t || '」在品牌庫有多筆 (' || array_to_string(ids, ', ') || ')，請改填 brand_id'
+WHEN id IS NULL AND coalesce(len(ids), 0) < 1 THEN '品牌庫找不到「' || t || '」（品牌庫沒有的品牌請選：{I.NEW}）' END AS error FROM f""")
+def resolve_input(spark, sf_dir):
+    return pool.resolve_input(_TYPED.df(spark), _parts(spark))
+
+
+# --- Candidates -----------------------------------------------------------------------------------------------
+def _texts(spark):
+    return match.with_query_parts(I.TEXTS.df(spark).where("s is not null"))
+
+
+def _short(df):
+    return df.select("s", "brand_id", "score", "via", "alias")
+
+
+@query(f"""WITH q AS (SELECT * FROM {_Q}), c1 AS (SELECT q.s, q.full_, p.brand_id FROM q JOIN {_PARTS} AS p ON q.surface = p.surface),
+l AS (SELECT brand_id_a AS a, brand_id_b AS b FROM {I.LINKS.sql} WHERE brand_id_a IN (SELECT brand_id FROM {_PARTS}) AND brand_id_b IN (SELECT brand_id FROM {_PARTS}) AND brand_id_a <> brand_id_b), peers AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT q.s, q.full_, k.brand_id, p.full_ = q.full_ OR human OR curated AS whole FROM q JOIN {_KEYS} AS k ON k.key = q.full_ JOIN {_PARTS} AS p ON p.brand_id = k.brand_id WHERE q.s NOT IN (SELECT s FROM c1))
+SELECT s, brand_id, 100.0::DOUBLE AS score, 'surface' AS via, full_ AS alias FROM c1 UNION ALL SELECT DISTINCT s, b, 100.0::DOUBLE, 'entity', full_ FROM c1 JOIN peers ON a = brand_id
+UNION ALL SELECT s, brand_id, CASE WHEN whole THEN 100.0::DOUBLE ELSE 95.0::DOUBLE END, CASE WHEN whole THEN 'full' WHEN regexp_matches(full_, '[{CJK}]') THEN 'cjk' ELSE 'lat' END, full_ FROM r""")
+def match_exact(spark, sf_dir):
+    return _short(match.exact_candidates(_texts(spark), index(spark)))
+
+
+@query(f"""WITH q AS (SELECT *, regexp_full_match(clean, '[^\\x{{3400}}-\\x{{9FFF}}]*[A-Za-z0-9][^\\x{{3400}}-\\x{{9FFF}}]*\\s+[\\x{{3400}}-\\x{{9FFF}}].*') OR regexp_full_match(clean, '[\\x{{3400}}-\\x{{9FFF}}][^A-Za-z]*\\s+[A-Za-z].*') AS bil FROM {_Q}),
+hl AS (SELECT q.*, k.brand_id, k.auto FROM q JOIN {_KEYS} AS k ON k.key = q.lat WHERE length(lat) >= 2 AND lat <> full_), hc AS (SELECT q.*, k.brand_id, k.auto FROM q JOIN {_KEYS} AS k ON k.key = q.cjk WHERE length(cjk) >= 2 AND cjk <> full_),
+b AS (SELECT hl.s, hl.brand_id, hl.full_ FROM hl JOIN hc ON hl.s = hc.s AND hl.brand_id = hc.brand_id WHERE NOT hl.auto AND NOT hc.auto)
+SELECT s, brand_id, 100.0::DOUBLE AS score, 'full' AS via, full_ AS alias FROM b
+UNION ALL SELECT s, brand_id, CASE WHEN length(lat) <= 3 AND cjk <> '' AND NOT bil THEN 70.0::DOUBLE WHEN length(lat) <= 2 AND cjk <> '' THEN 85.0::DOUBLE ELSE 95.0::DOUBLE END, 'lat', lat FROM hl WHERE (s, brand_id) NOT IN (SELECT (s, brand_id) FROM b)
+UNION ALL SELECT s, brand_id, CASE WHEN length(cjk) <= 2 AND length(lat) >= 4 AND NOT bil THEN 70.0::DOUBLE ELSE 95.0::DOUBLE END, 'cjk', cjk FROM hc WHERE (s, brand_id) NOT IN (SELECT (s, brand_id) FROM b)""")
+def match_parts(spark, sf_dir):
+    return _short(match.part_candidates(_texts(spark), index(spark)))
+
+
+@query(f"""WITH w AS (SELECT s, full_, {s_norm('word')} AS word FROM (SELECT s, full_, unnest(regexp_split_to_array(clean, '[\\s/|｜]+')) AS word FROM {_Q} WHERE len(regexp_split_to_array(clean, '[\\s/|｜]+')) > 1))
+SELECT w.s, k.brand_id, 85.0::DOUBLE AS score, 'word' AS via, w.word AS alias FROM w JOIN {_KEYS} AS k ON k.key = w.word JOIN {_PARTS} AS p ON p.brand_id = k.brand_id
+WHERE word <> '' AND word <> w.full_ AND word NOT IN {q([*fixed.STOP_TOKENS, *fixed.GENERIC_KEYS])} AND (length(word) >= 3 OR (length(word) >= 2 AND regexp_matches(word, '[{CJK}]'))) AND word IN (p.full_, p.lat, p.cjk)""")
+def match_word(spark, sf_dir):
+    return _short(match.word_candidates(_texts(spark), index(spark)))
+
+
+@query(f"WITH t AS (SELECT s, unnest({s_tokens('s')}) AS token FROM {_Q}), p AS (SELECT unnest({s_tokens('name')}) AS token, brand_id FROM {_REAL}) SELECT s, brand_id, 65.0::DOUBLE AS score, 'tok' AS via, t.token AS alias FROM t JOIN p ON t.token = p.token")
+def match_token(spark, sf_dir):
+    return _short(match.token_candidates(_texts(spark), index(spark)))
+
+
+@query(f"SELECT DISTINCT s, brand_id, 75.0::DOUBLE AS score, 'sub' AS via, key AS alias FROM {_Q} JOIN {_LONG} ON contains(full_, key) AND key <> full_ AND length(key) BETWEEN 3 AND 25")
+def match_substring(spark, sf_dir):
+    return _short(match.substring_candidates(_texts(spark), index(spark))).distinct()
+
+
+@query(f"""WITH q AS (SELECT * FROM {_Q} WHERE length(cjk) >= 2 AND cjk NOT IN (SELECT key FROM {_KEYS})), h AS (SELECT q.s, q.cjk, p.brand_id, substr(p.cjk, length(q.cjk) + 1) AS tail, count(*) OVER (PARTITION BY q.s) AS n FROM q JOIN {_REAL} AS p ON length(p.cjk) >= 3 AND p.cjk <> q.cjk AND starts_with(p.cjk, q.cjk))
+SELECT s, brand_id, CASE WHEN n = 1 AND (tail IN {q(fixed.CORPORATE_SUFFIXES)} OR length(tail) <= 2) THEN 95.0::DOUBLE WHEN tail IN {q(fixed.CORPORATE_SUFFIXES)} THEN 85.0::DOUBLE ELSE 82.0::DOUBLE END AS score, 'cjkpre' AS via, cjk AS alias
+FROM h WHERE n <= CASE WHEN length(cjk) = 2 THEN 2 ELSE 3 END AND (length(cjk) > 2 OR tail IN {q(fixed.CORPORATE_SUFFIXES)})""")
+def match_prefix(spark, sf_dir):
+    return _short(match.prefix_candidates(_texts(spark), index(spark)))
+
+
+@query()
+def match_fuzzy(spark, sf_dir):
+    probes = I.table(spark, sf_dir, "part").select(F.concat(F.substring("p_name", 1, 5), F.lit("x"), F.expr("substring(p_name, 7)")).alias("probe"))
+    return match.similar_keys(probes.select(F.regexp_replace("probe", " ", "").alias("probe")), I.table(spark, sf_dir, "part").select(F.regexp_replace("p_name", " ", "").alias("key")), T.indel_ratio_batch, 80)
+
+
+@query(f"""WITH t AS (SELECT DISTINCT title AS s, {s_norm('title')} AS n FROM {ITEMS} UNION SELECT s, {s_norm('s')} FROM {V} WHERE s IS NOT NULL), h AS (SELECT DISTINCT s, brand_id, key FROM t JOIN {_LONG} ON contains(n, key) AND length(key) BETWEEN 3 AND 20)
+SELECT s, brand_id, CAST(max(length(key)) AS INT) AS alias_len FROM h WHERE brand_id NOT IN (10, 11, 12) GROUP BY s, brand_id UNION ALL SELECT s, 11, NULL FROM h WHERE brand_id IN (10, 11, 12) GROUP BY s""")
+def scan_title(spark, sf_dir):
+    titles = items(spark, sf_dir).select(F.col("title").alias("s")).unionByName(I.TEXTS.df(spark).where("s is not null").select("s"))
+    found = match.scan_titles(titles, index(spark))
+    return found.select("s", "brand_id", F.when(F.col("brand_id") != 11, F.col("alias_len")).alias("alias_len"))
+
+
+@query()
+def match_candidates(spark, sf_dir):
+    return match.match(_texts(spark).select("s"), index(spark)).select("s", "brand_id", "score", "via", "source", "weak_short")
+
+
+@query(f"""WITH p AS (SELECT *, CASE WHEN lat <> '' THEN substr(lat, 1, 6) ELSE substr(cjk, 1, 2) END AS block FROM {_REAL} WHERE full_ <> '')
+SELECT a.brand_id AS a, b.brand_id AS b FROM p AS a JOIN p AS b ON a.block = b.block AND a.brand_id < b.brand_id WHERE a.full_ = b.full_
+OR (length(least(a.full_, b.full_)) >= 2 AND ((starts_with(b.full_, a.full_) AND length(a.full_) >= 2 AND substr(b.full_, length(a.full_) + 1) IN {q(fixed.CORPORATE_SUFFIXES)}) OR (starts_with(a.full_, b.full_) AND length(b.full_) >= 2 AND substr(a.full_, length(b.full_) + 1) IN {q(fixed.CORPORATE_SUFFIXES)})))
+OR (length(a.lat) >= 4 AND a.lat = b.lat AND (a.cjk = '' OR b.cjk = '' OR a.cjk = b.cjk)) OR (a.cjk <> '' AND a.cjk = b.cjk AND (a.lat = '' OR b.lat = '' OR a.lat = b.lat))
+UNION SELECT 5, 7""")
+def same_entity_pairs(spark, sf_dir):
+    ix = index(spark)
+    return pool.same_entity_pairs(ix.parts, ix.links)
+
+
+@query("SELECT * FROM (VALUES (5::BIGINT, 5::BIGINT, 1), (5, 6, 2), (15, 15, 2), (15, 16, 1), (19, 19, 2), (19, 20, 1)) AS t(\"group\", brand_id, position)")
+def duplicate_groups(spark, sf_dir):
+    ix = index(spark)
+    return pool.duplicate_groups(ix.parts, ix.links)
+
+
+# --- Decisions --------------------------------------------------------------------------------------------------
+CASES = I.Values(
+    {"case_id": "VARCHAR", "raw_brand": "VARCHAR", "title": "VARCHAR", "cat": "VARCHAR", "cat_check": "BOOLEAN"},
+    [
+        ("a1", "GB 綠鐘", "", "Beauty", False), ("a2", "H&H", "", "", False), ("a3", "Kanebo 佳麗寶 KATE 凱婷", "", "", False), ("a4", "iPhone 15", "", "", False), ("a5", "OEM", "", "", False), ("a6", "適用 iPhone", "", "", False), ("a7", "收納用品", "", "", False), ("a8", "茉家", "", "", False),
+        ("a9", "", "【Samsung】 手機", "", False), ("b1", "", "【Apple】 iPhone 15 保護殼", "", False), ("b2", "", "【MEIDIAN】 東西", "", False), ("b3", "", "手機 保護殼", "", False), ("b4", "", "東西 Samsung 手機", "", False), ("b5", "", "【買一送一】 東西", "", False), ("b6", None, None, "", False),
+    ],
+)
+_EXPECTED = [
+    ("a1", 1, "1.3", 98), ("a2", 7, "1.4", 93), ("a3", 4, "1.3", 92), ("a4", 11, "1.3", 92), ("a5", 0, "1.1", 97), ("a6", 0, "1.2", 90), ("a7", 0, "1.7", 80), ("a8", None, "1.6", 85),
+    ("a9", 13, "2.2", 93), ("b1", 0, "2.1", 65), ("b2", None, "2.3", 72), ("b3", 0, "2.1", 88), ("b4", 13, "2.4", 52), ("b5", 0, "2.5", 85), ("b6", 0, "2.5", 85),
+]
+
+
+@query(I.Values({"case_id": "VARCHAR", "brand_id": "BIGINT", "node": "VARCHAR", "confidence": "INT"}, _EXPECTED).sql)
+def tag_reference_cases(spark, sf_dir):
+    got = decide.tag(CASES.df(spark), index(spark))
+    return got.select("case_id", "brand_id", T.path_code(F.col("path")).alias("node"), "confidence")
+
+
+def part_pool(spark, sf_dir):
+    """Brands named by the parts' brand column; the sales figure is their retail value."""
+    p = I.table(spark, sf_dir, "part").groupBy("p_brand").agg(F.sum(F.floor("p_retailprice")).cast("double").alias("adg"))
+    return p.select((F.lit(100) + F.regexp_extract("p_brand", r"(\d+)", 1).cast("long")).alias("brand_id"), F.col("p_brand").alias("name"), F.lit("").alias("category"), "adg")
+
+
+def part_index(spark, sf_dir):
+    none = spark.createDataFrame([], "alias string, brand_id long, source string"), spark.createDataFrame([], "brand_id_a long, brand_id_b long")
+    return pool.build_index(part_pool(spark, sf_dir), *none)
+
+
+# Texts of part names and unknown brands match no brand name as a whole; what remains is decided by the leaf's conditions.
+_TAGGED = f"""(SELECT *, CASE p WHEN '1.1' THEN 97 WHEN '1.2' THEN 90 WHEN '1.3' THEN 98 WHEN '2.2' THEN 93 ELSE NULL END AS c FROM (SELECT item_id, l1, CASE CAST(item_id AS BIGINT) % 7 WHEN 0 THEN '2.2' WHEN 1 THEN '1.1' WHEN 2 THEN '1.2' WHEN 3 THEN '1.3' END AS p, l3 FROM {ITEMS}))"""
+
+
+@query(f"SELECT p AS node, CASE WHEN p < '1.3' THEN '{I.NONE}' ELSE '{I.POOL}' END AS outcome, count(*) AS goods, CAST(min(c) AS INT) AS confidence_min, CAST(max(c) AS INT) AS confidence_max FROM {_TAGGED} WHERE p IS NOT NULL GROUP BY ALL")
+def brand_distribution(spark, sf_dir):
+    """Flagship: items with blank, no-brand, compatible or registered brand texts, tagged and counted by node."""
+    rows = items(spark, sf_dir).where("cast(item_id as bigint) % 7 < 4")
+    got = decide.tag_items(rows, part_index(spark, sf_dir))
+    return got.groupBy(T.path_code(F.col("path")).alias("node"), "outcome").agg(F.count("*").alias("goods"), F.min("confidence").alias("confidence_min"), F.max("confidence").alias("confidence_max"))
+
+
+@query()
+def tag_items(spark, sf_dir):
+    """Every item, with rules from the decision log laid over."""
+    rules = store.latest(log(spark, sf_dir), "brand").withColumn("rule_key", F.concat(F.lit("B:brand"), F.expr("substring(rule_key, 3)")))
+    got = decide.tag_items(items(spark, sf_dir), part_index(spark, sf_dir), rules)
+    return got.select("item_id", "key", "candidate1", "suggested_name", "suggested_id", "new_name", "no_brand_reason", "confidence", "path")
+
+
+@query(f"""WITH k AS (SELECT * FROM {s_key(ITEMS, 'brand', 'title', 'item_id')}), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY item_id) = 1),
+m AS (SELECT key, l2 FROM (SELECT key, l2, count(*) AS n FROM k GROUP BY key, l2) QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, l2) = 1)
+SELECT f.key, f.brand AS raw_brand, f.title, f.l1, (SELECT count(*) FROM k WHERE k.key = f.key) AS goods, m.l2 AS main_l2 FROM f JOIN m ON m.key = f.key""")
+def key_aggregate(spark, sf_dir):
+    return decide.key_table(items(spark, sf_dir))
+
+
+# --- Decision log ---------------------------------------------------------------------------------------------------
+def _latest(scope: str, keys: str) -> str:
+    return f"SELECT * FROM {LOG} WHERE scope = '{scope}' QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY log_id DESC) = 1"
+
+
+@query(f"SELECT rule_key, decision, brand_id, brand_name, log_id FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}'")
+def latest_rules(spark, sf_dir):
+    return store.latest(log(spark, sf_dir), "brand").select("rule_key", "decision", "brand_id", "brand_name", "log_id")
+
+
+@query(f"SELECT site, rule_key, decision, brand_id, log_id FROM ({_latest('item', 'site, rule_key')}) WHERE decision <> '{fixed.REVOKED}'")
+def latest_overrides(spark, sf_dir):
+    return store.latest(log(spark, sf_dir), "item").select("site", "rule_key", "decision", "brand_id", "log_id")
+
+
+@query(f"SELECT log_id, rule_key, decision FROM {LOG} WHERE rule_key = 'B:8'")
+def decision_history(spark, sf_dir):
+    return store.history(log(spark, sf_dir), "B:8").select("log_id", "rule_key", "decision")
+
+
+@query(f"SELECT log_id, rule_key, decision FROM {LOG} ORDER BY log_id DESC LIMIT 25")
+def recent_history(spark, sf_dir):
+    return store.history(log(spark, sf_dir), limit=25).select("log_id", "rule_key", "decision")
+
+
+def _batch(spark, sf_dir):
+    """Each key's second last decision typed in again."""
+    rows = log(spark, sf_dir).where("scope = 'brand' and log_id % 11 = 1")
+    rest = [c for c in rows.columns if c != "rule_key"]
+    return rows.groupBy("rule_key").agg(F.max_by(F.struct(*rest), "log_id").alias("r")).select("rule_key", "r.*").withColumnRenamed("log_id", "pos").withColumn("scope", F.lit("brand"))
+
+
+_FP = "coalesce(CASE WHEN {0}brand_id <> 0 THEN CAST({0}brand_id AS VARCHAR) END, '') || '|' || {0}decision || '|' || {0}brand_name || '|' || {0}note"
+
+
+@query(f"""WITH e AS (SELECT * FROM {LOG} WHERE scope = 'brand' AND log_id % 11 = 1 QUALIFY row_number() OVER (PARTITION BY rule_key ORDER BY log_id DESC) = 1), c AS (SELECT * FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}')
+SELECT e.rule_key, e.decision, e.log_id AS pos FROM e LEFT JOIN c ON c.rule_key = e.rule_key WHERE CASE WHEN c.rule_key IS NULL THEN e.decision <> '{fixed.REVOKED}' ELSE {_FP.format('e.')} <> {_FP.format('c.')} END""")
+def idempotent_append(spark, sf_dir):
+    return store.new_entries(log(spark, sf_dir), _batch(spark, sf_dir), "s0").select("rule_key", "decision", "pos")
+
+
+_NEW_ALIASES = I.Values({"alias": "VARCHAR", "brand_id": "BIGINT", "source": "VARCHAR"}, [("綠鐘", 2, "curated"), ("莉婕", 15, "auto"), ("新", 3, "auto"), ("", 3, "human"), ("y", None, "human")])
+
+
+@query(f"""WITH a AS (SELECT * FROM {I.ALIASES.sql} UNION ALL SELECT * FROM {_NEW_ALIASES.sql} WHERE alias <> '' AND brand_id IS NOT NULL)
+SELECT alias, brand_id, arg_max(source, CASE source WHEN 'auto' THEN 1 WHEN 'curated' THEN 2 ELSE 3 END) AS source FROM a GROUP BY alias, brand_id""")
+def alias_promotion(spark, sf_dir):
+    return store.promote_aliases(I.ALIASES.df(spark), _NEW_ALIASES.df(spark))
+
+
+@query("SELECT DISTINCT least(user_id % 9, event_id % 9) AS brand_id_a, greatest(user_id % 9, event_id % 9) AS brand_id_b FROM events WHERE user_id % 9 <> event_id % 9")
+def entity_link_insert(spark, sf_dir):
+    none = spark.createDataFrame([], "brand_id_a long, brand_id_b long, source string")
+    return store.insert_links(none, I.table(spark, sf_dir, "events").selectExpr("user_id % 9 as a", "event_id % 9 as b")).select("brand_id_a", "brand_id_b")
+
+
+_RULES = I.Values({"item_id": "VARCHAR", "decision": "VARCHAR", "brand_id": "BIGINT", "brand_name": "VARCHAR", "nobrand_reason": "VARCHAR"}, [("3", I.POOL, 9, "?", ""), ("5", I.NEW, None, "Fresh", ""), ("10", I.NONE, None, "", "why"), ("12", I.POOL, 777, "Gone", None)])
+
+
+@query(f"""SELECT r.item_id, CASE WHEN u.decision IS NULL THEN r.suggested_name WHEN u.decision = '{I.POOL}' THEN coalesce(p.name, u.brand_name) ELSE u.decision END AS suggested_name,
+CASE WHEN u.decision IS NULL THEN r.suggested_id WHEN u.decision = '{I.POOL}' THEN CAST(u.brand_id AS VARCHAR) WHEN u.decision = '{I.NONE}' THEN '0' ELSE '' END AS suggested_id,
+CASE WHEN u.decision IS NULL THEN r.new_name WHEN u.decision = '{I.NEW}' THEN u.brand_name ELSE '' END AS new_name, CASE WHEN u.decision IS NULL THEN r.no_brand_reason WHEN u.decision = '{I.NONE}' THEN coalesce(u.nobrand_reason, '') ELSE '' END AS no_brand_reason,
+CASE WHEN u.decision IS NULL THEN r.confidence ELSE 100 END AS confidence FROM {RESULTS} AS r LEFT JOIN {_RULES.sql} AS u ON u.item_id = r.item_id LEFT JOIN {I.BRANDS.sql} AS p ON p.brand_id = u.brand_id""")
+def apply_rules(spark, sf_dir):
+    rows = results(spark, sf_dir).withColumns({"explanation": F.lit(""), "outcome": T.outcome_type(F.col("suggested_name")), "brand_id": F.lit(None).cast("long")})
+    got = decide.apply_rules(rows, _RULES.df(spark), "item_id", "3.2", index(spark))
+    return got.select("item_id", "suggested_name", "suggested_id", "new_name", "no_brand_reason", "confidence")
+
+
+_LEARN = I.Values({"raw_brand": "VARCHAR", "decision": "VARCHAR", "brand_id": "BIGINT"}, [("Liese 莉婕", I.POOL, 16), ("GB 綠鐘", I.POOL, 1), ("x", I.NEW, None), (None, I.POOL, 3), ("MUK 潮嘜", I.POOL, 22)])
+
+
+@query(f"""WITH n AS (SELECT brand_id, {s_norm(s_clean('raw_brand'))} AS f FROM {_LEARN.sql} WHERE decision = '{I.POOL}' AND brand_id IS NOT NULL AND NOT {s_blank('raw_brand')})
+SELECT f AS alias, brand_id, 'human' AS source FROM n UNION SELECT {s_lat('f')}, brand_id, 'human' FROM n WHERE length({s_lat('f')}) >= 4 UNION SELECT {s_cjk('f')}, brand_id, 'human' FROM n WHERE length({s_cjk('f')}) >= 2""")
+def human_alias_learning(spark, sf_dir):
+    return store.human_aliases(_LEARN.df(spark))
+
+
+_AUTO = I.Values({"raw_brand": "VARCHAR", "confidence": "INT", "outcome": "VARCHAR", "brand_id": "BIGINT"}, [("Dove 多芬芳", 98, I.POOL, 8), ("MSI 微星", 95, I.POOL, 9), ("Sonya 索尼", 80, I.POOL, 9), ("Sonyx 索尼", 92, I.POOL, 9), ("LG生活", 99, I.POOL, 23)])
+
+
+@query("SELECT * FROM (VALUES ('多芬芳', 8::BIGINT, 'auto'), ('sonyx', 9, 'auto'), ('索尼', 9, 'auto')) AS t(alias, brand_id, source)")
+def auto_alias_learning(spark, sf_dir):
+    return store.automatic_aliases(_AUTO.df(spark), index(spark).keys)
+
+
+# --- Review ------------------------------------------------------------------------------------------------------------
+_TEXT_COLUMNS = ["key", "pick", "reason", "note", "suggested_name", "suggested_id", "new_name", "no_brand_reason", "candidate1", "candidate2", "candidate3", "raw_brand", "bracket"]
+_SHEET = I.Values(
+    dict.fromkeys(_TEXT_COLUMNS, "VARCHAR"),
+    [
+        ("1", "", "", "", "Sony", "9", "", "", "", "", "", "", ""), ("2", "v", "", "n", "Sony", "9", "", "", "", "", "", "", ""), ("3", "-", "", "", "Sony", "9", "", "", "", "", "", "", ""), ("4", "OK", "", "", "Sony", "", "", "", "", "", "", "", ""),
+        ("5", "2", "", "", "Sony", "9", "", "", "", "KATE 凱婷 [4]", "", "", ""), ("6", "3.0", "", "", "Sony", "9", "", "", "a", "b", "", "", ""), ("7", None, "because", "", "Sony", "9", "", "", "", "", "", "", ""), ("8", "新增:Fresh", "", "", "Sony", "9", "", "", "", "", "", "", ""),
+        ("9", "新品牌", "", "", "Sony", "9", "", "", "", "", "", " 茉家 ", ""), ("10", "新增", "", "", "Sony", "9", "", "", "", "", "", "", ""), ("11", "dove多芬", "", "", "Sony", "9", "", "", "", "", "", "", ""), ("12", "zzz", "", "", "Sony", "9", "", "", "", "", "", "", ""),
+        ("13", "y", "", "", I.NEW, "", "Neu", "", "", "", "", "", ""), ("14", "yes", "", "", I.NONE, "0", "", "r0", "", "", "", "", ""), ("15", "副廠", "", "", "Sony", "9", "", "", "", "", "", "", ""),
+    ],
+)
+_PARSED = [
+    ("1", None, None, None, None), ("2", I.POOL, 9, "Sony", None), ("3", fixed.REVOKED, None, "", None), ("4", None, None, None, "系統沒有建議 brand id，請直接填品牌名或 brand_id"), ("5", I.POOL, 4, "KATE 凱婷", None), ("6", None, None, None, "沒有第 3 個候選"),
+    ("7", I.NONE, 0, I.NONE, None), ("8", I.NEW, None, "Fresh", None), ("9", I.NEW, None, "茉家", None), ("10", None, None, None, "請寫成「新增:品牌名」"), ("11", I.POOL, 8, "Dove 多芬", None), ("12", None, None, None, f"品牌庫找不到「zzz」（品牌庫沒有的品牌請選：{I.NEW}）"),
+    ("13", I.NEW, None, "Neu", None), ("14", I.NONE, 0, I.NONE, None), ("15", I.NONE, 0, I.NONE, None),
+]
+
+
+@query(I.Values({"key": "VARCHAR", "h_decision": "VARCHAR", "h_brand_id": "BIGINT", "h_brand_name": "VARCHAR", "h_error": "VARCHAR"}, _PARSED).sql)
+def parse_human_input(spark, sf_dir):
+    return review.parse_human(_SHEET.df(spark), _parts(spark)).select("key", "h_decision", "h_brand_id", "h_brand_name", "h_error")
+
+
+@query()
+def review_sample(spark, sf_dir):
+    return review.review_sample(results(spark, sf_dir).select("item_id", F.col("item_id").alias("key"), "confidence", "goods", "ruled"))
+
+
+_STATE = f"CASE WHEN ruled AND agreed THEN '{fixed.STATE_AGREED}' WHEN ruled THEN '{fixed.STATE_FIXED}' WHEN confidence < 75 THEN '{fixed.STATE_PENDING}' WHEN sampled THEN '{fixed.STATE_SAMPLE}' ELSE '{fixed.STATE_AUTO}' END"
+
+
+@query(f"SELECT item_id, {_STATE} AS state, confidence >= 90 AND trim(candidate2) <> '' AS ambiguous FROM {RESULTS}")
+def review_states(spark, sf_dir):
+    r = results(spark, sf_dir)
+    return r.select("item_id", review.review_state(r).alias("state"), review.ambiguous(r).alias("ambiguous"))
+
+
+_ORDER = "CASE state " + " ".join(f"WHEN '{s}' THEN {k}" for k, s in enumerate(fixed.STATE_ORDER)) + " END"
+
+
+@query(f"""WITH r AS (SELECT item_id AS key, goods, grp, {_STATE} AS state FROM {RESULTS}), t AS (SELECT *, {_ORDER} AS o, CASE WHEN grp = '' THEN goods ELSE max(goods) OVER (PARTITION BY grp) END AS top, CASE WHEN grp = '' THEN 'k' || key ELSE 'g' || grp END AS block FROM r),
+m AS (SELECT *, max(goods) OVER (PARTITION BY o, block) AS most FROM t)
+SELECT key, goods, grp, state, row_number() OVER w AS position, CAST(sum(goods) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) / greatest(CAST(sum(goods) OVER () AS BIGINT), 1) AS coverage FROM m WINDOW w AS (ORDER BY o, top DESC, grp, most DESC, block, goods DESC, key)""")
+def review_coverage(spark, sf_dir):
+    r = results(spark, sf_dir)
+    return review.work_list(r.select(F.col("item_id").alias("key"), "goods", "grp", review.review_state(r).alias("state")))
+
+
+@query()
+def cluster_keys(spark, sf_dir):
+    names = I.table(spark, sf_dir, "part").select(F.concat(F.lit("B:"), F.regexp_replace("p_name", " ", "")).alias("key"), F.regexp_replace("p_name", " ", "").alias("text")).distinct()
+    v = I.TEXTS.df(spark).where("s is not null and s <> ''").select(F.col("case_id").cast("string").alias("key"), F.col("s").alias("text"))
+    return review.cluster_keys(names.unionByName(v))
+
+
+_OUTCOME = "suggested_name || chr(1) || suggested_id || chr(1) || new_name || chr(1) || no_brand_reason"
+_MERGED = f"""(SELECT key, arg_min(suggested_name, category) AS suggested_name, arg_min(suggested_id, category) AS suggested_id, CAST(sum(goods) AS BIGINT) AS goods, string_agg(category, '、' ORDER BY category) AS categories, bool_or(starts_with(state, '①')) AS pending,
+bool_or(starts_with(state, '②')) AS sample, bool_or(starts_with(state, '③')) AS done, bool_or(sampled = '★') AS starred, count(DISTINCT {_OUTCOME}) > 1 AS conflict, string_agg(category || ': ' || suggested_name || ' [' || suggested_id || '] ' || new_name, '；' ORDER BY category) AS advice FROM {I.SHEETS_SQL} GROUP BY key)"""
+
+
+@query(f"SELECT * FROM {_MERGED}")
+def bundle_merge(spark, sf_dir):
+    return review.merge_sheets(I.sheets(spark, sf_dir)).select("key", "suggested_name", "suggested_id", "goods", "categories", "pending", "sample", "done", "starred", "conflict", "advice")
+
+
+@query(f"""SELECT key, CASE WHEN conflict THEN '{fixed.TRIAGE['A']}' WHEN suggested_name = '{I.NEW}' THEN '{fixed.TRIAGE['B']}' WHEN starts_with(key, 'I:') THEN '{fixed.TRIAGE['C']}' WHEN suggested_name = '{I.NONE}' THEN '{fixed.TRIAGE['D']}' ELSE '{fixed.TRIAGE['E']}' END AS triage,
+CASE WHEN conflict OR pending THEN '{fixed.STATE_PENDING}' WHEN suggested_name = '{I.NEW}' AND (sample OR NOT done) THEN '{fixed.STATE_PENDING}' WHEN sample THEN '{fixed.STATE_SAMPLE}' WHEN done THEN '{fixed.STATE_AGREED}' ELSE '{fixed.STATE_AUTO}' END AS state FROM {_MERGED}""")
+def bundle_triage(spark, sf_dir):
+    return review.triage(review.merge_sheets(I.sheets(spark, sf_dir))).select("key", "triage", "state")
+
+
+# --- Analytics -----------------------------------------------------------------------------------------------------------
+@query(f"SELECT {s_type('suggested_name')} AS kind, {s_band('confidence')} AS band, count(*) AS goods, count(*) / (SELECT count(*) FROM {RESULTS}) AS share FROM {RESULTS} GROUP BY 1, 2")
+def type_by_band(spark, sf_dir):
+    return report.type_by_band(results(spark, sf_dir))
+
+
+@query(f"SELECT path, count(*) AS n_keys, CAST(sum(goods) AS BIGINT) AS goods, CAST(sum(goods) AS BIGINT) / (SELECT CAST(sum(goods) AS BIGINT) FROM {RESULTS}) AS share FROM {RESULTS} GROUP BY path")
+def path_distribution(spark, sf_dir):
+    return report.path_distribution(results(spark, sf_dir))
+
+
+_RATES = f"count(*) AS goods, avg(CASE WHEN {s_type('suggested_name')} = '{I.POOL}' THEN 1.0::DOUBLE ELSE 0 END) AS pool_rate, avg(CASE WHEN suggested_name = '{I.NEW}' THEN 1.0::DOUBLE ELSE 0 END) AS new_rate, avg(CASE WHEN suggested_name = '{I.NONE}' THEN 1.0::DOUBLE ELSE 0 END) AS none_rate, avg(confidence) AS mean_confidence, avg(CASE WHEN confidence < 75 THEN 1.0::DOUBLE ELSE 0 END) AS pending_rate"
+
+
+@query(f"SELECT 'l2' AS dim, l2 AS value, {_RATES} FROM {RESULTS} GROUP BY l2 UNION ALL SELECT 'l3', l3, {_RATES} FROM {RESULTS} GROUP BY l3")
+def category_breakdown(spark, sf_dir):
+    return report.category_breakdown(results(spark, sf_dir))
+
+
+_ACC = "count(*) AS reviewed, CAST(sum(agree) AS BIGINT) AS correct, avg(agree) AS accuracy, CAST(sum(agree * goods) AS BIGINT) / greatest(CAST(sum(goods) AS BIGINT), 1) AS weighted_accuracy"
+
+
+@query(f"""WITH r AS (SELECT * FROM {LOG} WHERE scope = 'brand' AND agree IS NOT NULL) SELECT 'path' AS dim, sys_path AS value, {_ACC} FROM r WHERE sys_path <> '' GROUP BY 2 UNION ALL SELECT 'band', {s_band('CAST(sys_conf AS DOUBLE)')}, {_ACC} FROM r GROUP BY 2
+UNION ALL SELECT 'sample', 'high/mid', {_ACC} FROM r WHERE sampled = 1 UNION ALL SELECT 'l1', level1, {_ACC} FROM r GROUP BY 2""")
+def system_accuracy(spark, sf_dir):
+    return report.system_accuracy(log(spark, sf_dir))
+
+
+@query(f"""WITH c AS (SELECT DISTINCT o_orderpriority AS l1 FROM orders UNION ALL SELECT 'never'), l AS (SELECT * FROM {RUNS} QUALIFY row_number() OVER (PARTITION BY level1 ORDER BY run_id DESC) = 1)
+SELECT c.l1, 1::BIGINT AS goods, 2::BIGINT AS skus, strftime(ran_at, '%Y-%m-%d %H:%M') AS ran_at, n_keys, pending_keys, pending_goods / greatest(l.goods, 1) AS pending_share, pool_goods / greatest(l.goods, 1) AS pool_share FROM c LEFT JOIN l ON c.l1 = l.level1""")
+def run_status(spark, sf_dir):
+    cats = I.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("l1")).distinct().unionByName(spark.range(1).select(F.lit("never").alias("l1")))
+    return report.run_status(cats.select("l1", F.lit(1).cast("long").alias("goods"), F.lit(2).cast("long").alias("skus")), runs(spark, sf_dir))
+
+
+_B = f"""(SELECT *, row_number() OVER (ORDER BY goods DESC, name) AS rank, CAST(sum(goods) OVER (ORDER BY goods DESC, name ROWS UNBOUNDED PRECEDING) AS BIGINT) / CAST(sum(goods) OVER () AS BIGINT) AS cumulative_share FROM (
+SELECT name, count(*) AS goods, count(DISTINCT level1) AS n_l1, array_to_string(list_sort(list(DISTINCT level1))[1:6], '、') AS l1_list, coalesce(arg_min(candidate1, item_id) FILTER (trim(candidate1) <> ''), '') AS nearest, round_even(avg(confidence), 0) AS mean_confidence, arg_min(title, item_id) AS sample_title
+FROM (SELECT *, trim(CASE WHEN trim(new_name) <> '' THEN new_name ELSE raw_brand END) AS name FROM {RESULTS} WHERE confidence < 75 OR suggested_name = '{I.NEW}') WHERE name <> '' GROUP BY name))"""
+_BL = f"(SELECT *, CASE WHEN nearest <> '' THEN '{fixed.ACTION_CHECK}' ELSE '{fixed.ACTION_ADD}' END AS action FROM {_B})"
+_MODE = f"(SELECT name, suggested_name AS verdict FROM (SELECT trim(CASE WHEN trim(new_name) <> '' THEN new_name ELSE raw_brand END) AS name, suggested_name, count(*) AS n FROM {RESULTS} WHERE confidence < 75 OR suggested_name = '{I.NEW}' GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY name ORDER BY n DESC, suggested_name) = 1)"
+
+
+@query(f"SELECT rank, b.name, goods, cumulative_share, n_l1, l1_list, '{fixed.LANG_LATIN}' AS lang, action, nearest, verdict, mean_confidence, sample_title FROM {_BL} AS b JOIN {_MODE} AS m ON m.name = b.name")
+def brand_backlog(spark, sf_dir):
+    return report.backlog(results(spark, sf_dir))
+
+
+@query(f"SELECT action, count(*) AS brands, CAST(sum(goods) AS BIGINT) AS goods, CAST(sum(goods) AS BIGINT) / (SELECT CAST(sum(goods) AS BIGINT) FROM {_BL}) AS share FROM {_BL} GROUP BY action")
+def backlog_summary(spark, sf_dir):
+    return report.backlog_summary(report.backlog(results(spark, sf_dir)))
+
+
+@query(f"SELECT rank AS n, cumulative_share FROM {_BL} WHERE rank IN (10, 20, 50, 100)")
+def coverage_at_n(spark, sf_dir):
+    return report.coverage_at(report.backlog(results(spark, sf_dir)), (10, 20, 50, 100))
+
+
+_TESTS = {"all": "true", "automatic": "confidence >= 75", "pending": "confidence < 75", "pool": f"{s_type('suggested_name')} = '{I.POOL}'", "new": f"suggested_name = '{I.NEW}'", "none": f"suggested_name = '{I.NONE}'", "conf_90": "confidence >= 90", "conf_75_89": "confidence BETWEEN 75 AND 89"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS label, CAST(count(*) FILTER ({t}) AS DOUBLE) AS value, count(*) FILTER ({t}) / count(*) AS share FROM {RESULTS}" for k, t in _TESTS.items()) + f" UNION ALL SELECT 'mean_confidence', avg(confidence), NULL FROM {RESULTS}")
+def executive_overview(spark, sf_dir):
+    return report.executive_overview(results(spark, sf_dir))
+
+
+@query(f"SELECT level1, count(*) AS goods, avg(CASE WHEN confidence >= 75 THEN 1.0::DOUBLE ELSE 0 END) AS automatic, avg(CASE WHEN {s_type('suggested_name')} = '{I.POOL}' THEN 1.0::DOUBLE ELSE 0 END) AS pool, avg(CASE WHEN suggested_name = '{I.NEW}' THEN 1.0::DOUBLE ELSE 0 END) AS new, avg(CASE WHEN suggested_name = '{I.NONE}' THEN 1.0::DOUBLE ELSE 0 END) AS none, count(*) FILTER (confidence < 75) AS pending FROM {RESULTS} GROUP BY level1")
+def category_overview(spark, sf_dir):
+    return report.category_overview(results(spark, sf_dir))
+
+
+@query(f"""WITH g AS (SELECT name, count(*) AS goods FROM (SELECT trim(CASE WHEN trim(new_name) <> '' THEN new_name ELSE raw_brand END) AS name FROM {RESULTS} WHERE confidence < 75) WHERE name <> '' GROUP BY name),
+c AS (SELECT row_number() OVER w AS n, CAST(sum(goods) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS covered FROM g WINDOW w AS (ORDER BY goods DESC, name)), t AS (SELECT count(*) AS t, count(*) FILTER (confidence >= 75) AS a FROM {RESULTS})
+SELECT n, covered, covered / greatest(t - a, 1) AS of_pending, (a + covered) / t AS of_all FROM c, t WHERE n IN (10, 50, 100)""")
+def payoff_curve(spark, sf_dir):
+    return report.payoff_curve(results(spark, sf_dir), (10, 50, 100))
+
+
+@query(f"SELECT new_name, raw_brand, goods, confidence, path, candidate1 AS nearest, title FROM {RESULTS} WHERE suggested_name = '{I.NEW}'")
+def new_suggestions(spark, sf_dir):
+    return report.new_suggestions(results(spark, sf_dir))
+
+
+@query(f"""WITH r AS (SELECT * FROM {RESULTS} WHERE confidence > 20) SELECT 'results' AS label, count(*) AS value FROM r UNION ALL SELECT 'distinct_items', count(DISTINCT item_id) FROM r UNION ALL SELECT 'categories', count(DISTINCT level1) FROM r UNION ALL SELECT 'source_rows', count(*) FROM part
+UNION ALL SELECT 'missing_results', count(*) FROM {ITEMS} AS i WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.item_id = i.item_id) UNION ALL SELECT 'orphan_results', 0 UNION ALL SELECT 'decisions', count(*) FROM events""")
+def store_audit(spark, sf_dir):
+    return report.store_audit(items(spark, sf_dir), results(spark, sf_dir).where("confidence > 20"), log(spark, sf_dir))
+
+
+_RISK = I.Values(
+    {"item_id": "VARCHAR", "raw_brand": "VARCHAR", "title": "VARCHAR", "brand_id": "BIGINT", "level1": "VARCHAR", "confidence": "INT"},
+    [("1", "GB 別家", "", 2, "A", 90), ("2", "GB別家", "", 2, "B", 70), ("3", "GB 綠鐘", "", 2, "A", 95), ("4", "", "【LG 生活】 x", 23, "A", 60), ("5", "MUK 潮嘜", "", 22, "A", 98), ("6", "HH 草本", "", 6, "C", 50)],
+)
+
+
+@query("SELECT * FROM (VALUES ('gb別家', 2::BIGINT, 'gb', '別家', 'gb', 2::BIGINT, 'A|B', 70, 90), ('gb綠鐘', 2, 'gb', '綠鐘', 'gb', 1, 'A', 95, 95), ('lg生活', 23, 'lg', '生活', 'LG', 1, 'A', 60, 60), ('hh草本', 6, 'hh', '草本', 'HH', 1, 'C', 50, 50)) AS t(norm, brand_id, latin, chinese, matched_name, goods, categories, confidence_min, confidence_max)")
+def short_abbreviation_risk(spark, sf_dir):
+    return report.short_abbreviation_risk(_RISK.df(spark), _parts(spark), I.ALIASES.df(spark))
+
+
+@query(f"WITH s AS (SELECT CAST(sum(goods) AS BIGINT) AS goods, CAST(sum(n_keys) AS BIGINT) AS n_keys, CAST(sum(pending_keys) AS BIGINT) AS pending_keys, CAST(sum(pending_goods) AS BIGINT) AS pending_goods, CAST(sum(pool_goods) AS BIGINT) AS pool_goods FROM {RUNS}) SELECT *, pending_goods / greatest(goods, 1) AS pending_share, pool_goods / greatest(goods, 1) AS pool_share FROM s")
+def run_totals(spark, sf_dir):
+    return report.run_totals(runs(spark, sf_dir))
