@@ -4,8 +4,8 @@ One zstandard dictionary is built from good and one from bad labelled text. A te
 with each (pieces keep the dictionary in reach over whole long texts); the difference of the compressed sizes,
 normalised by their sum, goes through a logistic curve fitted to other labelled rows.
 
-The dictionaries are built from at most `pieces` pieces of each label, drawn by hash from whole texts; the
-curve is fitted on about `calibrate` labelled rows. Both bounds are parameters. Empty and null texts have
+The dictionaries are built from at most `pieces` pieces of each label, drawn by hash from about as many whole texts;
+the curve is fitted on about `calibrate` labelled rows. Both bounds are parameters. Empty and null texts have
 difference 0 and so the score of no evidence. With one label only, the score is that label's share.
 Other columns are not read.
 """
@@ -23,6 +23,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import checkpointed
+
 #: Bytes of a scored piece, bytes of a piece of a dictionary, bytes of a dictionary, compression level.
 PIECE, SAMPLE, DICTIONARY, LEVEL = 1024, 512, 1_000_000, 3
 
@@ -102,13 +104,15 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     texts = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
     # Dictionary rows and calibration rows are disjoint by parity of the hash.
     even = marked.where(h % 2 == 0)
-    share = F.create_map(*(F.lit(v) for k, c in n.items() for v in (k, min(1.0, 8 * pieces / c))))
-    drawn = even.where(h < share[F.col("label")] * (1 << 30)).join(texts, id_col).select("label", id_col, "text")
-    cut = drawn.mapInArrow(_pieces, "label int, h long, piece binary")
+    share = F.create_map(*(F.lit(v) for k, c in n.items() for v in (k, min(1.0, pieces / c))))
+    drawn = even.where(h < share[F.col("label")] * (1 << 30))
+    # The drawn ids are bounded by the parameters, so they go to the texts and no text is shuffled.
+    with_text = lambda ids: texts.join(F.broadcast(ids.select("label", id_col)), id_col)
+    cut = checkpointed(with_text(drawn).select("label", id_col, "text").mapInArrow(_pieces, "label int, h long, piece binary").repartition(8))
     per = [[bytes(r["piece"]) for r in cut.where(F.col("label") == k).orderBy("h", "piece").limit(pieces).collect()] for k in (1, 0)]
     model = CompressionClassifier(dictionary(per[0]) or b"none", dictionary(per[1]) or b"none")
     odd = marked.where((h % 2 == 1) & (h < min(1.0, 2 * calibrate / total) * (1 << 30)))
-    seen = odd.join(texts, id_col).select("label", "text").mapInArrow(functools.partial(_differences, model=model), "label int, x double").toPandas()
+    seen = with_text(odd).select("label", "text").mapInArrow(functools.partial(_differences, model=model), "label int, x double").toPandas()
     if seen["label"].nunique() == 2:
         model.slope, model.offset = logistic(seen["x"].to_numpy(), seen["label"].to_numpy(float))
     return model
