@@ -81,15 +81,18 @@ def with_next(docs: DataFrame) -> DataFrame:
     inner = Window.partitionBy("__r").orderBy(F.col("doc_id").desc_nulls_last(), "__th")
     lead = docs.select("*", *(F.lead(c).over(inner).alias(n) for c, n in (("doc_id", "next_id"), ("text", "next_text"), ("__th", "next_th"))), F.lead(F.lit(True)).over(inner).alias("__more"))
     done = lead.where("__more").drop("__more")
-    # The last row of each range is followed by the first of the next range below that has rows.
-    key = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), (-F.col("__th").cast("decimal(20,0)")).alias("t"))
-    firsts = docs.groupBy("__r").agg(F.max_by(F.struct("doc_id", "text", "__th"), key).alias("f"))
-    order = Window.orderBy(F.col("r").desc())
-    links = docs.select(F.col("__r").alias("r")).distinct().select("r", F.coalesce(F.lead("r").over(order), F.max("r").over(Window.partitionBy())).alias("to"))
-    ends = lead.where("__more is null").drop("next_id", "next_text", "next_th", "__more")
-    ends = ends.join(links, ends["__r"] == links["r"]).join(firsts.withColumnRenamed("__r", "to"), "to")
-    ends = ends.select(*docs.columns, F.col("f.doc_id").alias("next_id"), F.col("f.text").alias("next_text"), F.col("f.__th").alias("next_th"))
-    return done.unionByName(ends).drop("__r")
+    # The last row of each range is followed by the first of the next range below that has rows. Those rows, one or two
+    # of each range (RANGES at most), are found by their ids and fetched by a broadcast of these.
+    spot = F.struct("doc_id", "__th")
+    low = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), (-F.col("__th").cast("decimal(20,0)")).alias("t"))
+    bounds = docs.groupBy("__r").agg(F.max_by(spot, low).alias("first"), F.min_by(spot, low).alias("last"))
+    order = Window.orderBy(F.col("__r").desc())
+    bounds = checkpointed(bounds.withColumns({"to": F.coalesce(F.lead("first").over(order), F.max_by("first", "__r").over(Window.partitionBy()))}))
+    fetched = lambda c: docs.join(F.broadcast(bounds.select(F.col(f"{c}.doc_id").alias("i"), F.col(f"{c}.__th").alias("h"), "__r", "to").withColumnRenamed("__r", "r")), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("__th") == F.col("h")))
+    ends = fetched("last").dropDuplicates(["r"]).select("doc_id", "text", "__th", "to")
+    firsts = fetched("first").dropDuplicates(["r"]).select(F.struct("doc_id", "__th").alias("to"), F.col("text").alias("next_text"))
+    ends = ends.join(firsts, "to").select("doc_id", "text", "__th", F.col("to.doc_id").alias("next_id"), "next_text", F.col("to.__th").alias("next_th"))
+    return done.drop("__r").unionByName(ends)
 
 
 def _position(sorted_values: Column, value: Column, n: int) -> Column:
