@@ -128,6 +128,12 @@ def same_entity(a: str, b: str, linked: Column, ratio: Column | None = None) ->
     return (F.col(f"{a}_id") == F.col(f"{b}_id")) | linked | (full_a == full_b) | suffix | by_latin | by_cjk | alike
 
 
+def names_close(a: Column, b: Column, near: int = 85) -> Column:
+    """Equal, one inside the other (three characters or more), or alike."""
+    inside = (F.least(F.length(a), F.length(b)) >= 3) & (F.contains(a, b) | F.contains(b, a))
+    return (a == b) | inside | (T.indel_ratio(a, b) >= near)
+
+
 def same_entity_pairs(parts: DataFrame, links: DataFrame) -> DataFrame:
     """(a, b), a < b: pairs within blocks of equal name beginnings (or linked) that are one brand.
 

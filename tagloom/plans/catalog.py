@@ -222,6 +222,19 @@ def confidence_bands(spark, sf_dir):
     return I.table(spark, sf_dir, "events").select("event_id", T.band(F.col("value")).alias("band"), T.clamp_confidence(F.col("value")).alias("confidence"))
 
 
+@query(f"""SELECT case_id, regexp_replace(trim(regexp_replace(coalesce(s, ''), '[\\\\/:*?"<>|]+', '_', 'g')), '^$', 'L1') AS safe, split_part(coalesce(s, ''), ' ', 1) AS code, coalesce(s, '?') || ' [' || case_id || ']' AS label,
+CASE WHEN {s_cjk(s_norm('s'))} <> '' AND {s_lat(s_norm('s'))} <> '' THEN '{fixed.LANG_BOTH}' WHEN {s_cjk(s_norm('s'))} <> '' THEN '{fixed.LANG_CJK}' ELSE '{fixed.LANG_LATIN}' END AS lang,
+CASE WHEN length({s_cjk("coalesce(s, '')")}) > 0 THEN length({s_cjk("coalesce(s, '')")}) >= 4 ELSE length(coalesce(s, '')) >= 6 END AS is_distinctive, CASE WHEN case_id % 3 = 0 THEN '{I.NONE}' WHEN case_id % 3 = 1 THEN '{I.POOL}' ELSE 'x' END AS kind,
+CASE WHEN s IN ('', 'nan') OR s IS NULL THEN '' ELSE CAST(case_id AS VARCHAR) END AS id_text FROM {V}""")
+def text_small_functions(spark, sf_dir):
+    s, k = F.col("s"), F.col("case_id")
+    legacy = F.when(k % 3 == 0, "NoBrand").when(k % 3 == 1, "品牌池品牌").otherwise("x")
+    return I.TEXTS.df(spark).select(
+        "case_id", T.safe_name(F.coalesce(s, F.lit(""))).alias("safe"), T.path_code(s).alias("code"), T.label(s, k).alias("label"), T.language(s).alias("lang"), T.distinctive(F.coalesce(s, F.lit(""))).alias("is_distinctive"),
+        T.legacy_type(legacy).alias("kind"), T.id_str(F.when(~T.blank(s), k.cast("double"))).alias("id_text"),
+    )
+
+
 # --- Sources and sinks -------------------------------------------------------------------------------------
 _LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -389,8 +402,21 @@ def scan_title(spark, sf_dir):
     return found.select("s", "brand_id", F.when(F.col("brand_id") != 11, F.col("alias_len")).alias("alias_len"))
 
 
-@query()
+# Worked out by hand from the generators', penalties' and product lines' definitions.
+_CANDIDATES = I.Values(
+    {"s": "VARCHAR", "brand_id": "BIGINT", "score": "DOUBLE", "via": "VARCHAR", "source": "VARCHAR", "weak_short": "BOOLEAN"},
+    [
+        ("  官方旗艦店 Dove 多芬 ", 8, 100.0, "surface", "natural", False), ("ASUS/ROG", 17, 85.0, "word", "natural", False), ("ASUS/ROG", 18, 85.0, "word", "natural", False), ("GB 綠鐘", 1, 100.0, "full", "curated", False), ("GB 綠鐘", 2, 95.0, "cjk", "auto", True),
+        ("H&H", 5, 100.0, "surface", "natural", False), ("H&H", 7, 100.0, "entity", "curated", False), ("Kanebo 佳麗寶 KATE 凱婷", 3, 55.0, "word", "natural", False), ("Kanebo 佳麗寶 KATE 凱婷", 4, 85.0, "word", "natural", False), ("LG生活健康", 23, 70.0, "lat", "natural", True),
+        ("MUK 潮嘜", 22, 100.0, "surface", "natural", False), ("iPhone15", 11, 75.0, "sub", "natural", False), ("【】[Samsung] 手機", 13, 95.0, "lat", "natural", False), ("【日本 Sony】 相機", 9, 95.0, "lat", "natural", False), ("日本 韓國 Liese 莉婕", 15, 95.0, "lat", "natural", False),
+        ("日本 韓國 Liese 莉婕", 16, 95.0, "lat", "natural", False), ("葡萄王", 14, 95.0, "cjkpre", "natural", False), ("適用 iPhone 15 保護殼", 11, 55.0, "tok", "natural", False),
+    ],
+)
+
+
+@query(_CANDIDATES.sql)
 def match_candidates(spark, sf_dir):
+    """Evidence merge, penalties and product lines over all generators."""
     return match.match(_texts(spark).select("s"), index(spark)).select("s", "brand_id", "score", "via", "source", "weak_short")
 
 
@@ -468,6 +494,16 @@ def key_aggregate(spark, sf_dir):
     return decide.key_table(items(spark, sf_dir))
 
 
+@query("SELECT * FROM (VALUES ('a1', 1::BIGINT, 98, 2::BIGINT, 74)) AS t(case_id, brand_id, confidence, other_id, other_confidence)")
+def scenario_comparison(spark, sf_dir):
+    """Cases whose outcome changes when aliases that people checked are left out."""
+    cases = CASES.df(spark).where("case_id like 'a%'")
+    now = decide.tag(cases, index(spark)).select("case_id", "brand_id", "confidence")
+    without = pool.build_index(I.BRANDS.df(spark), I.ALIASES.df(spark).where("source = 'auto'"), I.LINKS.df(spark))
+    then = decide.tag(cases, without).select("case_id", F.col("brand_id").alias("other_id"), F.col("confidence").alias("other_confidence"))
+    return now.join(then, "case_id").where(~F.col("brand_id").eqNullSafe(F.col("other_id")) | (F.col("confidence") != F.col("other_confidence")))
+
+
 # --- Decision log ---------------------------------------------------------------------------------------------------
 def _latest(scope: str, keys: str) -> str:
     return f"SELECT * FROM {LOG} WHERE scope = '{scope}' QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY log_id DESC) = 1"
@@ -625,6 +661,39 @@ def bundle_triage(spark, sf_dir):
     return review.triage(review.merge_sheets(I.sheets(spark, sf_dir))).select("key", "triage", "state")
 
 
+@query(f"""SELECT rule_key, CASE WHEN decision = '{I.POOL}' THEN brand_name || ' [' || brand_id || ']' WHEN decision = '{I.NEW}' THEN CASE WHEN brand_name <> '' THEN '{I.NEW}:' || brand_name ELSE '{I.NEW}' END ELSE '{I.NONE}' END AS pick
+FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}'""")
+def review_prefill(spark, sf_dir):
+    r = store.latest(log(spark, sf_dir), "brand")
+    return r.select("rule_key", review.prefill(F.col("decision"), F.col("brand_id"), F.col("brand_name")).alias("pick"))
+
+
+@query(f"""WITH o AS (SELECT * FROM ({_latest('item', 'site, rule_key')}) WHERE decision <> '{fixed.REVOKED}' AND site = 's0')
+SELECT r.item_id, r.raw_brand, title, suggested_name, suggested_id, CASE WHEN decision = '{I.POOL}' THEN brand_name || ' [' || o.brand_id || ']' WHEN decision = '{I.NEW}' THEN '{I.NEW}:' || brand_name ELSE '{I.NONE}' END AS pick, nobrand_reason AS reason, note
+FROM {RESULTS} AS r JOIN o ON substr(o.rule_key, 3) = r.item_id""")
+def override_sheet(spark, sf_dir):
+    o = store.latest(log(spark, sf_dir), "item").where("site = 's0'").withColumn("rule_key", F.expr("substring(rule_key, 3)"))
+    return review.override_sheet(results(spark, sf_dir).withColumnRenamed("raw_brand", "brand"), o)
+
+
+@query(f"""WITH k AS (SELECT * FROM {s_key(ITEMS, 'brand', 'title', 'item_id')}), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY item_id) = 1)
+SELECT key, title, 'https://example.org/item/' || item_id AS url FROM f UNION ALL SELECT 'B:nobody', 'kept', 'https://kept'""")
+def review_fill_samples(spark, sf_dir):
+    g = items(spark, sf_dir)
+    keys = g.select(T.brand_key(F.col("brand"), F.col("title"), F.col("item_id")).alias("key")).distinct().select("key", F.lit("").alias("title"), F.lit("").alias("url"))
+    return review.fill_samples(keys.unionByName(spark.range(1).select(F.lit("B:nobody").alias("key"), F.lit("kept").alias("title"), F.lit("https://kept").alias("url"))), g)
+
+
+_COLLECTED = [("2", I.POOL, 9, 1), ("3", fixed.REVOKED, None, 0), ("4", None, None, None), ("5", I.POOL, 4, 0), ("6", None, None, None), ("7", I.NONE, 0, 0), ("8", I.NEW, None, 0), ("9", I.NEW, None, 0), ("10", None, None, None), ("11", I.POOL, 8, 0), ("12", None, None, None), ("13", I.NEW, None, 1), ("14", I.NONE, 0, 1), ("15", I.NONE, 0, 0)]
+
+
+@query(I.Values({"rule_key": "VARCHAR", "decision": "VARCHAR", "brand_id": "BIGINT", "agree": "INT"}, _COLLECTED).sql)
+def review_collect(spark, sf_dir):
+    """Typed decisions as log entries, with agreement between people and the system."""
+    sheet = _SHEET.df(spark).withColumns({"path": F.lit("1.3 x"), "confidence": F.lit("80"), "sampled": F.lit("★"), "goods": F.lit("3")})
+    return review.collect_decisions(sheet, _parts(spark)).select("rule_key", "decision", "brand_id", "agree")
+
+
 # --- Analytics -----------------------------------------------------------------------------------------------------------
 @query(f"SELECT {s_type('suggested_name')} AS kind, {s_band('confidence')} AS band, count(*) AS goods, count(*) / (SELECT count(*) FROM {RESULTS}) AS share FROM {RESULTS} GROUP BY 1, 2")
 def type_by_band(spark, sf_dir):
