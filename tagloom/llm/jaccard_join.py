@@ -32,6 +32,8 @@ from tagloom.llm.common import MIX, block_rows, bucket_count, checkpointed, conn
 #: Shingles in a flush, words kept in the hash cache, length of the list of hot shingles, and the
 #: share of a flush's sets that makes a shingle a candidate for that list.
 FLUSH, CACHE, HOT_LIST, HOT_SHARE = 2_000_000, 400_000, 100_000, 0.004
+#: Prefix shingles of a bucket in the search for sets that meet.
+STAR_ENTRIES = 400_000
 #: Sets and shingles of a block in the verification.
 BLOCK_SETS, BLOCK_SHINGLES = 4096, 4_000_000
 
@@ -188,32 +190,51 @@ def _prefixes(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
         # Within the batch every set joins the first set of the shingle; only the first goes on.
         first = starts(tokens)
         lead = np.repeat(sig[first], np.diff(np.append(first, len(tokens))))
-        e = np.unique(np.stack([sig, lead], 1)[sig != lead], axis=0)
-        rows = [(int(x), pack(np.zeros(0, np.uint64), *e.T[:, i].copy())) for x, i in ((k, np.flatnonzero(e[:, 0].view(np.uint64) % np.uint64(buckets) == k)) for k in np.unique(e[:, 0].view(np.uint64) % np.uint64(buckets)))]
+        u, v = _forest(sig[sig != lead], lead[sig != lead])
+        home = u.view(np.uint64) % np.uint64(buckets)
+        rows = [(int(k), pack(np.zeros(0, np.uint64), u[home == k], v[home == k])) for k in np.unique(home)]
         cuts = np.append(starts(key[first]), len(first))
         for a, z in zip(cuts[:-1], cuts[1:], strict=True):
             rows.append((int(key[first[a]]), pack(tokens[first[a:z]], sig[first[a:z]], np.zeros(0, np.int64))))
         yield block_rows(rows)
 
 
+def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the smallest one it is connected with; as many as nodes, whatever the number of edges."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b, label = at[: len(u)], at[len(u) :], np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    low = label != np.arange(len(nodes))
+    return nodes[low], nodes[label[low]]
+
+
 def _stars(table: pa.Table) -> pa.Table:
-    edges, tokens, sigs = [], [], []
+    """A spanning forest of the sets that share a shingle of the bucket."""
+    us, vs, tokens, sigs = [], [], [], []
     for p in table.column(1).to_pylist():
         t, u, v = unpack(p, np.uint64, np.int64, np.int64)
         if len(t):
             tokens.append(t)
             sigs.append(u)
         else:
-            edges.append(np.stack([u, v], 1))
+            us.append(u)
+            vs.append(v)
     if tokens:
         t, s = np.concatenate(tokens), np.concatenate(sigs)
         order = np.lexsort((s, t))
         t, s = t[order], s[order]
         first = starts(t)
-        lead = np.repeat(s[first], np.diff(np.append(first, len(t))))
-        edges.append(np.stack([s, lead], 1)[s != lead])
-    e = np.unique(np.concatenate(edges), axis=0) if edges else np.zeros((0, 2), np.int64)
-    return pa.Table.from_arrays([pa.array(e[:, 0].copy()), pa.array(e[:, 1].copy())], ["u", "v"])
+        us.append(s)
+        vs.append(np.repeat(s[first], np.diff(np.append(first, len(t)))))
+    u, v = _forest(np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return pa.Table.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
 class _Trie:
@@ -324,7 +345,9 @@ def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     shared = packed_exchange(docs, functools.partial(_spread, n=n, buckets=buckets, hot=hot, hot_df=hot_df), table_fn(_count, buckets=buckets), "bucket int, payload binary")
     active = checkpointed(shared.groupBy("bucket").applyInArrow(table_fn(_activate, percent=percent), "sig long, n long, prefix int, shared binary"))
-    stars = packed_exchange(active.select("sig", "prefix", "shared"), functools.partial(_prefixes, buckets=buckets), table_fn(_stars), "u long, v long")
+    # Few large buckets: each returns an edge for a set at most, so edges stay in proportion to the sets.
+    few = (active.agg(F.sum("prefix").alias("p")).first()["p"] or 0) // STAR_ENTRIES + 1
+    stars = packed_exchange(active.select("sig", "prefix", "shared"), functools.partial(_prefixes, buckets=few), table_fn(_stars), "u long, v long")
     comps = connected_components(stars.distinct())
 
     classes = rows.where("n > 0").groupBy("sig").agg(F.first("n").alias("size"), F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
