@@ -184,14 +184,15 @@ def penalised(best: DataFrame, q: DataFrame, index: Index) -> DataFrame:
 def fold_products(candidates: DataFrame, index: Index) -> DataFrame:
     """A product line's and its brand's registrations become the registration with the best sales."""
     family = index.parts.where("is_apple or is_line").select("brand_id", F.lit(True).alias("family"))
-    pick = index.parts.where("is_apple").agg(F.max_by(F.struct("brand_id", "name"), F.struct("adg", -F.col("brand_id"))).alias("p")).where("p is not null").select(F.col("p.brand_id").alias("pick"), F.col("p.name").alias("pick_name"))
+    pick = index.parts.where("is_apple").agg(F.max_by(F.struct("brand_id", "name"), F.struct("adg", -F.col("brand_id"))).alias("p")).first()["p"]
     df = candidates.join(family, "brand_id", "left")
     rest = df.where("family is null").drop("family")
+    if pick is None:
+        return rest
     value = F.struct(*(c for c in rest.columns if c not in ("s", "brand_id")))
-    one = df.where("family").groupBy("s").agg(F.max_by(value, F.struct("score", -F.col("brand_id"))).alias("v")).select("s", "v.*")
-    one = one.join(F.broadcast(pick))  # one row at most
-    descr = F.concat("descr", F.lit("；iPhone 為產品線，Apple 同實體依 adg 取 "), "pick_name", F.lit(" ["), F.col("pick").cast("string"), F.lit("]"))
-    return rest.unionByName(one.withColumn("descr", descr).withColumnRenamed("pick", "brand_id").drop("pick_name").select(*rest.columns))
+    one = df.where("family").groupBy("s").agg(F.max_by(value, F.struct("score", -F.col("brand_id"))).alias("v")).select("s", F.lit(pick["brand_id"]).cast("long").alias("brand_id"), "v.*")
+    note = f"；iPhone 為產品線，Apple 同實體依 adg 取 {pick['name']} [{pick['brand_id']}]"
+    return rest.unionByName(one.withColumn("descr", F.concat("descr", F.lit(note))).select(*rest.columns))
 
 
 def match(texts: DataFrame, index: Index) -> DataFrame:

@@ -121,9 +121,8 @@ def payoff_curve(items: DataFrame, steps: tuple[int, ...] = fixed.STEPS) -> Data
     totals = items.agg(F.count("*").alias("t"), F.count_if(conf >= 75).alias("auto"), F.count_if(conf < 75).alias("pending")).first()
     g = items.where(conf < 75).groupBy(name.alias("name")).agg(F.count("*").alias("goods")).where("name <> ''")
     r = ranked_shares(g)
-    all_goods = g.agg(F.sum("goods").alias("all_goods"))
-    covered = F.round(F.col("cumulative_share") * F.col("all_goods"), 0).cast("long")
-    r = r.where(F.col("rank").isin(list(steps))).crossJoin(F.broadcast(all_goods)).withColumn("covered", covered)  # one row on the right
+    all_goods = g.agg(F.sum("goods").alias("n")).first()["n"] or 0
+    r = r.where(F.col("rank").isin(list(steps))).withColumn("covered", F.round(F.col("cumulative_share") * all_goods, 0).cast("long"))
     return r.select(F.col("rank").cast("long").alias("n"), "covered", (F.col("covered") / max(totals["pending"], 1)).alias("of_pending"), ((F.lit(totals["auto"]) + F.col("covered")) / max(totals["t"], 1)).alias("of_all"))
 
 
