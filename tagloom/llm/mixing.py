@@ -6,8 +6,9 @@ offset is added, and a document is emitted once for each integer that its step c
 size, so what a source takes stays near its target.
 
 The order is (size class, hash bucket, doc_id, size, text hash). A document's place in it is the number of rows in earlier
-(class, bucket) groups of its source, from a small table of counts, plus its place in its own group; groups have
-about GROUP rows, so no source is gathered in one task. Nothing is random at run time: reruns agree.
+(class, bucket) groups of its source, from a table of counts, plus its place in its own group. A source has BUCKETS groups
+for each size class, so none is gathered in one task; the counts' running sum sees a row for each group at most. Texts are
+shuffled once, by group, for the join with the counts and the places alike. Nothing is random at run time: reruns agree.
 
 Null texts have size 0. A null source is a source of its own, the last one. Rows with equal doc_id are rows of their own;
 only wholly equal rows are interchangeable. An empty table gives an empty result.
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import WORD, checkpointed
 
-#: Weights of the sources by rank (repeating), how often a source may be repeated, rows of an ordering group.
-WEIGHTS, MOST, GROUP = (5, 2, 1), 3, 20_000
+#: Weights of the sources by rank (repeating), how often a source may be repeated, hash buckets of a size class.
+WEIGHTS, MOST, BUCKETS = (5, 2, 1), 3, 4096
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -51,50 +52,34 @@ def size_class(size: Column) -> Column:
     return F.call_function("shiftright", size, shift) + 32 * shift.cast("long")
 
 
-def _hex(c: Column, digits: int) -> Column:
-    return F.conv(F.substring(F.md5(c), 1, digits), 16, 10).cast("long")
-
-
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, *keep) of every row; copies is how often the mix has it."""
     text = F.col(text_col).cast("string")
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64(text).alias("__h"), *(F.col(k) for k in keep if k not in (id_col, source_col)))
-    base = base.withColumn("__class", size_class(F.col("size")))
-    return _placed(base, seed)
+    bucket = F.pmod(_hex(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 8), F.lit(BUCKETS))
+    return _placed(base.withColumns({"__class": size_class(F.col("size")), "__b": bucket}), seed)
 
 
 def _placed(base: DataFrame, seed: int) -> DataFrame:
-    grouped = checkpointed(base.groupBy("source", "__class").agg(F.count("*").alias("n"), F.sum("size").alias("s")))
-    targets = source_targets(grouped.groupBy("source").agg(F.sum("s").alias("source_size")))
+    # Plain equality on these keys serves the join and the window with one exchange; nulls are a source of their own.
+    keys = ["__name", "__null", "__class", "__b"]
+    base = base.withColumns({"__name": F.coalesce(F.col("source").cast("string"), F.lit("")), "__null": F.col("source").isNull()})
+    counts = checkpointed(base.groupBy("source", *keys).agg(F.count("*").alias("n"), F.sum("size").alias("s")))
+    targets = source_targets(counts.groupBy("source").agg(F.sum("s").alias("source_size")))
     offset = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit(""))), 4) / 65536
-    targets = targets.withColumn("__u", offset).withColumn("__rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    parts = grouped.select(F.col("source"), "__class", F.ceil(F.col("n") / GROUP).alias("__m"))
-    info = parts.join(targets, parts["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    base = _join(base, info, "source", "__class")
-    base = base.withColumn("__b", F.pmod(_hex(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 8), F.col("__m")))
-    # The groups' counts come from ids and sizes alone; texts do not take part.
-    counts = base.groupBy("source", "__class", "__b").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("source").orderBy("__class", "__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("source", "__class", "__b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
-    base = _join(base, starts, "source", "__class", "__b")
-    place = F.col("__before") + F.row_number().over(Window.partitionBy("source", "__class", "__b").orderBy("doc_id", "size", "__h"))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = targets.select(F.coalesce("source", F.lit("")).alias("__name"), F.col("source").isNull().alias("__null"), "source_size", "target", offset.alias("__u"), rate.alias("__rate"))
+    before = Window.partitionBy("__name", "__null").orderBy("__class", "__b").rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")).join(targets, ["__name", "__null"])
+    place = F.col("__before") + F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id", "size", "__h"))
+    placed = base.join(groups, keys).withColumn("__place", place)
     steps = lambda k: F.floor(F.col("__u") + F.col("__rate") * k)
-    base = base.withColumn("__place", place)
     copies = F.least(steps(F.col("__place")) - steps(F.col("__place") - 1), F.lit(MOST)).cast("long")
-    return base.withColumn("copies", copies).drop("__class", "__h", "__m", "__b", "__before", "__place", "__u", "__rate")
+    return placed.withColumn("copies", copies).drop(*keys, "__h", "__before", "__place", "__u", "__rate")
 
 
-def _join(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-    """Inner join in which nulls are equal, keeping the left keys.
-
-    The right side has a row for each source and size class (and GROUP rows of it): thousands at most for millions of rows.
-    """
-    r = right.select(*(F.col(k).alias(f"__r_{k}") if k in keys else F.col(k) for k in right.columns))
-    on = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"__r_{k}"])
-        on = c if on is None else on & c
-    return left.join(r, on).drop(*(f"__r_{k}" for k in keys))
+def _hex(c: Column, digits: int) -> Column:
+    return F.conv(F.substring(F.md5(c), 1, digits), 16, 10).cast("long")
 
 
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0) -> DataFrame:

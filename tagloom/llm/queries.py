@@ -104,15 +104,24 @@ o AS (SELECT *, coalesce(sum(lim) OVER (ORDER BY lim / w, source NULLS LAST ROWS
 st AS (SELECT *, lim * aft <= w * (total - bef) AS stopped FROM o),
 t AS (SELECT source, source_size, CASE WHEN stopped THEN CAST(lim AS DOUBLE)
         ELSE w * (CAST(total - sum(CASE WHEN stopped THEN lim ELSE 0 END) OVER () AS DOUBLE) / CAST(nullif(sum(CASE WHEN stopped THEN 0 ELSE w END) OVER (), 0) AS DOUBLE)) END AS target FROM st),
-m AS (SELECT source, cl, CAST(ceil(count(*) / 20000.0) AS BIGINT) AS m FROM c GROUP BY source, cl),
-p AS (SELECT c.*, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT % m.m AS b
-      FROM c JOIN m ON c.source IS NOT DISTINCT FROM m.source AND c.cl = m.cl),
+p AS (SELECT *, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT % 4096 AS b FROM c),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY cl, b, doc_id, size) AS place FROM p),
 x AS (SELECT r.doc_id, r.size, t.source_size, t.target, place,
         ('0x' || substr(md5('0:' || coalesce(r.source, '')), 1, 4))::BIGINT / 65536.0::DOUBLE AS u,
         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate
       FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, CAST(size * least(floor(u + rate * place) - floor(u + rate * (place - 1)), 3) AS BIGINT) AS taken FROM x""",
+    "op8_suffix_array_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, CAST(2 * p + 1 AS INT), 200)) AS s FROM d, unnest(range(0, n - 99)) AS t(p)),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w),
+g AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM f WHERE k > 1),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+r AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS z FROM i GROUP BY doc_id, run),
+e AS (SELECT r.doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY r.doc_id ORDER BY a), 0) AS prev, h FROM r JOIN d ON d.doc_id = r.doc_id),
+x AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(z - a) AS BIGINT) AS n_removed, max(z) AS last, string_agg(substr(h, CAST(2 * prev + 1 AS INT), CAST(2 * (a - prev) AS INT)), '' ORDER BY a) AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept || substr(h, CAST(2 * last + 1 AS INT)), h))) AS kept_sha256
+FROM d LEFT JOIN x ON x.doc_id = d.doc_id""",
     "op7_chat_formatting": r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
