@@ -148,4 +148,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     marked = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("doc_id"), "quality")
     taught = slim.join(marked.select("doc_id").distinct(), "doc_id", "left_semi")
     cutoffs = learn_cutoffs(checkpointed(measured(taught, F.col("__text")).drop("__text")), marked)
-    return measured(docs, F.col(text_col).cast("string")).where(verdict(cutoffs, F.col(lang_col).cast("string"))).select(*docs.columns)
+    # The filter reads each measure several times. A column that is not deterministic keeps the optimiser from pushing the
+    # filter below the measures, which would copy their expressions into it.
+    once = measured(docs, F.col(text_col).cast("string")).withColumn("__once", F.rand(1))
+    return once.where((F.col("__once") >= 0) & verdict(cutoffs, F.col(lang_col).cast("string"))).select(*docs.columns)
