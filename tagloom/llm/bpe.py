@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
+from tagloom.llm.common import give_back, slices
+
 #: Bytes of a leaf; longer pre-tokens are split. Distinct pre-tokens kept in a task.
 LEAF, CACHE = 256, 400_000
 #: The white space of the library's pattern.
@@ -51,12 +53,9 @@ class ByteBpe:
     """Encoder and decoder for a byte-level vocabulary file of the tokenizers library."""
 
     def __init__(self, path: str) -> None:
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
-        bare = {**data, "added_tokens": [], "normalizer": None, "post_processor": None, "truncation": None, "padding": None}
-        self.bare = Tokenizer.from_str(json.dumps(bare))
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence([])  # texts come as byte letters already, and unsplit
         self.letters = _byte_letters()
         back = {c: b for b, c in enumerate(self.letters)}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"] if t["special"]}
@@ -77,6 +76,20 @@ class ByteBpe:
             ranks = {t: i for i, t in enumerate(self.tokens) if t and i not in self.special.values()}
             self.ranks = tiktoken.Encoding("own", pat_str=_SPLIT.pattern, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def whole(self) -> Tokenizer:
+        """The library's encoder; built only where a text needs it."""
+        return Tokenizer.from_file(self.path)
+
+    @functools.cached_property
+    def bare(self) -> Tokenizer:
+        """The library's merges alone: texts come as byte letters already, and unsplit."""
+        with open(self.path, encoding="utf-8") as f:
+            data = json.load(f)
+        one = Tokenizer.from_str(json.dumps({**data, "added_tokens": [], "normalizer": None, "post_processor": None, "truncation": None, "padding": None}))
+        one.pre_tokenizer = pre_tokenizers.Sequence([])
+        return one
+
     def units(self, blobs: list[bytes]) -> list[list[int]]:
         """Each blob as one pre-token, in a parallel batch."""
         table = self.letters
@@ -140,18 +153,20 @@ class ByteBpe:
 @functools.cache
 def load(path: str) -> ByteBpe:
     """One codec for each worker process."""
-    return ByteBpe(path)
+    out = ByteBpe(path)
+    give_back()
+    return out
 
 
 def _codec(batches: Iterator[pa.RecordBatch], path: str, keep: bool) -> Iterator[pa.RecordBatch]:
     bpe = load(path)
-    for b in batches:
+    for b in slices(batches, 200):
         cols: list[list] = [[], [], [], [], []]
         for text in b.column(1).to_pylist():
             ids = bpe.encode(text)
             back = bpe.decode(ids)
-            packed = np.array(ids, dtype="<u4").tobytes()
-            row = (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), ids if keep else None, back if keep else None)
+            packed = np.array(ids, dtype="<u4")
+            row = (len(ids), hashlib.sha256(packed.tobytes()).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), packed.astype(np.int32) if keep else None, back if keep else None)
             for c, v in zip(cols, row, strict=True):
                 c.append(v)
         kinds = (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +52,32 @@ def bucket_count(docs: DataFrame, text: str = "text", chars_per_bucket: int = 16
     return max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // chars_per_bucket + 1)
 
 
+#: Workers live on from stage to stage. With the system's allocator, what Arrow and numpy have freed can be given back.
+pa.set_memory_pool(pa.system_memory_pool())
+
+
+def give_back() -> None:
+    """Return freed memory to the machine, so that an idle worker does not keep its peak."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries lack the call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces: what Python makes of one piece bounds a worker's memory."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+        del b
+        give_back()
+
+
 def table_fn(f: Callable, **settings: object) -> Callable:
     """f with its settings bound, as the plain annotated function that applyInArrow asks for."""
 
     def apply(table: pa.Table) -> pa.Table:
-        return f(table, **settings)
+        out = f(table, **settings)
+        give_back()
+        return out
 
     return apply
 

@@ -27,11 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import MIX, block_rows, bucket_count, checkpointed, connected_components, pack, packed_exchange, starts, table_fn, unpack
+from tagloom.llm.common import MIX, block_rows, bucket_count, checkpointed, connected_components, pack, packed_exchange, slices, starts, table_fn, unpack
 
 #: Shingles in a flush, words kept in the hash cache, length of the list of hot shingles, and the
 #: share of a flush's sets that makes a shingle a candidate for that list.
-FLUSH, CACHE, HOT_LIST, HOT_SHARE = 2_000_000, 400_000, 100_000, 0.004
+FLUSH, CACHE, HOT_LIST, HOT_SHARE = 800_000, 300_000, 100_000, 0.004
 #: Prefix shingles of a bucket in the search for sets that meet.
 STAR_ENTRIES = 400_000
 #: Sets and shingles of a block in the verification.
@@ -67,7 +67,7 @@ def _signature(s: np.ndarray) -> int:
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list, list[np.ndarray]]]:
     hashes = _Hashes()
-    for b in batches:
+    for b in slices(batches):
         yield b.column(0).to_pylist(), [shingles(t, n, hashes) for t in b.column(1).to_pylist()]
 
 

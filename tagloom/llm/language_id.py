@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import table_fn
+from tagloom.llm.common import slices, table_fn
 
 #: Buckets of n-grams, and code points scored at once.
 BUCKETS, SLAB = 1 << 16, 1 << 20
@@ -66,7 +66,7 @@ def _slabs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
-    for b in batches:
+    for b in slices(batches):
         langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
         for lang in dict.fromkeys(langs):
             mine = [t for t, x in zip(texts, langs, strict=True) if x == lang]
@@ -124,7 +124,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         names, scores = model.value.predict(b.column(b.num_columns - 1).to_pylist())
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*b.schema.names[:-1], "lang_pred", "score"])
 

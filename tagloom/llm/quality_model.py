@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import checkpointed
+from tagloom.llm.common import checkpointed, slices
 
 #: Bytes of a scored piece, bytes of a piece of a dictionary, bytes of a dictionary, compression level.
 PIECE, SAMPLE, DICTIONARY, LEVEL = 1024, 512, 1_000_000, 3
@@ -77,7 +77,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         rows = []
         for label, doc, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
             blob = (text or "").encode("utf-8", "surrogatepass")
@@ -86,7 +86,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _differences(batches: Iterator[pa.RecordBatch], model: CompressionClassifier) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         x = [model.difference(t) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.float64())], ["label", "x"])
 
@@ -119,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: object) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         scores = [model.value.score(t) for t in b.column(b.num_columns - 1).to_pylist()]
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], [*b.schema.names[:-1], "score"])
 

@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagloom.llm.common import MIX, block_rows, bucket_count, checkpointed, pack, packed_exchange, starts, table_fn, unpack
+from tagloom.llm.common import MIX, block_rows, bucket_count, checkpointed, pack, packed_exchange, slices, starts, table_fn, unpack
 
 #: Bytes of an anchor's name, and text bytes of a flush.
-GRAM, FLUSH = 32, 24_000_000
+GRAM, FLUSH = 32, 16_000_000
 #: Windows of a piece of a long text; a place within a piece and the overlap fits into _PLACE.
 PIECE, _PLACE = 1 << 19, np.uint64((1 << 20) - 1)
 _BYTE = np.random.default_rng(20).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,7 +85,7 @@ def _piece(b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
-    for b in batches:
+    for b in slices(batches):
         for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             blob = (text or "").encode("utf-8", "surrogatepass")
             yield (2**63 - 1 if doc is None else doc), int(np.frombuffer(xxhash.xxh64_digest(blob), np.int64)[0]), blob
@@ -194,7 +194,7 @@ def _merged(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, th, body): texts for the joins, compressed, since they are what the shuffle carries."""
     press = zstandard.ZstdCompressor(level=1)
-    for b in batches:
+    for b in slices(batches):
         rows = [(d, t, press.compress(x)) for d, t, x in _documents(iter([b]))]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["doc", "th", "body"])
 
@@ -211,7 +211,7 @@ def _send_open(batches: Iterator[pa.RecordBatch], length: int, buckets: int) ->
         return block_rows(rows)
 
     press, held, total = zstandard.ZstdDecompressor(), [], 0
-    for b in batches:
+    for b in slices(batches):
         for doc, text, body, spans in zip(*(c.to_pylist() for c in b.columns[:4]), strict=True):
             data = press.decompress(body)
             first, last = unpack(spans, np.uint32, np.uint32)
@@ -267,7 +267,7 @@ def removed_runs(blob: bytes, length: int, *ranges: bytes | None) -> tuple[np.nd
 
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdDecompressor()
-    for b in batches:
+    for b in slices(batches):
         rows = []
         for doc, body, one, two in zip(*(c.to_pylist() for c in b.columns[:4]), strict=True):
             data = press.decompress(body)
@@ -306,7 +306,7 @@ def repeated_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
 
 
 def _clean(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         rows = []
         for text, one, two in zip(*(c.to_pylist() for c in b.columns[-3:]), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
@@ -339,7 +339,7 @@ def dedup_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def _with_key(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         at = b.schema.names.index
         keys = [(d, t) for d, t, _ in _documents(iter([b.select([at(id_col), at(text_col)])]))]
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())], [*b.schema.names, "__doc", "__th"])

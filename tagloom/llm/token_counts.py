@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.bpe import CACHE, ByteBpe, load
+from tagloom.llm.common import slices
 
 
 class _Totals(dict):
@@ -111,7 +112,7 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, budget: int, store: boo
     counter = _counter(path)
     names = ["doc_id", "n_bytes", "n_tokens", "over_limit", "prefix_chars", "prefix_tokens", "fits_chars"]
     kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64())
-    for b in batches:
+    for b in slices(batches):
         rows = []
         for text in b.column(1).to_pylist():
             ends, counts = counter.boundaries(text)
