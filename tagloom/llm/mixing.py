@@ -7,7 +7,7 @@ size, so what a source takes stays near its target.
 
 The order is (size class, hash bucket, doc_id, size, text hash). A document's place in it is the number of rows in earlier
 (class, bucket) groups of its source, from a table of counts, plus its place in its own group. A source has BUCKETS groups
-for each size class, so none is gathered in one task; the counts' running sum sees a row for each group at most. Texts are
+for each size class, so none is gathered in one task; running sums go over a source's classes and a class's buckets. Texts are
 shuffled once, by group, for the join with the counts and the places alike. Nothing is random at run time: reruns agree.
 
 Null texts have size 0. A null source is a source of its own, the last one. Rows with equal doc_id are rows of their own;
@@ -69,8 +69,11 @@ def _placed(base: DataFrame, seed: int) -> DataFrame:
     offset = _hex(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit(""))), 4) / 65536
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = targets.select(F.coalesce("source", F.lit("")).alias("__name"), F.col("source").isNull().alias("__null"), "source_size", "target", offset.alias("__u"), rate.alias("__rate"))
-    before = Window.partitionBy("__name", "__null").orderBy("__class", "__b").rowsBetween(Window.unboundedPreceding, -1)
-    groups = counts.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")).join(targets, ["__name", "__null"])
+    # Rows in earlier size classes, a row for each class; and in earlier buckets of the class, at most BUCKETS rows in a task.
+    earlier = lambda c, *w: F.coalesce(F.sum(c).over(Window.partitionBy(*w[:-1]).orderBy(w[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    classes = counts.groupBy("__name", "__null", "__class").agg(F.sum("n").alias("n"))
+    classes = classes.select("__name", "__null", "__class", earlier("n", "__name", "__null", "__class").alias("__lower")).join(targets, ["__name", "__null"])
+    groups = counts.select(*keys, earlier("n", *keys).alias("__in")).join(classes, ["__name", "__null", "__class"]).withColumn("__before", F.col("__lower") + F.col("__in")).drop("__lower", "__in")
     place = F.col("__before") + F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id", "size", "__h"))
     placed = base.join(groups, keys).withColumn("__place", place)
     steps = lambda k: F.floor(F.col("__u") + F.col("__rate") * k)
