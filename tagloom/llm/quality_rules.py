@@ -1,14 +1,18 @@
 """Quality rules with risk-controlled thresholds, in DataFrame operations only.
 
 Each rule rejects a document whose measure exceeds a cutoff. Cutoffs come from a fixed grid. Labelled documents decide
-which of them are safe in a stratum (a language, and all languages together): a cutoff is safe if an exact binomial
-test rejects, at level DELTA divided by the number of all tests (strata x rules x cutoffs), that it rejects a
-share RISK or more of good documents. Hence, with probability 1 - DELTA, no safe cutoff anywhere rejects more. Of
-the safe ones the cutoff that parts bad from good best is taken, the more lenient of equal ones; a rule without
-a safe cutoff in a stratum follows the cutoff for all languages, or rests.
-
-Measures are computed within the row from whole texts. What reaches the driver are counts per (stratum, rule, cutoff),
-STRATA strata at most: the others use the common cutoffs.
+which are used in a stratum (a language, and all languages together). A third of their ids chooses, for each rule, the
+cutoff that parts bad from good best, the more lenient of equal ones; a rule without such a cutoff in a stratum tries that
+of all languages. The other ids test the chosen rules together, the best rule first and then one more at a time: an
+exact binomial test at level DELTA / strata has to reject that a share RISK or more of the stratum's good documents
+go by any of them, and the first failure ends the stratum's list. A fixed sequence needs no further correction, so
+with probability 1 - DELTA the rules of no stratum reject together RISK or more of its good documents. Each cutoff is
+then raised as far as a test of it alone on all labelled documents asks (DELTA / (strata x rules x cutoffs)); what
+passes no test rests.
+
+Measures are computed within the row from whole texts. What reaches the driver are counts per (stratum, rule, cutoff) and
+per (stratum, set of rejecting rules), STRATA strata at most. In the others, and in strata without labels, all rules but
+the base rule rest: nothing was tested there.
 
 Null, empty and word-less texts have measures 0 and fail the base rule. A null language is a stratum like others
 without labels. Repeated rows are rows of their own; labels apply to all rows of an id, the lower label if they differ.
@@ -21,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import checkpointed, words
+from tagloom.llm.common import checkpointed, crc_fold, words
 
 RISK, DELTA, STRATA = 0.05, 0.05, 256
 #: How much a point of good documents' share counts against a point of bad ones'.
@@ -90,33 +94,67 @@ def measure(rule: str) -> Column:
     return F.expr(text)
 
 
+def _of_stratum(values: dict[str, float], stratum: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(v) for kv in values.items() for v in kv)), stratum)
+
+
 def learn_cutoffs(counted: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", lang_col: str = "lang", label_col: str = "quality", risk: float = RISK, delta: float = DELTA) -> dict[str, dict[str, float]]:
     """{stratum: {rule: cutoff}}; `counted` has the columns of `measured`. Rows that fail the base rule teach nothing."""
     marked = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).alias("__y"))
     rows = counted.where(~base_failed()).join(marked, F.col(id_col) == F.col("__id"))
     grid = F.array(*map(F.lit, GRID))
     above = lambda rule: F.struct(F.lit(rule).alias("rule"), F.size(F.filter(grid, lambda g: measure(rule) > g)).alias("above"))
-    long = rows.select(F.explode(F.array(F.coalesce(F.col(lang_col), F.lit("null")), F.lit(ALL))).alias("stratum"), "__y", F.array(*(above(r) for r in MEASURES)).alias("r"))
-    counts = long.select("stratum", "__y", F.inline("r").alias("rule", "above")).groupBy("stratum", "rule", "above", "__y").agg(F.count("*").alias("n"))
+    chooses = (crc_fold(F.col("__id"), 3) == 0).alias("chooses")
+    long = rows.select(F.explode(F.array(F.coalesce(F.col(lang_col), F.lit("null")), F.lit(ALL))).alias("stratum"), "__y", chooses, F.array(*(above(r) for r in MEASURES)).alias("r"))
+    counts = long.select("stratum", "__y", "chooses", F.inline("r").alias("rule", "above")).groupBy("stratum", "rule", "above", "__y", "chooses").agg(F.count("*").alias("n"))
     per = counts.where(F.col("rule") == next(iter(MEASURES))).groupBy("stratum").agg(F.sum("n").alias("c"))
     top = per.orderBy(F.desc("c"), "stratum").limit(STRATA).select(F.col("stratum").alias("s"))
-    table = counts.join(top, F.col("stratum") == F.col("s"), "left_semi").collect()
-    strata = {r["stratum"] for r in table}
-    level = delta / max(1, len(strata) * len(MEASURES) * len(GRID))
-    out: dict[str, dict[str, float]] = {}
-    for s in sorted(strata):
+    cells: dict[tuple[str, str], list] = {}
+    for r in counts.join(top, F.col("stratum") == F.col("s"), "left_semi").collect():
+        cells.setdefault((r["stratum"], r["rule"]), []).append(r)
+    strata = sorted({s for s, _ in cells}, key=lambda s: (s != ALL, s))
+
+    chosen: dict[str, dict[str, int]] = {}  # rules in the order of their gain, with places in the grid
+    for s in strata:
+        gains = {}
         for rule in MEASURES:
-            cells = [r for r in table if r["stratum"] == s and r["rule"] == rule]
-            n = [sum(r["n"] for r in cells if r["__y"] == y) for y in (0, 1)]
+            mine = [r for r in cells[s, rule] if r["chooses"]]
+            n = [sum(r["n"] for r in mine if r["__y"] == y) for y in (0, 1)]
             best = (0.0, None)
             for k in reversed(range(len(GRID))):  # the most lenient first
-                bad, good = (sum(r["n"] for r in cells if r["__y"] == y and r["above"] > k) for y in (0, 1))
-                if good > risk * n[1] or not n[1] or binomial_tail(good, n[1], risk) > level:
+                bad, good = (sum(r["n"] for r in mine if r["__y"] == y and r["above"] > k) for y in (0, 1))
+                if good > risk * n[1]:
                     break  # stricter ones reject more
-                gain = bad / max(1, n[0]) - GOOD_WEIGHT * good / n[1]
-                best = max(best, (gain, GRID[k]), key=lambda x: x[0])
+                best = max(best, (bad / max(1, n[0]) - GOOD_WEIGHT * good / max(1, n[1]), k), key=lambda x: x[0])
             if best[1] is not None:
-                out.setdefault(s, {})[rule] = best[1]
+                gains[rule] = best
+        chosen[s] = {rule: gains[rule][1] for rule in sorted(gains, key=lambda r: -gains[r][0])}
+        chosen[s] |= {rule: k for rule, k in chosen.get(ALL, {}).items() if rule not in chosen[s]}
+
+    # Of the good rows that test, how many each set of a stratum's chosen rules rejects; a set is a number of four bits.
+    limits = {rule: {s: float(GRID[c[rule]]) for s, c in chosen.items() if rule in c} for rule in MEASURES}
+    over = [F.coalesce(measure(rule) > _of_stratum(limits[rule], F.col("stratum")), F.lit(False)).cast("int") * 2**k for k, rule in enumerate(MEASURES) if limits[rule]]
+    tests = rows.where((F.col("__y") == 1) & (crc_fold(F.col("__id"), 3) != 0)).withColumn("stratum", F.explode(F.array(F.coalesce(F.col(lang_col), F.lit("null")), F.lit(ALL))))
+    sets = tests.where(F.col("stratum").isin(strata)).groupBy("stratum", sum(over, F.lit(0)).alias("set")).agg(F.count("*").alias("n")).collect() if over else []
+
+    level = delta / max(1, len(strata) * len(MEASURES) * len(GRID))
+    bit = {rule: 2**k for k, rule in enumerate(MEASURES)}
+    out: dict[str, dict[str, float]] = {}
+    for s in strata:
+        mine, together = [r for r in sets if r["stratum"] == s], 0
+        n = sum(r["n"] for r in mine)
+        for rule, least in chosen[s].items():
+            together |= bit[rule]
+            gone = sum(r["n"] for r in mine if r["set"] & together)
+            if gone >= risk * n or binomial_tail(gone, n, risk) > delta / len(strata):
+                break
+            good = [r for r in cells[s, rule] if r["__y"] == 1]
+            total = sum(r["n"] for r in good)
+            for k in range(least, len(GRID)):
+                gone = sum(r["n"] for r in good if r["above"] > k)
+                if gone < risk * total and binomial_tail(gone, total, risk) <= level:
+                    out.setdefault(s, {})[rule] = GRID[k]
+                    break
     return out
 
 
@@ -125,12 +163,9 @@ def verdict(cutoffs: dict[str, dict[str, float]], lang: Column) -> Column:
     ok = ~base_failed()
     stratum = F.coalesce(lang, F.lit("null"))
     for rule in MEASURES:
-        common = cutoffs.get(ALL, {}).get(rule)
-        own = {s: c[rule] for s, c in cutoffs.items() if rule in c and s != ALL and c[rule] != common}
-        limit = F.lit(common).cast("double")
+        own = {s: c[rule] for s, c in cutoffs.items() if rule in c and s != ALL}
         if own:
-            limit = F.coalesce(F.try_element_at(F.create_map(*(F.lit(v) for kv in own.items() for v in kv)), stratum), limit)
-        ok = ok & F.coalesce(measure(rule) <= limit, F.lit(True))
+            ok = ok & F.coalesce(measure(rule) <= _of_stratum(own, stratum), F.lit(True))
     return ok
 
 

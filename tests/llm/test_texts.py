@@ -150,6 +150,39 @@ def test_cutoffs_are_safe_and_used(spark):
     assert kept.columns == docs.columns and kept.count() == quality_rules.quality_rules(docs, labels).where("kept").count()
 
 
+def counted_rows(spark, rows):
+    """(lang, quality, symbols, doubled lines, repeats, capitals), in thousandths, as measured rows and labels."""
+    columns = "doc_id long, lang string, __n_words long, __word_chars long, __n_symbols long, __n_lines long, __n_dup_lines long, __n_repeat_words long, __n_upper long"
+    counted = spark.createDataFrame([(k, lang, 1000, 1000, a, 1000, b, c, d) for k, (lang, _, a, b, c, d) in enumerate(rows)], columns)
+    return counted, spark.createDataFrame([(k, r[1]) for k, r in enumerate(rows)], "doc_id long, quality int")
+
+
+def test_common_cutoff_rests_where_it_is_not_safe(spark):
+    """'*' is safe although it would reject all of a small language, and one without labels."""
+    rows = [*[("en", 1, 0, 0, 0, 0)] * 3000, *[("en", 0, 500, 0, 0, 0)] * 300, *[("xx", 1, 500, 0, 0, 0)] * 6]
+    counted, labels = counted_rows(spark, rows)
+    cutoffs = quality_rules.learn_cutoffs(counted, labels)
+    assert cutoffs["*"]["symbols"] < 0.5
+    kept = counted.unionByName(counted.where("lang = 'xx'").withColumn("lang", F.lit("unseen"))).where(quality_rules.verdict(cutoffs, F.col("lang")))
+    assert {r["lang"]: r["count"] for r in kept.groupBy("lang").count().collect()} == {"en": 3000, "xx": 6, "unseen": 6}
+
+
+def test_common_cutoff_holds_where_it_is_safe(spark):
+    rows = [*[("en", 1, 0, 0, 0, 0)] * 3000, *[("en", 0, 500, 0, 0, 0)] * 300, *[("de", 1, 0, 0, 0, 0)] * 3000]
+    cutoffs = quality_rules.learn_cutoffs(*counted_rows(spark, rows))
+    assert cutoffs["de"] == {"symbols": cutoffs["*"]["symbols"]}
+
+
+def test_rules_together_keep_the_risk(spark):
+    """Four rules that each reject another 2 % of the good rows are safe one by one, but not together."""
+    one = lambda k, v: tuple(v if j == k else 0 for j in range(4))
+    rows = [*[("en", 1, 0, 0, 0, 0)] * 2760, *(("en", 1, *one(k, 400)) for k in range(4) for _ in range(60)), *(("en", 0, *one(k, 300)) for k in range(4) for _ in range(100))]
+    counted, labels = counted_rows(spark, rows)
+    cutoffs = quality_rules.learn_cutoffs(counted, labels)
+    good = counted.join(labels.where("quality = 1"), "doc_id")
+    assert good.where(~quality_rules.verdict(cutoffs, F.col("lang"))).count() < quality_rules.RISK * 3000
+
+
 def test_binomial_tail():
     for n, p in ((10, 0.3), (50, 0.05)):
         for k in range(0, n + 1, 3):
