@@ -21,9 +21,8 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id stays."""
-    stay = jaccard_join.ngram_jaccard_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi")
+    """Of each group of linked documents, the one with the smallest id stays; rows without an id come after all others."""
+    return jaccard_join.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import MIX, block_rows, bucket_count, checkpointed, connected_components, pack, packed_exchange, slices, starts, table_fn, unpack
@@ -65,25 +65,25 @@ def _signature(s: np.ndarray) -> int:
     return int(np.frombuffer(xxhash.xxh64_digest(s.tobytes()), np.int64)[0]) if len(s) else 0
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list, list[np.ndarray], pa.Array]]:
     hashes = _Hashes()
     for b in slices(batches):
-        yield b.column(0).to_pylist(), [shingles(t, n, hashes) for t in b.column(1).to_pylist()]
+        yield b.column(0).to_pylist(), [shingles(t, n, hashes) for t in b.column(1).to_pylist()], b.column(2)
 
 
 def _sign(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """A row for each document and, with kind 1, a row for each locally hot shingle."""
-    schema = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64())])
+    schema = pa.schema([("kind", pa.int8()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.int64()), ("text_hash", pa.int64())])
 
     def hot(held: list[np.ndarray]) -> pa.RecordBatch:
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         tokens, counts = (x[counts >= max(16, HOT_SHARE * len(held))] for x in (tokens, counts))
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int8)), pa.nulls(len(tokens), pa.int64()), pa.array(counts.astype(np.int64)), pa.array(tokens.view(np.int64))], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int8)), pa.nulls(len(tokens), pa.int64()), pa.array(counts.astype(np.int64)), pa.array(tokens.view(np.int64)), pa.nulls(len(tokens), pa.int64())], schema=schema)
 
     held, size, seen = [], 0, set()
-    for ids, sets in _sets(batches, n):
+    for ids, sets, hashes in _sets(batches, n):
         sigs = [_signature(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int8)), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int8)), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), hashes], schema=schema)
         for sig, s in zip(sigs, sets, strict=True):
             if len(s) and sig not in seen:
                 seen.add(sig)
@@ -121,7 +121,7 @@ def _spread(batches: Iterator[pa.RecordBatch], n: int, buckets: int, hot: np.nda
         return block_rows(rows)
 
     held, total, seen = [], 0, set()
-    for _, sets in _sets(batches, n):
+    for _, sets, _ in _sets(batches, n):
         for s in sets:
             if len(s) and (sig := _signature(s)) not in seen:
                 seen.add(sig)
@@ -328,17 +328,13 @@ def _verify(table: pa.Table, percent: int) -> pa.Table:
     return pa.Table.from_arrays([cat(out_sig), cat(out_root), cat(out_links)], ["sig", "root", "links"])
 
 
-def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for every row: set size, smallest id reachable by links, linked rows.
-
-    Two rows link when 100 * |intersection| >= percent * |union|; no link is lost and none is approximate
-    (64-bit hashes stand for shingles and sets).
-    """
+def _linked(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, sig, text_hash) of every row, and (sig, component, component_id, n_links) of every set but the empty one."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     buckets = bucket_count(docs)
-    signed = checkpointed(docs.mapInArrow(functools.partial(_sign, n=n), "kind tinyint, doc_id long, n long, sig long"))
-    rows = signed.where("kind = 0").select("doc_id", "n", "sig")
+    signed = checkpointed(docs.mapInArrow(functools.partial(_sign, n=n), "kind tinyint, doc_id long, n long, sig long, text_hash long"))
+    rows = signed.where("kind = 0").select("doc_id", "n", "sig", "text_hash")
     listed = signed.where("kind = 1").groupBy("sig").agg(F.sum("n").alias("c")).orderBy(F.desc("c"), "sig").limit(HOT_LIST).collect()
     listed = sorted((np.int64(r["sig"]).astype(np.uint64), min(r["c"], 2**32 - 1)) for r in listed)
     hot, hot_df = np.array([x[0] for x in listed], np.uint64), np.array([max(2, x[1]) for x in listed], np.uint32)
@@ -367,7 +363,35 @@ def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     counted = links.groupBy("sig").agg(F.sum("links").alias("links"))
     named = classes.join(final, "sig", "left").join(counted, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "component").select("sig", "component_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"))
+    return rows, named.join(least, "component").select("sig", "component", "component_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"))
+
+
+def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row: set size, smallest id reachable by links, linked rows.
+
+    Two rows link when 100 * |intersection| >= percent * |union|; no link is lost and none is approximate
+    (64-bit hashes stand for shingles and sets).
+    """
+    rows, named = _linked(docs, id_col, text_col, n, percent)
     full = rows.where("n > 0").join(named, "sig").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
     empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(empty)
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of docs without near copies: of the rows of a component, one stays.
+
+    It is the first in the order of id (nulls last), hash of the text and hash of all columns; rows equal in all of
+    them are alike, and one of them stays. Rows with an empty set link with nothing and stay, repeated or not.
+    """
+    rows, named = _linked(docs, id_col, text_col, n, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))
+    first = rows.where("n > 0").join(named.select("sig", "component"), "sig").groupBy("component").agg(F.min(place).alias("p")).select("p.*", F.lit(False).alias("all"))
+    empty = rows.where("n = 0").select(F.inline(F.array(place))).distinct().withColumn("all", F.lit(True))
+    key = ["no_id", "id", "hash"]
+    own_id = F.col(id_col).cast("long")
+    mine = docs.select(own_id.isNull().alias("no_id"), F.coalesce(own_id, F.lit(0)).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.struct(*docs.columns).alias("row"))
+    # Rows that share id and text share all keys; the window finds them where the join has put them.
+    order = Window.partitionBy(*key).orderBy(F.xxhash64("row"))
+    found = mine.join(first.unionByName(empty), key).withColumn("k", F.row_number().over(order))
+    return found.where("all or k = 1").select("row.*")

@@ -77,6 +77,41 @@ def test_jaccard_join_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == linked(rows)
 
 
+def test_one_row_of_each_component(spark):
+    """Null ids stay, copies of one id become one row, and an id with two texts keeps only what is first of its group."""
+    r = random.Random(11)
+    one, two, three, four = (" ".join(str(r.random()) for _ in range(40)) for _ in range(4))
+    near = lambda t: t + " end"
+    rows = [
+        (None, one, "x", "a"), (None, two, "x", "a"), (None, two, "x", "a"), (None, near(two), "x", "a"), (3, three, "x", "a"), (3, three, "x", "a"), (3, three, "x", None),
+        (5, near(three), "x", "a"), (5, four, "x", "a"), (None, four, "x", "a"), (None, "", "x", "a"), (None, None, "x", "a"), (7, "", "x", "a"), (7, "", "x", "a"),
+    ]
+    out = jaccard_join.one_of_each(frame(spark, rows))
+    assert out.columns == ["doc_id", "text", "sig", "__t"]
+    got = [(x["doc_id"], x["text"]) for x in out.collect()]
+    twos = [x for x in got if x[1] in (two, near(two))]
+    assert len(twos) == 1 and twos[0][0] is None
+    rest = [(None, one), (3, three), (5, four), (None, ""), (None, None), (7, ""), (7, "")]
+    assert sorted((x for x in got if x not in twos), key=repr) == sorted(rest, key=repr)
+    assert jaccard_join.one_of_each(frame(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_row_of_each_component_of_many(spark, seed):
+    rows = corpus(seed)
+    got = [x["doc_id"] for x in jaccard_join.one_of_each(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted({component for _, _, component, _ in linked(rows)})
+
+
+def test_pipeline_stage_drops_copies_that_share_an_id(spark):
+    import corpus_pipeline
+
+    text = " ".join(str(k) for k in range(40))
+    rows = [(1, text, "x", "a"), (1, text, "x", "a"), (None, " ".join(str(-k) for k in range(40)), "x", "a")]
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), "")
+    assert sorted((r["doc_id"] or 0) for r in got.collect()) == [0, 1]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.ngram_jaccard_join(docs).count() == 0
