@@ -62,15 +62,31 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in small pieces: what Python makes of one piece bounds a worker's memory."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most `rows` rows, and `size` bytes or one row: what Python makes of a piece bounds a worker's memory."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        weight = _row_bytes(b)
+        at = 0
+        while at < b.num_rows:
+            step = max(1, min(rows, int(np.searchsorted(weight, weight[at] + size, side="right")) - 1 - at))
+            yield b.slice(at, step)
+            at += step
         del b
         give_back()
 
 
+def _row_bytes(b: pa.RecordBatch) -> np.ndarray:
+    """Bytes of the texts and binaries before each row, from the offsets of the columns."""
+    out = np.zeros(b.num_rows + 1, np.int64)
+    for c in b.columns:
+        wide = pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type)
+        if (wide or pa.types.is_string(c.type) or pa.types.is_binary(c.type)) and b.num_rows:
+            kind = np.int64 if wide else np.int32
+            ends = np.frombuffer(c.buffers()[1], kind, b.num_rows + 1, c.offset * np.dtype(kind).itemsize)
+            out += ends - ends[0]
+    return out
+
+
 def table_fn(f: Callable, **settings: object) -> Callable:
     """f with its settings bound, as the plain annotated function that applyInArrow asks for."""
 

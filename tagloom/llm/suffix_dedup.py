@@ -101,8 +101,11 @@ def _per_doc(key: np.ndarray, doc: np.ndarray, text: np.ndarray, *rest: np.ndarr
     return out
 
 
-def _home(text: np.ndarray, buckets: int) -> np.ndarray:
-    return (text.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+def _home(doc: np.ndarray, text: np.ndarray, buckets: int) -> np.ndarray:
+    """A document's bucket; copies of one text are spread by their ids."""
+    mixed = doc.view(np.uint64) * MIX[0] + text.view(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * MIX[1]
+    return ((mixed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _send_runs(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -117,7 +120,7 @@ def _send_runs(batches: Iterator[pa.RecordBatch], length: int, buckets: int) ->
         first, last = first.astype(np.uint32), last.astype(np.uint32)
         rows = [(k, b"\0" + p) for k, p in _per_doc((anchor[lead] % np.uint64(buckets)).astype(np.int64), doc[lead], text[lead], anchor[lead], whole[lead], first[lead], (last - first)[lead].astype(np.uint16))]
         again = ~lead
-        rows += [(k, b"\1" + p) for k, p in _per_doc(_home(text[again], buckets), doc[again], text[again], first[again], last[again], np.ones(int(again.sum()), np.uint8))]
+        rows += [(k, b"\1" + p) for k, p in _per_doc(_home(doc[again], text[again], buckets), doc[again], text[again], first[again], last[again], np.ones(int(again.sum()), np.uint8))]
         return block_rows(rows)
 
     held, size, seen = [], 0, set()
@@ -159,7 +162,7 @@ def _rerank(table: pa.Table, buckets: int) -> pa.Table:
         same = np.zeros(len(doc), bool)
         same[1:] = (doc[1:] == doc[:-1]) & (text[1:] == text[:-1]) & (first[1:] == first[:-1]) & (anchor[1:] == anchor[:-1]) & (whole[1:] == whole[:-1])
         keep = ((lead == 0) | several) & ~same
-        rows += _per_doc(_home(text[keep], buckets), doc[keep], text[keep], first[keep], first[keep] + more[keep], (lead[keep] == 0).astype(np.uint8))
+        rows += _per_doc(_home(doc[keep], text[keep], buckets), doc[keep], text[keep], first[keep], first[keep] + more[keep], (lead[keep] == 0).astype(np.uint8))
     return pa.Table.from_batches([block_rows(rows)])
 
 
@@ -253,7 +256,7 @@ def _rank_windows(table: pa.Table, length: int, buckets: int) -> pa.Table:
     d, t, p = d[order], t[order], p[order]
     at = starts(d, t, p.astype(np.int64) - np.arange(len(p))) if len(p) else np.zeros(0, np.int64)
     end = p[np.append(at[1:], len(p)) - 1] if len(p) else p
-    return pa.Table.from_batches([block_rows(_per_doc(_home(t[at], buckets), d[at], t[at], p[at], end, np.ones(len(at), np.uint8)))])
+    return pa.Table.from_batches([block_rows(_per_doc(_home(d[at], t[at], buckets), d[at], t[at], p[at], end, np.ones(len(at), np.uint8)))])
 
 
 def removed_runs(blob: bytes, length: int, *ranges: bytes | None) -> tuple[np.ndarray, np.ndarray]:

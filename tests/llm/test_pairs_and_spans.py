@@ -159,6 +159,29 @@ def test_long_texts_go_in_pieces():
     assert per_window(whole) == per_window(pieces)
 
 
+def test_copies_spread_over_buckets():
+    """What is found about 5,000 copies of one text is dealt by document, so no bucket has them all."""
+    import numpy as np
+
+    home = suffix_dedup._home(np.arange(5000), np.full(5000, -7), 400)
+    counts = np.bincount(home, minlength=400)
+    assert (counts > 0).sum() > 390 and counts.max() < 40
+
+
+def test_slices_are_bounded_by_bytes():
+    import pyarrow as pa
+
+    from tagloom.llm.common import slices
+
+    texts = ["x" * n for n in (10, 5000, 20_000, 3, 0, 9000, 9000)] + ["y"] * 900 + [None]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["a", "b"])
+    for batch in (whole, whole.slice(2)):
+        got = list(slices(iter([batch]), rows=500, size=10_000))
+        assert [x for g in got for x in g.column(1).to_pylist()] == batch.column(1).to_pylist()
+        assert all(g.num_rows <= 500 and (g.num_rows == 1 or sum(len(x or "") for x in g.column(1).to_pylist()) <= 10_000) for g in got)
+    assert list(slices(iter([whole.slice(0, 0)]))) == []
+
+
 def test_substrings_on_given_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = suffix_dedup.repeated_substrings(docs).drop("span_from", "span_to").collect()
