@@ -1,14 +1,22 @@
 """Byte-level BPE encoding and decoding with exact tree concatenation.
 
-Stretches of ordinary text are encoded at once. A long pre-token (an unsplit text) is halved down to leaves; the leaves are encoded in one parallel batch and neighbours are
-concatenated up the tree: tokens around a join are encoded anew in growing windows until the first and the
-last token of the window are those of the two sides. Two such encodings agree exactly with encoding the
-whole, since a token sequence is the encoding of its bytes if each pair of neighbours is.
+A text is halved down to leaves, at any character. The leaves of many texts are encoded by the tokenizers library in
+parallel batches, and neighbours are concatenated up the tree: a window around the join is split and encoded
+anew, and grows until both sides agree.
 
-Texts of ASCII and Latin letters are split by this module; all others go to the library as a whole, so that
-its own Unicode tables decide. Special tokens in texts are matched first, as the library does by default.
+* On the left the window begins where a pre-token of the left half begins, SURE bytes (two characters or more) before its
+  end. A pre-token's end is decided by what stands up to the character after its run, and by the two characters after an
+  apostrophe; so the split of the whole is that of the half up to there.
+* On the right it has to reach a place where a pre-token of the right half begins, SURE bytes before its own end (or the
+  end of the text). How a text is split from a place on depends on nothing before it, so both agree from there on.
+* Inside a pre-token that both halves share (a long unsplit text), the window grows token by token until its first and
+  last token are those of the two sides: a token sequence is the encoding of its bytes if each pair of neighbours is.
 
-Null encodes as the empty text. Very long texts and pre-tokens need time about in proportion to their length.
+A long text costs work in proportion to its length (times the levels of the tree where nothing splits it), and
+memory in proportion to its tokens. Special tokens in texts are matched first, as the library does by default. Vocabulary
+files that normalise or split otherwise are left to the library as a whole.
+
+Null encodes as the empty text.
 """
 
 from __future__ import annotations
@@ -17,6 +25,7 @@ import functools
 import hashlib
 import json
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,23 +33,19 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
+from tokenizers import Encoding, Tokenizer, pre_tokenizers
 
 from tagloom.llm.common import give_back, slices
 
-#: Bytes of a leaf; longer pre-tokens are split. Distinct pre-tokens kept in a task.
+#: Characters of a leaf of a text, leaves in a batch, bytes before an end that the split does not depend on.
+TEXT_LEAF, BATCH, SURE = 1024, 512, 8
+#: Bytes of a leaf of a pre-token; longer pre-tokens are split. Distinct pre-tokens kept in a task.
 LEAF, CACHE = 256, 400_000
 #: The white space of the library's pattern.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 _SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 #: Up to here all Unicode versions agree about letters, digits and white space.
 _PLAIN = regex.compile(r"[\x00-ɏ‐-‧€]*")
-_BLANK = regex.compile(rf"[{_WHITE}]{{{LEAF // 4}}}")
-
-
-def _short(text: str) -> bool:
-    """Whether no pre-token can have more than LEAF bytes (plain characters have three at most)."""
-    return max(map(len, text.split()), default=0) < LEAF // 4 and not _BLANK.search(text)
 
 
 def _byte_letters() -> list[str]:
@@ -49,6 +54,18 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + b - sum(x < b for x in shown)) for b in range(256)]
 
 
+class Part(NamedTuple):
+    """An encoding, and where in it pre-tokens begin."""
+
+    ids: list[int]
+    cuts: list[int]
+
+
+def _part(e: Encoding) -> Part:
+    words = e.word_ids
+    return Part(e.ids, [k for k, w in enumerate(words) if not k or w != words[k - 1]])
+
+
 class ByteBpe:
     """Encoder and decoder for a byte-level vocabulary file of the tokenizers library."""
 
@@ -64,6 +81,7 @@ class ByteBpe:
             self.tokens[i] = bytes(back[c] for c in token)
         for token, i in self.special.items():
             self.tokens[i] = token.encode()
+        self.size = list(map(len, self.tokens))
         self.ids = {b: i for i, b in enumerate(self.tokens) if b}
         plain = data["normalizer"] is None and data["post_processor"] is None and data["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         plain = plain and all(not t[k] for t in data["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
@@ -78,9 +96,15 @@ class ByteBpe:
 
     @functools.cached_property
     def whole(self) -> Tokenizer:
-        """The library's encoder; built only where a text needs it."""
+        """The library's encoder."""
         return Tokenizer.from_file(self.path)
 
+    @functools.cached_property
+    def leaves(self) -> Tokenizer:
+        """The library's encoder without special tokens."""
+        with open(self.path, encoding="utf-8") as f:
+            return Tokenizer.from_str(json.dumps({**json.load(f), "added_tokens": [], "truncation": None, "padding": None}))
+
     @functools.cached_property
     def bare(self) -> Tokenizer:
         """The library's merges alone: texts come as byte letters already, and unsplit."""
@@ -126,26 +150,95 @@ class ByteBpe:
             return self.tree(blob)
         return self.ranks._encode_single_piece(blob) if self.ranks else self.units([blob])[0]
 
-    def pieces(self, text: str) -> list[str] | None:
-        """Pre-tokens of a text without special tokens; None if the library has to decide."""
-        return _SPLIT.findall(text) if self.plain and _PLAIN.fullmatch(text) else None
+    def pieces(self, text: str) -> list[str]:
+        """Pre-tokens of a text without special tokens; the library decides about characters that Unicode versions may class differently."""
+        if self.plain and _PLAIN.fullmatch(text):
+            return _SPLIT.findall(text)
+        return [text[a:z] for _, (a, z) in self.whole.pre_tokenizer.pre_tokenize_str(text)]
 
-    def encode(self, text: str | None) -> list[int]:
-        text, out, at = text or "", [], 0
-        for stop in [*(self.stop.finditer(text) if self.stop else ()), None]:
-            part = text[at : stop.start() if stop else len(text)]
-            if self.ranks and _PLAIN.fullmatch(part) and _short(part):
-                out += self.ranks.encode_ordinary(part)
-            elif (parts := self.pieces(part)) is not None:
-                for p in parts:
-                    out += self.unit(p.encode())
-            else:
-                out += self.whole.encode(part, add_special_tokens=False).ids
-            if stop:
-                out.append(self.special[stop[0]])
-                at = stop.end()
+    def concat(self, left: Part, right: Part) -> Part:
+        """The encoding of two halves of a text without special tokens, from the encodings of both."""
+        if not left.ids or not right.ids:
+            return left if left.ids else right
+        size, i, j = self.size, 1, 1
+        while True:
+            begin = left.cuts[-i] if i < len(left.cuts) else 0
+            a = sum(size[t] for t in left.ids[begin:])
+            if begin and a < SURE:
+                i *= 2
+                continue
+            stop = right.cuts[j] if j < len(right.cuts) else len(right.ids)
+            known = {**self._places(left, begin, len(left.ids), 0), **self._places(right, 0, stop, a)}
+            window = b"".join(self.tokens[t] for t in left.ids[begin:] + right.ids[:stop])
+            sure = len(window) - (SURE if stop < len(right.ids) else 0)
+            meets = {a: 0, **{place: token for (_, place), (side, _, token) in known.items() if side is right}}
+            ids, cuts, at = [], [], 0
+            for piece in self.pieces(window.decode("utf-8", "surrogatepass")):
+                end = at + len(piece.encode("utf-8", "surrogatepass"))
+                if end > sure:
+                    break
+                cuts.append(begin + len(ids))
+                ids += self._piece(window[at:end], at, end, a, known)
+                at = end
+                if at in meets:
+                    here, there = begin + len(ids), meets[at]
+                    new = [here + c - there for c in right.cuts if c >= there]
+                    return Part(left.ids[:begin] + ids + right.ids[there:], [c for c in left.cuts if c < begin] + cuts + new)
+            j *= 2
+
+    def _places(self, part: Part, first: int, last: int, at: int) -> dict[tuple[int, int], tuple[Part, int, int]]:
+        """(from, to) in bytes of each pre-token between two tokens, with its part and tokens."""
+        out, cuts = {}, [c for c in part.cuts if first <= c < last] + [last]
+        for k, m in zip(cuts[:-1], cuts[1:], strict=True):
+            end = at + sum(self.size[t] for t in part.ids[k:m])
+            out[at, end] = (part, k, m)
+            at = end
         return out
 
+    def _piece(self, blob: bytes, start: int, end: int, middle: int, known: dict) -> list[int]:
+        """One pre-token of a window: as either side has it, or from the two pieces that the join has parted, or anew."""
+        if (same := known.get((start, end))) is not None:
+            return same[0].ids[same[1] : same[2]]
+        one, two = known.get((start, middle)), known.get((middle, end))
+        if one is not None and two is not None:
+            return self.join(one[0].ids[one[1] : one[2]], two[0].ids[two[1] : two[2]])
+        return self.unit(blob)
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+        """The ids of each text; the leaves of all texts are encoded in parallel batches."""
+        if not self.plain:
+            yield from (e.ids for e in self.whole.encode_batch([t or "" for t in texts], add_special_tokens=False))
+            return
+        plans, leaves = [], []
+        for text in texts:
+            text, plan, at = text or "", [], 0
+            for stop in [*(self.stop.finditer(text) if self.stop else ()), None]:
+                part = text[at : stop.start() if stop else len(text)]
+                count = -(-len(part) // TEXT_LEAF)
+                leaves += [part[k * len(part) // count : (k + 1) * len(part) // count] for k in range(count)]
+                plan.append((count, self.special[stop[0]] if stop else None))
+                at = stop.end() if stop else at
+            plans.append(plan)
+        found = (e for a in range(0, len(leaves), BATCH) for e in self.leaves.encode_batch(leaves[a : a + BATCH], add_special_tokens=False))
+        for plan in plans:
+            ids: list[int] = []
+            for count, special in plan:
+                if count == 1:
+                    ids += next(found).ids
+                elif count:
+                    ids += self.up([_part(next(found)) for _ in range(count)]).ids
+                if special is not None:
+                    ids.append(special)
+            yield ids
+
+    def up(self, level: list[Part]) -> Part:
+        while len(level) > 1:
+            level = [self.concat(*level[k : k + 2]) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
+        return level[0]
+
+    def encode(self, text: str | None) -> list[int]:
+        return next(self.encode_all([text]))
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -162,8 +255,7 @@ def _codec(batches: Iterator[pa.RecordBatch], path: str, keep: bool) -> Iterator
     bpe = load(path)
     for b in slices(batches, 200):
         cols: list[list] = [[], [], [], [], []]
-        for text in b.column(1).to_pylist():
-            ids = bpe.encode(text)
+        for ids in bpe.encode_all(b.column(1).to_pylist()):
             back = bpe.decode(ids)
             packed = np.array(ids, dtype="<u4")
             row = (len(ids), hashlib.sha256(packed.tobytes()).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), packed.astype(np.int32) if keep else None, back if keep else None)

@@ -32,6 +32,7 @@ def test_bpe_is_that_of_the_library(spark):
         assert own.encode(t) == ids
         assert own.decode(ids) == whole.decode(ids, skip_special_tokens=False)
         assert counter.count(t) == len(ids)
+    assert all(own.pieces(t) == [t[a:z] for _, (a, z) in whole.pre_tokenizer.pre_tokenize_str(t)] for t in texts)
     own.ranks = None  # the way for vocabularies whose ids are not in merge order
     assert all(own.encode(t) == whole.encode(t, add_special_tokens=False).ids for t in texts[:40])
     df = spark.createDataFrame([(k, t, "x") for k, t in enumerate([*texts, None])], "doc_id long, text string, ids string")
@@ -41,6 +42,38 @@ def test_bpe_is_that_of_the_library(spark):
     assert bpe.bpe_round_trip(df.limit(0), PATH).count() == 0
 
 
+@pytest.mark.parametrize("leaf", [1, 2, 3, 7, 64])
+def test_tree_of_small_leaves(leaf, monkeypatch):
+    """Texts parted at every few characters come out as the library encodes them whole."""
+    monkeypatch.setattr(bpe, "TEXT_LEAF", leaf)
+    whole, own = Tokenizer.from_file(PATH), bpe.ByteBpe(PATH)
+    r = random.Random(leaf)
+    bits = ["'", "'l", "ll", "'re", "r", "e", " ", "  ", "\n", "\t ", "a", "the", "été", "12", "3", "!", "''", "…", "日本", "д", "x́", "😀", "\xa0", "　", "<|endoftext|>"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(1, 60))) for _ in range(400)] + ["a" * 700, " " * 300 + "x", "日本語" * 150, "don't" * 90]
+    for t, ids in zip(texts, own.encode_all(texts), strict=True):
+        assert ids == whole.encode(t, add_special_tokens=False).ids, t
+
+
+def test_tree_runs_on_given_documents(spark, monkeypatch):
+    """Every document longer than a leaf goes through joins, in any script, and all ids are the library's."""
+    joins, concat = [], bpe.ByteBpe.concat
+    monkeypatch.setattr(bpe.ByteBpe, "concat", lambda self, a, b: joins.append(1) or concat(self, a, b))
+    whole, own = Tokenizer.from_file(PATH), bpe.ByteBpe(PATH)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    texts += ["".join(chr(0x4E00 + (k * k) % 9000) for k in range(n)) for n in (3000, 20_000)] + ["привет" * 2000, "😀" * 3000]
+    assert list(own.encode_all(texts)) == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert len(joins) == sum(max(0, -(-len(t) // bpe.TEXT_LEAF) - 1) for t in texts) > 100
+
+
+def test_long_unsplit_texts():
+    own = bpe.ByteBpe(PATH)
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000))
+    ids = own.encode(text)
+    assert own.decode(ids) == text
+    assert ids[:500] == own.encode(text[:4000])[:500]
+
+
 def test_joins_of_halves():
     own = bpe.ByteBpe(PATH)
     r = random.Random(3)
