@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with exact tree concatenation.
 
-A text is halved down to leaves, at any character. The leaves of many texts are encoded by the tokenizers library in
-parallel batches, and neighbours are concatenated up the tree: a window around the join is split and encoded
-anew, and grows until both sides agree.
+A text is halved down to leaves, at any character. The leaves of many texts are encoded in parallel batches (tasks take
+different texts, threads different leaves), and neighbours are concatenated up the tree: a window around the join is split
+and encoded anew, and grows until both sides agree.
 
 * On the left the window begins where a pre-token of the left half begins, SURE bytes (two characters or more) before its
   end. A pre-token's end is decided by what stands up to the character after its run, and by the two characters after an
@@ -16,6 +16,9 @@ A long text costs work in proportion to its length (times the levels of the tree
 memory in proportion to its tokens. Special tokens in texts are matched first, as the library does by default. Vocabulary
 files that normalise or split otherwise are left to the library as a whole.
 
+Leaves of ASCII and Latin letters are encoded by ranks over the same vocabulary (if its ids are in merge order), all others by
+the tokenizers library, so that its own Unicode tables decide about their characters.
+
 Null encodes as the empty text.
 """
 
@@ -33,19 +36,22 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Encoding, Tokenizer, pre_tokenizers
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tagloom.llm.common import give_back, slices
 
-#: Characters of a leaf of a text, leaves in a batch, bytes before an end that the split does not depend on.
-TEXT_LEAF, BATCH, SURE = 1024, 512, 8
+#: Characters of a leaf of a text, leaves in a batch, threads for a batch, bytes before an end that the split does not depend on.
+TEXT_LEAF, BATCH, THREADS, SURE = 1024, 512, 2, 8
 #: Bytes of a leaf of a pre-token; longer pre-tokens are split. Distinct pre-tokens kept in a task.
 LEAF, CACHE = 256, 400_000
 #: The white space of the library's pattern.
 _WHITE = r"\t-\r \x85\xa0  -     　"
 _SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+BLANKS = "".join(filter(regex.compile(f"[{_WHITE}]").match, map(chr, range(0x3001))))
 #: Up to here all Unicode versions agree about letters, digits and white space.
 _PLAIN = regex.compile(r"[\x00-ɏ‐-‧€]*")
+#: A pre-token ends wherever white space follows something else, whatever stands around. Characters at each end of a leaf that are split at least.
+_FIRST, _LAST, EDGE = regex.compile(rf"(?<=[^{_WHITE}])[{_WHITE}]"), regex.compile(rf"(?r)(?<=[^{_WHITE}])[{_WHITE}]"), 24
 
 
 def _byte_letters() -> list[str]:
@@ -55,17 +61,12 @@ def _byte_letters() -> list[str]:
 
 
 class Part(NamedTuple):
-    """An encoding, and where in it pre-tokens begin."""
+    """An encoding, and tokens with which pre-tokens begin: all near its ends, and two or more of the others' places."""
 
     ids: list[int]
     cuts: list[int]
 
 
-def _part(e: Encoding) -> Part:
-    words = e.word_ids
-    return Part(e.ids, [k for k, w in enumerate(words) if not k or w != words[k - 1]])
-
-
 class ByteBpe:
     """Encoder and decoder for a byte-level vocabulary file of the tokenizers library."""
 
@@ -160,7 +161,7 @@ class ByteBpe:
         """The encoding of two halves of a text without special tokens, from the encodings of both."""
         if not left.ids or not right.ids:
             return left if left.ids else right
-        size, i, j = self.size, 1, 1
+        size, i, j = self.size, 2, 2
         while True:
             begin = left.cuts[-i] if i < len(left.cuts) else 0
             a = sum(size[t] for t in left.ids[begin:])
@@ -204,6 +205,52 @@ class ByteBpe:
             return self.join(one[0].ids[one[1] : one[2]], two[0].ids[two[1] : two[2]])
         return self.unit(blob)
 
+    def edges(self, leaf: str, ids: list[int]) -> Part:
+        """A leaf's encoding; the middle, from one sure end of a pre-token to another, is not split again."""
+        first, last = _FIRST.search(leaf, EDGE), _LAST.search(leaf, 0, max(0, len(leaf) - EDGE))
+        if not first or not last or first.start() >= last.start():
+            spans = [leaf]
+        else:
+            spans = [leaf[: first.start()], None, leaf[last.start() :]]
+        cuts, token, size = [], 0, self.size
+        for piece in self.pieces(spans[0]):
+            cuts.append(token)
+            token = self._after(ids, token, len(piece.encode("utf-8", "surrogatepass")))
+        if len(spans) > 1:
+            cuts.append(token)
+            back, token = [], len(ids)
+            for piece in reversed(self.pieces(spans[2])):
+                left = len(piece.encode("utf-8", "surrogatepass"))
+                while left > 0:
+                    token -= 1
+                    left -= size[ids[token]]
+                back.append(token)
+            cuts += reversed(back)
+        return Part(ids, cuts)
+
+    def _after(self, ids: list[int], token: int, count: int) -> int:
+        while count > 0:
+            count -= self.size[ids[token]]
+            token += 1
+        return token
+
+    def _batches(self, leaves: list[str]) -> Iterator[tuple[str, list[int], list[int] | None]]:
+        """Each leaf with its ids, and the library's numbers of the pre-tokens where it has encoded it."""
+        for a in range(0, len(leaves), BATCH):
+            batch = leaves[a : a + BATCH]
+            own = [bool(self.ranks and _PLAIN.fullmatch(x)) for x in batch]
+            fast = iter(self.ranks.encode_ordinary_batch([x for x, o in zip(batch, own, strict=True) if o], num_threads=THREADS) if any(own) else ())
+            slow = iter(self.leaves.encode_batch([x for x, o in zip(batch, own, strict=True) if not o], add_special_tokens=False))
+            for x, o in zip(batch, own, strict=True):
+                if o:
+                    yield x, next(fast), None
+                else:
+                    e = next(slow)
+                    yield x, e.ids, e.word_ids
+
+    def part(self, leaf: str, ids: list[int], words: list[int] | None) -> Part:
+        return self.edges(leaf, ids) if words is None else Part(ids, [k for k, w in enumerate(words) if not k or w != words[k - 1]])
+
     def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
         """The ids of each text; the leaves of all texts are encoded in parallel batches."""
         if not self.plain:
@@ -219,14 +266,14 @@ class ByteBpe:
                 plan.append((count, self.special[stop[0]] if stop else None))
                 at = stop.end() if stop else at
             plans.append(plan)
-        found = (e for a in range(0, len(leaves), BATCH) for e in self.leaves.encode_batch(leaves[a : a + BATCH], add_special_tokens=False))
+        found = self._batches(leaves)
         for plan in plans:
             ids: list[int] = []
             for count, special in plan:
                 if count == 1:
-                    ids += next(found).ids
+                    ids += next(found)[1]
                 elif count:
-                    ids += self.up([_part(next(found)) for _ in range(count)]).ids
+                    ids += self.up([self.part(*next(found)) for _ in range(count)]).ids
                 if special is not None:
                     ids.append(special)
             yield ids
