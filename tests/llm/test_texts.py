@@ -84,17 +84,37 @@ def test_joins_of_halves():
 
 
 def test_counts_of_prefixes(spark):
+    """Every prefix of odd texts, and every cut of every pre-token, against the library."""
     whole, counter = Tokenizer.from_file(PATH), token_counts.PrefixCounter(bpe.ByteBpe(PATH))
-    count = lambda t: len(whole.encode(t, add_special_tokens=False).ids)
-    for t in odd_texts()[:40]:
-        for k in range(0, len(t), max(1, len(t) // 7)):
-            assert counter.prefix(t, k) == count(t[:k])
-        cut = counter.truncate(t, 5)
-        assert count(t[:cut]) <= 5
+    counts = lambda texts: [len(e.ids) for e in whole.encode_batch(texts, add_special_tokens=False)]
+    texts = [t[:400] for t in odd_texts()] + ["x  y", "a\n\n b", "we'll they're I've 'll", "q  \n<|endoftext|> x\n\ny<|endoftext|><|endoftext|>z", "日本語  語<|endoftext|>é\u3000 é"]
+    for t in texts:
+        assert counter.table(t).tolist() == counts([t[:k] for k in range(len(t) + 1)]), t
+        for budget in (0, 1, 5, 50):
+            cut = counter.fits(t, budget)
+            assert counts([t[:cut]])[0] <= budget and (cut == len(t) or counts([t[: cut + 1]])[0] > budget)
     blob = b"unbelievablythesame"
     assert counter.unit_counts(blob)[1:] == [len(counter.bpe.units([blob[:k]])[0]) for k in range(1, len(blob) + 1)]
-    row = token_counts.token_counts(spark.createDataFrame([(1, "one two three")], "doc_id long, text string"), PATH, budget=2).first()
-    assert (row["n_tokens"], row["over_limit"], row["prefix_chars"], row["prefix_tokens"], row["fits_chars"]) == (3, True, [0, 3, 7, 13], [0, 1, 2, 3], 7)
+    rows = spark.createDataFrame([(1, "one two three", 5), (1, "one two three", 5), (None, None, 6), (2, "", 7)], "doc_id long, text string, n_tokens int")
+    got = token_counts.token_counts(rows, PATH, budget=2)
+    assert got.where("doc_id = 1").count() == 2
+    row = got.where("doc_id = 1").first()
+    assert (row["n_tokens"], row["over_limit"], row["fits_chars"]) == (3, True, 7)
+    assert row["prefix_tokens"] == counts(["one two three"[:k] for k in range(14)])
+    assert [(r["n_bytes"], r["n_tokens"], r["prefix_tokens"]) for r in got.where("doc_id is null or doc_id = 2").collect()] == [(0, 0, [0])] * 2
+    asked = got.select(token_counts.fits_chars(F.col("prefix_tokens"), 1).alias("c"), token_counts.tokens_of_prefix(F.col("prefix_tokens"), 7).alias("n")).first()
+    assert tuple(asked) == (3, 2)
+    assert token_counts.token_counts(rows.limit(0), PATH).count() == 0
+
+
+def test_budget_inside_one_long_pre_token():
+    """An unsplit text is cut where the budget ends, not at its beginning."""
+    counter, r = token_counts.PrefixCounter(bpe.ByteBpe(PATH)), random.Random(6)
+    whole = Tokenizer.from_file(PATH)
+    for text in ("".join(r.choice("abcdefgh") for _ in range(30_000)), "日本語" * 3000, "=" * 40_000):
+        cut = counter.fits(text, 100)
+        n = [len(whole.encode(text[:k], add_special_tokens=False).ids) for k in range(cut, cut + 40)]
+        assert n[0] <= 100 and min(n[1:], default=101) > 100
 
 
 def test_language_on_held_out_rows(spark):
