@@ -45,13 +45,13 @@ TEXT_LEAF, BATCH, THREADS, SURE = 1024, 512, 2, 8
 #: Bytes of a leaf of a pre-token; longer pre-tokens are split. Distinct pre-tokens kept in a task.
 LEAF, CACHE = 256, 400_000
 #: The white space of the library's pattern.
-_WHITE = r"\t-\r \x85\xa0  -     　"
-_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
-BLANKS = "".join(filter(regex.compile(f"[{_WHITE}]").match, map(chr, range(0x3001))))
+WHITE = r"\t-\r \x85\xa0  -     　"
+_SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+BLANKS = "".join(filter(regex.compile(f"[{WHITE}]").match, map(chr, range(0x3001))))
 #: Up to here all Unicode versions agree about letters, digits and white space.
 _PLAIN = regex.compile(r"[\x00-ɏ‐-‧€]*")
 #: A pre-token ends wherever white space follows something else, whatever stands around. Characters at each end of a leaf that are split at least.
-_FIRST, _LAST, EDGE = regex.compile(rf"(?<=[^{_WHITE}])[{_WHITE}]"), regex.compile(rf"(?r)(?<=[^{_WHITE}])[{_WHITE}]"), 24
+_FIRST, _LAST, EDGE = regex.compile(rf"(?<=[^{WHITE}])[{WHITE}]"), regex.compile(rf"(?r)(?<=[^{WHITE}])[{WHITE}]"), 24
 
 
 def _byte_letters() -> list[str]:

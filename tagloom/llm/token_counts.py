@@ -15,28 +15,33 @@ Null counts as empty. A prefix ends between characters. Each distinct short pre-
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.bpe import BLANKS, CACHE, ByteBpe, load
+from tagloom.llm.bpe import BLANKS, CACHE, WHITE, ByteBpe, load
 from tagloom.llm.common import slices
 
 
+#: White space of two characters or more before something else: its last character is not in the pre-token of the others.
+_RUN = regex.compile(rf"[{WHITE}]{{2,}}(?=[^{WHITE}])")
 #: Pre-tokens that a cut inside would split otherwise.
 _CONTRACTIONS = ("'re", "'ve", "'ll")
 
 
 class _Steps(dict):
-    """For each pre-token the change of the count at each of its characters (packed), its total, and whether it is white space."""
+    """For each pre-token the change of the count at each of its characters, packed."""
 
     def __init__(self, counter: PrefixCounter) -> None:
         self.counter = counter
 
-    def __missing__(self, piece: str) -> tuple[bytes, int, bool]:
+    def __missing__(self, piece: str) -> bytes:
         out = self.counter.steps_of(piece)
         if len(piece) <= 64:
             if len(self) >= CACHE:
@@ -54,74 +59,66 @@ class PrefixCounter:
         # Lengths of the tokens by their last two bytes, so that only lengths that exist are tried.
         lengths: dict[bytes, set[int]] = {}
         for t in self.ids:
-            lengths.setdefault(t[-2:], set()).add(len(t))
+            lengths.setdefault(t[-2:], {1}).add(len(t))
         self.lengths = {end: sorted(x) for end, x in lengths.items()}
+        self.longest = max(map(len, self.ids))
         self.steps = _Steps(self)
         self.pairs: dict[int, bool] = {}
 
     def _apart(self, a: int, b: int) -> bool:
-        """Whether token b can follow token a in an encoding."""
-        key = a << 32 | b
-        if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) > CACHE:
-                self.pairs.clear()
-            known = self.pairs[key] = self.bpe.unit(self.bpe.tokens[a] + self.bpe.tokens[b]) == [a, b]
+        """Whether token b can follow token a in an encoding; remembered in `pairs`."""
+        if len(self.pairs) > CACHE:
+            self.pairs.clear()
+        known = self.pairs[a << 32 | b] = self.bpe.unit(self.bpe.tokens[a] + self.bpe.tokens[b]) == [a, b]
         return known
 
     def unit_counts(self, blob: bytes) -> list[int]:
         """counts[i]: tokens of the first i bytes of one pre-token."""
-        last, counts, ids, lengths = [-1] * (len(blob) + 1), [0] * (len(blob) + 1), self.ids, self.lengths
+        last, counts, ids, lengths, pairs, longest = [-1], [0], self.ids, self.lengths, self.pairs, self.longest
         for i in range(1, len(blob) + 1):
+            t = ids.get(blob[:i]) if i <= longest else None
+            if t is not None:
+                last.append(t)
+                counts.append(1)
+                continue
             # One token only ends the encoding of i bytes, so the order of the trials does not matter.
-            for n in (1, *lengths.get(blob[max(0, i - 2) : i], ())):
-                if n > i:
-                    break
-                t = ids.get(blob[i - n : i])
-                if t is not None and (n == i or self._apart(last[i - n], t)):
-                    last[i], counts[i] = t, counts[i - n] + 1
-                    break
+            for n in lengths.get(blob[i - 2 : i], (1,)):
+                if n < i and (t := ids.get(blob[i - n : i])) is not None:
+                    before = last[i - n]
+                    apart = pairs.get(before << 32 | t)
+                    if self._apart(before, t) if apart is None else apart:
+                        last.append(t)
+                        counts.append(counts[i - n] + 1)
+                        break
         return counts
 
-    def steps_of(self, piece: str) -> tuple[bytes, int, bool]:
+    def steps_of(self, piece: str) -> bytes:
         blob = piece.encode("utf-8", "surrogatepass")
         counts = self.unit_counts(blob)
         at = counts if len(blob) == len(piece) else [counts[i] for i in _ends(blob)]
         if piece in _CONTRACTIONS:  # cut inside, it is an apostrophe and a letter
             at = [0, at[1], at[1] + self.unit_counts(blob[1:2])[-1], at[3]]
-        return np.diff(np.array(at, "<i4")).astype("<i4").tobytes(), at[-1], not piece.strip(BLANKS)
+        return array("i", map(sub, at[1:], at)).tobytes()
 
     def table(self, text: str | None) -> np.ndarray:
         """table[k]: tokens of the first k characters, for k from 0 to the text's length."""
         text, steps, fixes, at = text or "", [], [], 0
-        parts = []
         for stop in [*(self.bpe.stop.finditer(text) if self.bpe.stop else ()), None]:
             part = text[at : stop.start() if stop else len(text)]
             if part:
-                parts.append((at, self.bpe.pieces(part), None))
+                steps.extend(map(self.steps.__getitem__, self.bpe.pieces(part)))
+                fixes += [(at + m.start(), at + m.end()) for m in _RUN.finditer(part)]
             if stop:
-                parts.append((stop.start(), None, stop[0]))
+                steps.append(np.array([1, *[0] * (len(stop[0]) - 1)], np.intc).tobytes())
+                fixes.append((stop.start(), stop[0]))
                 at = stop.end()
-        for begin, pieces, special in parts:
-            if special is not None:
-                # Its beginning is ordinary text that goes on from what stands before; see `_inside`.
-                fixes.append((begin, special))
-                steps.append(np.array([1, *[0] * (len(special) - 1)], "<i4").tobytes())
-                continue
-            place, blank = begin, None
-            for p in pieces:
-                packed, total, white = self.steps[p]
-                steps.append(packed)
-                if blank is not None and p[0] in BLANKS:
-                    fixes.append((blank, place + 1))
-                blank = place if white else None
-                place += len(p)
-        sums = np.append(0, np.cumsum(np.frombuffer(b"".join(steps), "<i4"), dtype=np.int64))
+        sums = np.append(0, np.cumsum(np.frombuffer(b"".join(steps), np.intc), dtype=np.int64))
         out = sums.copy()
         for begin, what in fixes:
             if isinstance(what, str):
                 self._inside(out, sums, text, begin, what)
             else:  # a run of white space that the prefix ends with is one pre-token
-                out[what] = sums[begin] + self.steps[text[begin:what]][1]
+                out[what] = sums[begin] + self.unit_counts(text[begin:what].encode())[-1]
         return out
 
     def _inside(self, out: np.ndarray, sums: np.ndarray, text: str, begin: int, special: str) -> None:
