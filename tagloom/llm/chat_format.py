@@ -1,8 +1,9 @@
 """Chat formatting of heterogeneous layouts.
 
-A layout is recognised by its fingerprint: a hash of its nested field paths (names only, array elements as []). The
-fingerprint selects a declarative mapping, and the mapping says where conversations, turns, roles and texts are. All
-layouts become canonical turns, which a template marks up; control strings inside texts are escaped reversibly,
+A layout is recognised by its fingerprint: a hash of its nested field paths (names only, array elements as []), of those
+paths that any mapping speaks of; other fields are optional everywhere. The fingerprint selects a declarative mapping, and the
+mapping says where conversations, turns, roles and texts are. A list of messages that is null or empty has a fingerprint of its own, with
+the same mapping. All layouts become canonical turns, which a template marks up; control strings inside texts are escaped reversibly,
 and the loss mask is the list of code point ranges of assistant texts.
 
     <|role|>\\n text <|end|>\\n
@@ -11,8 +12,9 @@ A text's &, < and [ become entities, a role's | and > too, so no control string
 inside a text and the output can be split again.
 
 A conversation becomes one string and so has to fit a row; its turns meet in one task for that. Null roles and texts
-are empty; turns with equal numbers are ordered by role and text; a null conversation id is a conversation. An unknown
-layout raises an error that lists its paths. Other columns are allowed if the mapping is given by name.
+are empty; turns with equal numbers are ordered by role and text; a null conversation id is a conversation. A JSON row that is
+no object, is not JSON at all or has no known layout gives no turns, and `layouts_of_json` lists it with a null layout; so does
+a message list whose elements are no objects. A table whose schema has no known layout is an error when the plan is made.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagloom.llm.common import slices
+
 END = "<|end|>\n"
 #: Characters that texts may not show, with their entities; & first.
 ENTITIES = {"&": "&amp;", "<": "&lt;", "[": "&lsqb;", "|": "&vert;", ">": "&gt;"}
@@ -74,19 +78,15 @@ def paths_of(schema: T.DataType, at: str = "") -> Iterator[str]:
 
 
 def paths_of_value(value: object, at: str = "") -> Iterator[str]:
-    """The paths of a JSON value; of a list, those of all elements."""
+    """The paths of a JSON value; of a list, those of all elements. An empty list is the path of its elements."""
     if isinstance(value, dict):
         for k, v in value.items():
             yield from paths_of_value(v, f"{at}.{k}" if at else k)
-    elif isinstance(value, list):
+    elif isinstance(value, list) and value:
         for v in value:
             yield from paths_of_value(v, f"{at}[]")
     else:
-        yield at
-
-
-def fingerprint(paths: Iterable[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()[:16]
+        yield f"{at}[]" if isinstance(value, list) else at
 
 
 def mapping_paths(m: Mapping) -> list[str]:
@@ -97,13 +97,29 @@ def mapping_paths(m: Mapping) -> list[str]:
     return [m.conversation, *(x for _, p in m.parts for x in p.split("+"))]
 
 
-BY_FINGERPRINT = {fingerprint(mapping_paths(m)): m for m in MAPPINGS}
+def layouts(m: Mapping) -> list[list[str]]:
+    """The sets of paths that a mapping reads: its own, and those of a null or empty list of messages."""
+    return [mapping_paths(m), *([[m.conversation, m.messages], [m.conversation, f"{m.messages}[]"]] if m.messages else [])]
+
+
+def known_paths(mappings: Iterable[Mapping]) -> frozenset[str]:
+    return frozenset(p for m in mappings for layout in layouts(m) for p in layout)
+
+
+KNOWN = known_paths(MAPPINGS)
+
+
+def fingerprint(paths: Iterable[str], known: frozenset[str] = KNOWN) -> str:
+    return hashlib.sha256("\n".join(sorted(known.intersection(paths))).encode()).hexdigest()[:16]
+
+
+BY_FINGERPRINT = {fingerprint(layout): m for m in MAPPINGS for layout in layouts(m)}
 
 
-def mapping_for(paths: Iterable[str], mappings: dict[str, Mapping] | None = None) -> Mapping:
+def mapping_for(paths: Iterable[str]) -> Mapping:
     paths = sorted(set(paths))
     try:
-        return (mappings or BY_FINGERPRINT)[fingerprint(paths)]
+        return BY_FINGERPRINT[fingerprint(paths)]
     except KeyError:
         raise ValueError(f"no mapping for the layout {paths}") from None
 
@@ -123,28 +139,58 @@ def canonical_turns(df: DataFrame, mapping: Mapping | None = None) -> DataFrame:
     return df.select(F.col(m.conversation).alias("conv_id"), F.posexplode(parts).alias("turn", "m")).select("conv_id", F.col("turn").cast("long").alias("turn"), "m.role", "m.text")
 
 
-def json_turns(value: dict) -> list[tuple[str, str, str]]:
-    """(mapping's name, role, text) for each turn of one JSON conversation."""
-    m = mapping_for(paths_of_value(value))
+def json_turns(value: object) -> tuple[str | None, list[tuple[str, str]]]:
+    """The mapping's name and (role, text) for each turn of one JSON conversation; no name and no turns if it has no known layout."""
+    m = BY_FINGERPRINT.get(fingerprint(paths_of_value(value))) if isinstance(value, dict) else None
+    if m is None or m.kind != "row":
+        return None, []
     rename = dict(m.rename)
     if m.messages:
-        found = [(rename.get(x[m.role], x[m.role]), x[m.text]) for x in value[m.messages]]
-    else:
-        found = [(r, "\n".join(str(value[x]) for x in p.split("+") if value[x])) for r, p in m.parts]
-    return [(m.name, r or "", t or "") for r, t in found]
+        rows = value[m.messages] or []
+        if not all(isinstance(x, dict) for x in rows):
+            return None, []
+        return m.name, [(rename.get(role, role), text) for role, text in ((_text(x.get(m.role)), _text(x.get(m.text))) for x in rows)]
+    return m.name, [(r, "\n".join(x for x in (_text(value[c]) for c in p.split("+")) if x)) for r, p in m.parts]
+
+
+def _text(value: object) -> str:
+    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+
+def _parsed(text: str | None) -> object:
+    try:
+        return json.loads(text) if text else None
+    except (ValueError, RecursionError):
+        return None
 
 
 def _json_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         rows = []
         for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            rows += [(key, k, r, t) for k, (_, r, t) in enumerate(json_turns(json.loads(text)) if text else [])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.string()))], ["conv_id", "turn", "role", "text"])
+            layout, turns = json_turns(_parsed(text))
+            rows += [(key, k, r, t, layout) for k, (r, t) in enumerate(turns)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()))], ["conv_id", "turn", "role", "text", "layout"])
+
+
+def _json_layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches):
+        found = [json_turns(_parsed(text)) for text in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([len(f[1]) for f in found], pa.int64())], ["conv_id", "layout", "n_turns"])
+
+
+def _json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("string").alias("conv_id"), F.col(json_col).cast("string").alias("json"))
 
 
 def canonical_turns_of_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """Canonical turns of rows whose layouts differ from row to row: each row's own fingerprint selects its mapping."""
-    return df.select(F.col(id_col).cast("string").alias("conv_id"), F.col(json_col).cast("string").alias("json")).mapInArrow(_json_rows, "conv_id string, turn long, role string, text string")
+    """(conv_id, turn, role, text, layout) of rows whose layouts differ from row to row: each row's own fingerprint selects its mapping."""
+    return _json(df, id_col, json_col).mapInArrow(_json_rows, "conv_id string, turn long, role string, text string, layout string")
+
+
+def layouts_of_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(conv_id, layout, n_turns) of every row; layout is null where no mapping reads it."""
+    return _json(df, id_col, json_col).mapInArrow(_json_layouts, "conv_id string, layout string, n_turns long")
 
 
 def escape(c: Column, characters: str) -> Column:

@@ -1,8 +1,12 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Letters are lower-cased, everything else becomes a space, and the n-grams of 1 to 3 code points are hashed into
-a fixed number of buckets. The matrix of log-probabilities (buckets x languages, so bounded) goes to the
-workers; documents are scored in batches with numpy gathers and segment sums.
+a fixed number of buckets. The matrix of log-probabilities (buckets x languages) goes to the
+workers; documents are scored in batches with numpy gathers and segment sums. Texts are cut into pieces of bounded size whose
+sums are added up; each n-gram belongs to the piece that holds its middle, so the cuts change nothing.
+
+The predicted language has the largest posterior. The score is its probability after the log posterior is scaled to
+EVIDENCE n-grams at most, which keeps long texts off exactly 1 and does not change the order.
 
 Training reads the rows that `train` marks and whose language is known, at most about `per_lang` of each
 language: rows are taken by a hash of their id, with a share chosen from the exact row counts. Every
@@ -24,10 +28,8 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import slices, table_fn
 
-#: Buckets of n-grams, and code points scored at once.
-BUCKETS, SLAB = 1 << 16, 1 << 20
-#: n-grams that count as independent evidence in the score; it keeps long texts off exactly 0 and 1.
-EVIDENCE = 60
+#: Buckets of n-grams, code points scored at once, n-grams that count as independent evidence in the score.
+BUCKETS, SLAB, EVIDENCE = 1 << 16, 1 << 19, 60
 
 
 @functools.cache
@@ -35,33 +37,42 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of the texts, the text of each, and whether a text has a letter."""
-    lowered = [(t or "").lower().encode("utf-32-le", "surrogatepass") for t in texts]
-    size = np.array([len(x) // 4 for x in lowered], dtype=np.int64)
-    # A space before and after each text keeps n-grams within it.
-    cp = np.frombuffer(b" \0\0\0" + b" \0\0\0".join(lowered) + b" \0\0\0", dtype=np.uint32)
+def _slabs(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Groups of pieces of SLAB code points at most, with each piece's text; a piece has one character more on each side."""
+    owners, held, size = [], [], 0
+    for i, t in enumerate(texts):
+        low = (t or "").lower()
+        for a in range(0, len(low), SLAB):
+            piece = (low[a - 1] if a else " ") + low[a : a + SLAB] + (low[a + SLAB : a + SLAB + 1] or " ")
+            if held and size + len(piece) > SLAB:
+                yield np.array(owners), held
+                owners, held, size = [], [], 0
+            owners.append(i)
+            held.append(piece)
+            size += len(piece)
+    if held:
+        yield np.array(owners), held
+
+
+def grams(owners: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of the pieces, the text of each, and the texts that have a letter."""
+    size = np.array(list(map(len, pieces)))
+    cp = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     letter = _letters()[cp]
     cp = np.where(letter, cp, np.uint32(32)).astype(np.uint64)
-    owner = np.repeat(np.arange(len(texts)), size + 1)
-    has = np.bincount(owner, weights=letter[1:], minlength=len(texts)) > 0
-    middle = letter[:-2] | letter[1:-1] | letter[2:]
-    uni, bi = cp[1:-1] * np.uint64(0x9E3779B97F4A7C15), cp[:-2] * np.uint64(0xC2B2AE3D27D4EB4F)
-    tri = bi + uni + cp[2:] * np.uint64(0x165667B19E3779F9)
-    out = np.concatenate([(uni >> np.uint64(48))[letter[1:-1]], ((bi + uni) >> np.uint64(48))[letter[1:-1] | letter[:-2]], (tri >> np.uint64(48))[middle]])
-    own = owner[: len(cp) - 2]
-    return out.astype(np.int64), np.concatenate([own[letter[1:-1]], own[letter[1:-1] | letter[:-2]], own[middle]]), has
-
-
-def _slabs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    a, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= SLAB:
-            yield a, i + 1
-            a, size = i + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
+    # Places of n-grams: all characters but the first and the last of each piece.
+    place = np.ones(len(cp), dtype=bool)
+    ends = np.cumsum(size)
+    place[ends - 1] = place[ends - size] = False
+    k = np.flatnonzero(place)
+    own = np.repeat(owners, size)[k]
+    here, before, after = letter[k], letter[k - 1], letter[k + 1]
+    uni = cp[k] * np.uint64(0x9E3779B97F4A7C15)
+    bi = cp[k - 1] * np.uint64(0xC2B2AE3D27D4EB4F) + uni
+    tri = bi + cp[k + 1] * np.uint64(0x165667B19E3779F9)
+    two, three = here | before, here | before | after
+    out = np.concatenate([(uni >> np.uint64(48))[here], (bi >> np.uint64(48))[two], (tri >> np.uint64(48))[three]])
+    return out.astype(np.int64), np.concatenate([own[here], own[two], own[three]]), np.unique(own[here])
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,8 +82,8 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang in dict.fromkeys(langs):
             mine = [t for t, x in zip(texts, langs, strict=True) if x == lang]
             total = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for a, z in _slabs(mine):
-                total += np.bincount(grams(mine[a:z])[0], minlength=BUCKETS)
+            for slab in _slabs(mine):
+                total += np.bincount(grams(*slab)[0], minlength=BUCKETS)
     for lang, c in counts.items():
         yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([c.tobytes()], pa.binary())], ["lang", "counts"])
 
@@ -93,21 +104,21 @@ class NaiveBayes:
         self.prior = np.log(rows / rows.sum())
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        names, scores = [], []
-        for a, z in _slabs(texts):
-            bucket, owner, has = grams(texts[a:z])
-            n = np.bincount(owner, minlength=z - a)
-            sums = np.stack([np.bincount(owner, weights=self.log_p[:, k][bucket], minlength=z - a) for k in range(len(self.langs))], 1) if self.langs else np.zeros((z - a, 0))
-            logits = self.prior + sums * np.minimum(1, EVIDENCE / np.maximum(n, 1))[:, None]
-            if self.langs:
-                best = logits.argmax(1)
-                p = np.exp(logits - logits.max(1, keepdims=True))
-                score = p.max(1) / p.sum(1)
-            else:
-                best, score, has = np.zeros(z - a, int), np.zeros(z - a), np.zeros(z - a, bool)
-            names += [self.langs[k] if h else "und" for k, h in zip(best, has, strict=True)]
-            scores.append(np.where(has, score, 0.0))
-        return names, np.concatenate(scores) if scores else np.zeros(0)
+        m = len(texts)
+        if not self.langs:
+            return ["und"] * m, np.zeros(m)
+        n, sums, has = np.zeros(m), np.zeros((m, len(self.langs))), np.zeros(m, dtype=bool)
+        for slab in _slabs(texts):
+            bucket, owner, lettered = grams(*slab)
+            has[lettered] = True
+            n += np.bincount(owner, minlength=m)
+            for k in range(len(self.langs)):
+                sums[:, k] += np.bincount(owner, weights=self.log_p[:, k][bucket], minlength=m)
+        logits = self.prior + sums
+        best = logits.argmax(1)
+        tempered = (logits - logits.max(1, keepdims=True)) * np.minimum(1, EVIDENCE / np.maximum(n, 1))[:, None]
+        score = 1 / np.exp(tempered).sum(1)
+        return [self.langs[k] if h else "und" for k, h in zip(best, has, strict=True)], np.where(has, score, 0.0)
 
 
 def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", where: Column | None = None, per_lang: int = 5000) -> NaiveBayes:
