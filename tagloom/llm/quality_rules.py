@@ -10,9 +10,9 @@ with probability 1 - DELTA the rules of no stratum reject together RISK or more
 then raised as far as a test of it alone on all labelled documents asks (DELTA / (strata x rules x cutoffs)); what
 passes no test rests.
 
-Measures are computed within the row from whole texts. What reaches the driver are counts per (stratum, rule, cutoff) and
-per (stratum, set of rejecting rules), STRATA strata at most. In the others, and in strata without labels, all rules but
-the base rule rest: nothing was tested there.
+Measures are computed within the row from whole texts. All choices and tests are DataFrame aggregates by stratum over counts of
+(stratum, rule, cutoff), whatever the number of strata; the cutoffs are a table with a row for each stratum that has any, joined
+to the measured rows as Catalyst sees fit. In strata without labels, or with too few to pass a test, all rules but the base rule rest.
 
 Null, empty and word-less texts have measures 0 and fail the base rule. A null language is a stratum like others
 without labels. Repeated rows are rows of their own; labels apply to all rows of an id, the lower label if they differ.
@@ -20,6 +20,7 @@ without labels. Repeated rows are rows of their own; labels apply to all rows of
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 
 from tagloom.llm.common import checkpointed, crc_fold, words
 
-RISK, DELTA, STRATA = 0.05, 0.05, 256
+RISK, DELTA = 0.05, 0.05
+#: Rows of the table of cutoffs up to which it is broadcast.
+BROADCAST_STRATA = 10_000
 #: How much a point of good documents' share counts against a point of bad ones'.
 GOOD_WEIGHT = 5.0
 GRID = tuple(round(0.01 * 1.2**k, 4) for k in range(25))
@@ -78,13 +81,31 @@ def base_failed() -> Column:
     return (F.col("__n_words") < 50) | (100 * F.col("__n_repeat_words") > 50 * F.col("__n_words"))
 
 
-def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for X ~ Binomial(n, p)."""
-    if k >= n:
-        return 1.0
-    log = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
-    top = max(log)
-    return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in log))
+def _log_gamma(x: Column) -> Column:
+    """log of the gamma function for x of 1 or more: Stirling's series eight steps up, and back down; exact to double precision."""
+    z = x + 8
+    series = 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * z * z * z * z * z)
+    up = (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + series
+    return up - functools.reduce(lambda a, k: a + F.log(x + k), range(1, 8), F.log(x))
+
+
+def binomial_tail(k: Column, n: Column, p: float) -> Column:
+    """P(X <= k) for X ~ Binomial(n, p) and k below n * p.
+
+    The terms are summed from k down, each from the one before; 12 standard deviations further down they are no longer seen in a double.
+    """
+    x, m = k.cast("double"), n.cast("double")
+    top = _log_gamma(m + 1) - _log_gamma(x + 1) - _log_gamma(m - x + 1) + x * math.log(p) + (m - x) * math.log1p(-p)
+    steps = F.least(k, F.ceil(12 * F.sqrt(m * p) + 50)).cast("int")
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def down(acc: Column, i: Column) -> Column:
+        at = x - i
+        term = acc["term"] * at / (m - at + 1) * ((1 - p) / p)
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    total = F.aggregate(F.when(steps > 0, F.sequence(F.lit(0), steps - 1)).otherwise(F.array().cast("array<int>")), start, down)["sum"]
+    return F.exp(top) * total
 
 
 def measure(rule: str) -> Column:
@@ -94,96 +115,85 @@ def measure(rule: str) -> Column:
     return F.expr(text)
 
 
-def _of_stratum(values: dict[str, float], stratum: Column) -> Column:
-    return F.try_element_at(F.create_map(*(F.lit(v) for kv in values.items() for v in kv)), stratum)
+def stratum(lang: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit("null"))
+
 
+def learn_cutoffs(counted: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", lang_col: str = "lang", label_col: str = "quality", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """(stratum, a cutoff or null for each rule) of the strata that have any; `counted` has the columns of `measured`.
 
-def learn_cutoffs(counted: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", lang_col: str = "lang", label_col: str = "quality", risk: float = RISK, delta: float = DELTA) -> dict[str, dict[str, float]]:
-    """{stratum: {rule: cutoff}}; `counted` has the columns of `measured`. Rows that fail the base rule teach nothing."""
-    marked = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).alias("__y"))
+    Rows that fail the base rule teach nothing.
+    """
+    rules = list(MEASURES)
+    marked = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).alias("y"))
     rows = counted.where(~base_failed()).join(marked, F.col(id_col) == F.col("__id"))
     grid = F.array(*map(F.lit, GRID))
-    above = lambda rule: F.struct(F.lit(rule).alias("rule"), F.size(F.filter(grid, lambda g: measure(rule) > g)).alias("above"))
+    below = lambda value: F.size(F.filter(grid, lambda g: value > g))
+    above = [below(measure(r)).alias(f"a{j}") for j, r in enumerate(rules)]
     chooses = (crc_fold(F.col("__id"), 3) == 0).alias("chooses")
-    long = rows.select(F.explode(F.array(F.coalesce(F.col(lang_col), F.lit("null")), F.lit(ALL))).alias("stratum"), "__y", chooses, F.array(*(above(r) for r in MEASURES)).alias("r"))
-    counts = long.select("stratum", "__y", "chooses", F.inline("r").alias("rule", "above")).groupBy("stratum", "rule", "above", "__y", "chooses").agg(F.count("*").alias("n"))
-    per = counts.where(F.col("rule") == next(iter(MEASURES))).groupBy("stratum").agg(F.sum("n").alias("c"))
-    top = per.orderBy(F.desc("c"), "stratum").limit(STRATA).select(F.col("stratum").alias("s"))
-    cells: dict[tuple[str, str], list] = {}
-    for r in counts.join(top, F.col("stratum") == F.col("s"), "left_semi").collect():
-        cells.setdefault((r["stratum"], r["rule"]), []).append(r)
-    strata = sorted({s for s, _ in cells}, key=lambda s: (s != ALL, s))
-
-    chosen: dict[str, dict[str, int]] = {}  # rules in the order of their gain, with places in the grid
-    for s in strata:
-        gains = {}
-        for rule in MEASURES:
-            mine = [r for r in cells[s, rule] if r["chooses"]]
-            n = [sum(r["n"] for r in mine if r["__y"] == y) for y in (0, 1)]
-            best = (0.0, None)
-            for k in reversed(range(len(GRID))):  # the most lenient first
-                bad, good = (sum(r["n"] for r in mine if r["__y"] == y and r["above"] > k) for y in (0, 1))
-                if good > risk * n[1]:
-                    break  # stricter ones reject more
-                best = max(best, (bad / max(1, n[0]) - GOOD_WEIGHT * good / max(1, n[1]), k), key=lambda x: x[0])
-            if best[1] is not None:
-                gains[rule] = best
-        chosen[s] = {rule: gains[rule][1] for rule in sorted(gains, key=lambda r: -gains[r][0])}
-        chosen[s] |= {rule: k for rule, k in chosen.get(ALL, {}).items() if rule not in chosen[s]}
-
-    # Of the good rows that test, how many each set of a stratum's chosen rules rejects; a set is a number of four bits.
-    limits = {rule: {s: float(GRID[c[rule]]) for s, c in chosen.items() if rule in c} for rule in MEASURES}
-    over = [F.coalesce(measure(rule) > _of_stratum(limits[rule], F.col("stratum")), F.lit(False)).cast("int") * 2**k for k, rule in enumerate(MEASURES) if limits[rule]]
-    tests = rows.where((F.col("__y") == 1) & (crc_fold(F.col("__id"), 3) != 0)).withColumn("stratum", F.explode(F.array(F.coalesce(F.col(lang_col), F.lit("null")), F.lit(ALL))))
-    sets = tests.where(F.col("stratum").isin(strata)).groupBy("stratum", sum(over, F.lit(0)).alias("set")).agg(F.count("*").alias("n")).collect() if over else []
-
-    level = delta / max(1, len(strata) * len(MEASURES) * len(GRID))
-    bit = {rule: 2**k for k, rule in enumerate(MEASURES)}
-    out: dict[str, dict[str, float]] = {}
-    for s in strata:
-        mine, together = [r for r in sets if r["stratum"] == s], 0
-        n = sum(r["n"] for r in mine)
-        for rule, least in chosen[s].items():
-            together |= bit[rule]
-            gone = sum(r["n"] for r in mine if r["set"] & together)
-            if gone >= risk * n or binomial_tail(gone, n, risk) > delta / len(strata):
-                break
-            good = [r for r in cells[s, rule] if r["__y"] == 1]
-            total = sum(r["n"] for r in good)
-            for k in range(least, len(GRID)):
-                gone = sum(r["n"] for r in good if r["above"] > k)
-                if gone < risk * total and binomial_tail(gone, total, risk) <= level:
-                    out.setdefault(s, {})[rule] = GRID[k]
-                    break
-    return out
-
-
-def verdict(cutoffs: dict[str, dict[str, float]], lang: Column) -> Column:
-    """Whether a measured row passes the base rule and every cutoff of its stratum."""
-    ok = ~base_failed()
-    stratum = F.coalesce(lang, F.lit("null"))
-    for rule in MEASURES:
-        own = {s: c[rule] for s, c in cutoffs.items() if rule in c and s != ALL}
-        if own:
-            ok = ok & F.coalesce(measure(rule) <= _of_stratum(own, stratum), F.lit(True))
-    return ok
+    # Everything below works on these counts: rows of a stratum, label and half with the same cutoffs exceeded.
+    alike = rows.select(stratum(F.col(lang_col)).alias("own"), "y", chooses, *above).groupBy("own", "y", "chooses", *(f"a{j}" for j in range(len(rules)))).agg(F.count("*").alias("n"))
+    alike = checkpointed(alike.select(F.explode(F.array("own", F.lit(ALL))).alias("stratum"), "y", "chooses", *(f"a{j}" for j in range(len(rules))), "n"))
+
+    over = lambda test, k: F.sum(F.when(test & (F.col("above") > k), F.col("n")).otherwise(0))
+    all_of = lambda test: F.sum(F.when(test, F.col("n")).otherwise(0))
+    bad, good = (F.col("y") == 0) & F.col("chooses"), (F.col("y") == 1) & F.col("chooses")
+    each = alike.select("stratum", "y", "chooses", "n", F.inline(F.array(*(F.struct(F.lit(j).alias("rule"), F.col(f"a{j}").alias("above")) for j in range(len(rules))))))
+    per_rule = each.groupBy("stratum", "rule").agg(
+        all_of(bad).alias("n_bad"), all_of(good).alias("n_good"), all_of(F.col("y") == 1).alias("total"),
+        *(F.array(*(over(test, k) for k in range(len(GRID)))).alias(c) for c, test in (("bad", bad), ("good", good), ("gone", F.col("y") == 1))),
+    )
+    share = lambda c, k, n: F.get(c, k) / F.greatest(F.lit(1), n)
+    gain = lambda k: share(F.col("bad"), k, F.col("n_bad")) - GOOD_WEIGHT * share(F.col("good"), k, F.col("n_good"))
+    options = F.transform(F.sequence(F.lit(0), F.lit(len(GRID) - 1)), lambda k: F.when((F.get("good", k) <= risk * F.col("n_good")) & (gain(k) > 0), F.struct(gain(k).alias("gain"), k.alias("k"))))
+    per_rule = per_rule.withColumn("best", F.array_max(F.filter(options, lambda o: o.isNotNull())))  # the more lenient of equal gains
+    listed = F.array_sort(F.collect_list(F.when(F.col("best").isNotNull(), F.struct((-F.col("best.gain")).alias("loss"), "rule", F.col("best.k").alias("k")))))
+    chosen = checkpointed(per_rule.groupBy("stratum").agg(listed.alias("own"), F.array_sort(F.collect_list(F.struct("rule", "gone", "total"))).alias("rules")))
+    strata = max(1, chosen.count())
+    found = chosen.where(F.col("stratum") == ALL).first()
+    common = F.array(*(F.struct(F.lit(x["loss"]).alias("loss"), F.lit(x["rule"]).alias("rule"), F.lit(x["k"]).alias("k")) for x in found["own"])) if found and found["own"] else F.filter("own", lambda x: F.lit(False))
+    # A stratum's list: its own choices, the best first, then those of all languages for the other rules.
+    chosen = chosen.withColumn("list", F.concat("own", F.filter(common, lambda x: ~F.exists("own", lambda y: y["rule"] == x["rule"]))))
+
+    # Of the good rows that test, how many the first rules of the list reject together.
+    tests = alike.where("y = 1 and not chooses").join(chosen.select("stratum", "list"), "stratum")
+    exceeded = F.array(*(F.col(f"a{j}") for j in range(len(rules))))
+    by_first = lambda j: F.exists(F.slice("list", 1, j), lambda x: F.get(exceeded, x["rule"]) > x["k"])
+    together = tests.groupBy("stratum").agg(F.sum("n").alias("tested"), F.array(*(F.sum(F.when(by_first(j), F.col("n")).otherwise(0)) for j in range(1, len(rules) + 1))).alias("rejected"))
+    n, gone = F.col("tested"), lambda j: F.get("rejected", F.lit(j))
+    held = [(F.size("list") > j) & (gone(j) < risk * n) & F.when(gone(j) < risk * n, binomial_tail(gone(j), n, risk) <= delta / strata).otherwise(False) for j in range(len(rules))]
+    held = F.array(*(F.coalesce(x, F.lit(False)) for x in held))
+    passed = F.coalesce(F.nullif(F.array_position(held, F.lit(False)), F.lit(0)), F.lit(len(rules) + 1)).cast("int") - 1  # the first failure ends the list
+    level = delta / (strata * len(rules) * len(GRID))
+    ready = together.join(chosen, "stratum").withColumn("passed", passed).where("passed > 0")
+    ready = ready.select("stratum", "rules", F.inline(F.slice("list", F.lit(1), F.col("passed")))).withColumn("r", F.get("rules", F.col("rule")))
+    ready = ready.select("stratum", "rule", F.explode(F.sequence(F.col("k"), F.lit(len(GRID) - 1))).alias("k"), "r.gone", "r.total").withColumn("lost", F.get("gone", F.col("k")))
+    safe = ready.where((F.col("lost") < risk * F.col("total")) & F.when(F.col("lost") < risk * F.col("total"), binomial_tail(F.col("lost"), F.col("total"), risk) <= level).otherwise(False))
+    cut = safe.groupBy("stratum", "rule").agg(F.get(grid, F.min("k")).alias("cut"))
+    return checkpointed(cut.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == j, F.col("cut"))).alias(r) for j, r in enumerate(rules))))
+
+
+def judged(counted: DataFrame, cutoffs: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """counted with __kept: whether a measured row passes the base rule and every cutoff of its stratum."""
+    table = cutoffs.where(F.col("stratum") != ALL).select(F.col("stratum").alias("__stratum"), *(F.col(r).alias(f"__cut_{r}") for r in MEASURES))
+    if table.count() <= BROADCAST_STRATA:
+        table = F.broadcast(table)  # else Catalyst shuffles, and splits the partitions of common languages
+    out = counted.join(table, stratum(F.col(lang_col)) == F.col("__stratum"), "left")
+    fails = functools.reduce(lambda a, b: a | b, (F.coalesce(measure(r) > F.col(f"__cut_{r}"), F.lit(False)) for r in MEASURES))
+    return out.withColumn("__kept", ~base_failed() & ~fails).drop("__stratum", *(f"__cut_{r}" for r in MEASURES))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, counts..., base_failed, kept) of every row."""
-    counted = measured(docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("__text")), F.col("__text")).drop("__text")
-    counted = checkpointed(counted)
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("__text"))
+    counted = checkpointed(measured(slim, F.col("__text")).drop("__text"))
     cutoffs = learn_cutoffs(counted, labels.select(F.col(id_col).alias("doc_id"), "quality"))
-    return counted.select("doc_id", *(F.col(f"__{c}").alias(c) for c in COUNTS), base_failed().alias("base_failed"), verdict(cutoffs, F.col("lang")).alias("kept"))
+    return judged(counted, cutoffs).select("doc_id", *(F.col(f"__{c}").alias(c) for c in COUNTS), base_failed().alias("base_failed"), F.col("__kept").alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of docs that pass."""
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("__text"))
-    marked = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("doc_id"), "quality")
-    taught = slim.join(marked.select("doc_id").distinct(), "doc_id", "left_semi")
-    cutoffs = learn_cutoffs(checkpointed(measured(taught, F.col("__text")).drop("__text")), marked)
-    # The filter reads each measure several times. A column that is not deterministic keeps the optimiser from pushing the
-    # filter below the measures, which would copy their expressions into it.
-    once = measured(docs, F.col(text_col).cast("string")).withColumn("__once", F.rand(1))
-    return once.where((F.col("__once") >= 0) & verdict(cutoffs, F.col(lang_col).cast("string"))).select(*docs.columns)
+    """The rows of docs that pass, with their columns, whatever these are called. Measures are taken once, and kept beside the rows."""
+    slim = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("__text"))
+    counted = checkpointed(measured(slim, F.col("__text")).drop("__text"))
+    cutoffs = learn_cutoffs(counted.drop("row"), labels.select(F.col(id_col).alias("doc_id"), "quality"))
+    return judged(counted, cutoffs).where("__kept").select("row.*")

@@ -184,23 +184,83 @@ def test_rule_counts(spark):
     assert quality_rules.quality_rules(df.limit(0), labels).count() == 0
 
 
-def test_cutoffs_are_safe_and_used(spark):
+def tail(k, n, p):
+    """P(X <= k), by exact terms."""
+    log = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
+    return min(1.0, math.fsum(math.exp(x) for x in log))
+
+
+def cutoffs_by_hand(rows, risk=0.05, delta=0.05):
+    """{language: {rule: cutoff}} from (id, language, label, base failed, the four measures), by loops over the definition."""
+    import zlib
+
+    grid, rules = quality_rules.GRID, list(quality_rules.MEASURES)
+    rows = [r for r in rows if not r[3] and r[2] in (0, 1)]
+    half = lambda r: zlib.crc32(str(r[0]).encode()) % 3 == 0
+    strata = ["*", *sorted({r[1] for r in rows}, key=str)] if rows else []
+    member = lambda s, r: s == "*" or r[1] == s
+    chosen, out = {}, {}
+    for s in strata:
+        mine = [r for r in rows if member(s, r) and half(r)]
+        bad, good = ([r for r in mine if r[2] == y] for y in (0, 1))
+        found = []
+        for j in range(len(rules)):
+            best = None
+            for k in range(len(grid) - 1, -1, -1):
+                b, g = (sum(r[4 + j] > grid[k] for r in x) for x in (bad, good))
+                gain = b / max(1, len(bad)) - 5.0 * (g / max(1, len(good)))
+                if g <= risk * len(good) and gain > 0 and (best is None or gain > best[0]):
+                    best = (gain, k)
+            if best:
+                found.append((-best[0], j, best[1]))
+        chosen[s] = [(j, k) for _, j, k in sorted(found)]
+    for s in strata:
+        order = chosen[s] + [(j, k) for j, k in chosen["*"] if j not in [x for x, _ in chosen[s]]]
+        good = [r for r in rows if member(s, r) and r[2] == 1]
+        test = [r for r in good if not half(r)]
+        for m, (j, least) in enumerate(order):
+            lost = sum(any(r[4 + i] > grid[k] for i, k in order[: m + 1]) for r in test)
+            if not test or lost >= risk * len(test) or tail(lost, len(test), risk) > delta / len(strata):
+                break
+            for k in range(least, len(grid)):
+                lost = sum(r[4 + j] > grid[k] for r in good)
+                if lost < risk * len(good) and tail(lost, len(good), risk) <= delta / (len(strata) * len(rules) * len(grid)):
+                    out.setdefault(s, {})[rules[j]] = grid[k]
+                    break
+    return out
+
+
+def learnt(cutoffs):
+    """{stratum: {rule: cutoff}} of a table of cutoffs."""
+    name = lambda s: None if s == "null" else s.removeprefix("=")
+    return {name(r["stratum"]): {k: r[k] for k in quality_rules.MEASURES if r[k] is not None} for r in cutoffs.collect()}
+
+
+def upper(text):
+    import unicodedata
+
+    return sum(unicodedata.category(c) == "Lu" for c in text or "")
+
+
+def test_verdicts_against_brute_force(spark):
+    """kept of every document, from counts, cutoffs and tests worked out by hand."""
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
-    counted = quality_rules.checkpointed(quality_rules.measured(docs.select("doc_id", "lang", F.col("text").alias("__text")), F.col("__text")).drop("__text"))
-    cutoffs = quality_rules.learn_cutoffs(counted, labels)
-    assert quality_rules.ALL in cutoffs
-    rows = counted.where(~quality_rules.base_failed()).join(labels, "doc_id").where("quality = 1").select("lang", *(quality_rules.measure(m).alias(m) for m in quality_rules.MEASURES)).collect()
-    tests = len({r["lang"] for r in rows} | {"*"}) * len(quality_rules.MEASURES) * len(quality_rules.GRID)
-    for s, rules in cutoffs.items():
-        mine = [r for r in rows if s in ("*", r["lang"])]
-        for rule, c in rules.items():
-            rejected = sum(r[rule] > c for r in mine)
-            assert quality_rules.binomial_tail(rejected, len(mine), quality_rules.RISK) <= quality_rules.DELTA / tests * 1.3
-    got = quality_rules.quality_rules(docs, labels).join(labels, "doc_id").where("not base_failed").collect()
-    good, bad = ([r["kept"] for r in got if r["quality"] == y] for y in (1, 0))
-    assert sum(good) / len(good) > 0.95 and sum(bad) / len(bad) < 0.5
+    label = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    rows = []
+    for d in docs.select("doc_id", "lang", "text").collect():
+        n_words, chars, symbols, doubled, repeats = base_counts(d["text"])
+        lines = [x for x in (d["text"] or "").split("\n") if words_of(x)]
+        failed = n_words < 50 or 100 * repeats > 50 * n_words
+        rows.append((d["doc_id"], d["lang"], label.get(d["doc_id"]), failed, symbols / max(chars, 1), doubled / max(len(lines), 1), repeats / max(n_words, 1), upper(d["text"]) / max(chars, 1)))
+    cutoffs = cutoffs_by_hand(rows)
+    assert any(s != "*" for s in cutoffs)
+    want = {r[0]: not r[3] and all(r[4 + j] <= cutoffs.get(r[1], {}).get(rule, 9) for j, rule in enumerate(quality_rules.MEASURES)) for r in rows}
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs, labels).collect()}
+    assert got == want
+    good = [want[i] for i, y in label.items() if y == 1 and not next(r[3] for r in rows if r[0] == i)]
+    assert sum(good) / len(good) > 0.95
     kept = quality_rules.keep_good(docs, labels)
-    assert kept.columns == docs.columns and kept.count() == quality_rules.quality_rules(docs, labels).where("kept").count()
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, k in want.items() if k)
 
 
 def counted_rows(spark, rows):
@@ -210,20 +270,24 @@ def counted_rows(spark, rows):
     return counted, spark.createDataFrame([(k, r[1]) for k, r in enumerate(rows)], "doc_id long, quality int")
 
 
+def by_hand(rows):
+    return cutoffs_by_hand([(k, r[0], r[1], False, *(x / 1000 for x in r[2:])) for k, r in enumerate(rows)])
+
+
 def test_common_cutoff_rests_where_it_is_not_safe(spark):
     """'*' is safe although it would reject all of a small language, and one without labels."""
     rows = [*[("en", 1, 0, 0, 0, 0)] * 3000, *[("en", 0, 500, 0, 0, 0)] * 300, *[("xx", 1, 500, 0, 0, 0)] * 6]
     counted, labels = counted_rows(spark, rows)
     cutoffs = quality_rules.learn_cutoffs(counted, labels)
-    assert cutoffs["*"]["symbols"] < 0.5
-    kept = counted.unionByName(counted.where("lang = 'xx'").withColumn("lang", F.lit("unseen"))).where(quality_rules.verdict(cutoffs, F.col("lang")))
+    assert learnt(cutoffs) == by_hand(rows) and learnt(cutoffs)["*"]["symbols"] < 0.5
+    kept = quality_rules.judged(counted.unionByName(counted.where("lang = 'xx'").withColumn("lang", F.lit("unseen"))), cutoffs).where("__kept")
     assert {r["lang"]: r["count"] for r in kept.groupBy("lang").count().collect()} == {"en": 3000, "xx": 6, "unseen": 6}
 
 
 def test_common_cutoff_holds_where_it_is_safe(spark):
     rows = [*[("en", 1, 0, 0, 0, 0)] * 3000, *[("en", 0, 500, 0, 0, 0)] * 300, *[("de", 1, 0, 0, 0, 0)] * 3000]
-    cutoffs = quality_rules.learn_cutoffs(*counted_rows(spark, rows))
-    assert cutoffs["de"] == {"symbols": cutoffs["*"]["symbols"]}
+    cutoffs = learnt(quality_rules.learn_cutoffs(*counted_rows(spark, rows)))
+    assert cutoffs == by_hand(rows) and cutoffs["de"] == {"symbols": cutoffs["*"]["symbols"]}
 
 
 def test_rules_together_keep_the_risk(spark):
@@ -232,16 +296,52 @@ def test_rules_together_keep_the_risk(spark):
     rows = [*[("en", 1, 0, 0, 0, 0)] * 2760, *(("en", 1, *one(k, 400)) for k in range(4) for _ in range(60)), *(("en", 0, *one(k, 300)) for k in range(4) for _ in range(100))]
     counted, labels = counted_rows(spark, rows)
     cutoffs = quality_rules.learn_cutoffs(counted, labels)
+    assert learnt(cutoffs) == by_hand(rows)
     good = counted.join(labels.where("quality = 1"), "doc_id")
-    assert good.where(~quality_rules.verdict(cutoffs, F.col("lang"))).count() < quality_rules.RISK * 3000
+    assert quality_rules.judged(good, cutoffs).where("not __kept").count() < quality_rules.RISK * 3000
 
 
-def test_binomial_tail():
-    for n, p in ((10, 0.3), (50, 0.05)):
-        for k in range(0, n + 1, 3):
-            want = sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
-            assert abs(quality_rules.binomial_tail(k, n, p) - want) < 1e-9
-    assert quality_rules.binomial_tail(10, 10**6, 0.05) < 1e-300
+def test_many_languages_have_their_own_cutoffs(spark, monkeypatch):
+    """300 languages, none dropped; the last with the fewest labels is judged like the first, broadcast or not."""
+    rows = []
+    for s in range(300):
+        rows += [(f"l{s:03}", 1, 0, 0, 0, 0)] * (330 - s // 10) + [(f"l{s:03}", 0, 200, 0, 0, 0)] * 20
+    counted, labels = counted_rows(spark, rows)
+    cutoffs = quality_rules.learn_cutoffs(counted, labels)
+    assert len(learnt(cutoffs)) == 301
+    for most in (10_000, 0):
+        monkeypatch.setattr(quality_rules, "BROADCAST_STRATA", most)
+        assert quality_rules.judged(counted, cutoffs).where("__kept").join(labels, "doc_id").where("quality = 0").count() == 0
+
+
+def test_joint_rejection_stays_below_the_risk(spark):
+    """Simulated labels whose good rows a rule rejects with a chance just above the risk: hardly any draw lets it pass."""
+    r, wrong = random.Random(12), 0
+    rows, draws = [], 60
+    for s in range(draws):
+        rows += [(f"s{s:02}", 1, 400 if r.random() < 0.055 else 0, 0, 0, 0) for _ in range(200)] + [(f"s{s:02}", 0, 500, 0, 0, 0)] * 60
+    cutoffs = learnt(quality_rules.learn_cutoffs(*counted_rows(spark, rows)))
+    for s, rules in cutoffs.items():
+        wrong += s != "*" and rules.get("symbols", 9) < 0.4
+    assert wrong <= 0.05 * draws
+
+
+def test_clashing_names_and_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c " * 40, "en", "k", 7), (None, None, None, "", 0), (1, "", None, None, None)], "doc_id long, text string, lang string, __keys string, __n_words long").withColumn("__kept", F.lit("x"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "doc_id long, quality int")
+    assert quality_rules.keep_good(docs, labels).columns == docs.columns
+    assert quality_rules.keep_good(docs, labels).count() == 0
+    assert quality_rules.keep_good(docs.limit(0), labels).count() == quality_rules.quality_rules(docs.limit(0), labels.limit(0)).count() == 0
+
+
+def test_binomial_tail(spark):
+    cases = [(k, n, p) for n, p in ((10, 0.3), (50, 0.05), (1000, 0.05), (40_000, 0.05)) for k in sorted({0, 1, int(n * p / 2), int(n * p) - 1}) if k < n * p]
+    for p in {c[2] for c in cases}:
+        mine = [c for c in cases if c[2] == p]
+        got = spark.createDataFrame([c[:2] for c in mine], "k long, n long").select("k", "n", quality_rules.binomial_tail(F.col("k"), F.col("n"), p).alias("t")).collect()
+        for r in got:
+            want = tail(r["k"], r["n"], p)
+            assert abs(r["t"] - want) <= 1e-9 * want + 1e-300
 
 
 def targets_by_hand(sizes):
