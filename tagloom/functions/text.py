@@ -1,13 +1,12 @@
 """Text functions over columns.
 
-Everything runs in the JVM. Compatibility characters that stand for one character are folded with `translate`
-over a table built from the Unicode data; `nfkc_exact` (an Arrow UDF) also handles those that expand or combine.
+Everything runs in the JVM. Compatibility forms and case folding are those of ICU, which Spark brings along; texts of ASCII
+characters alone skip them. Spark holds such calls for not deterministic, so they stand in projections and filters, not in aggregates.
 """
 
 from __future__ import annotations
 
 import functools
-import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, types
@@ -18,21 +17,18 @@ from tagloom.functions import fixed
 CJK = r"\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}"
 
 
-@functools.cache
-def _folds() -> tuple[str, str]:
-    """Characters of the Basic Multilingual Plane whose compatibility form is one other character."""
-    pairs = [(chr(i), unicodedata.normalize("NFKC", chr(i))) for i in range(0x80, 0x10000) if not 0xD800 <= i < 0xE000]
-    pairs = [(a, b) for a, b in pairs if a != b and len(b) == 1]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+def _icu(kind: str, method: str, c: Column) -> Column:
+    return F.reflect(F.lit(f"com.ibm.icu.{kind}"), F.lit(method), F.coalesce(c, F.lit("")), F.lit(True))
 
 
 def nfkc(c: Column) -> Column:
-    return F.translate(c, *_folds())
+    """Compatibility composition (NFKC)."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), _icu("text.Normalizer", "compose", c)).otherwise(c)
 
 
-@F.pandas_udf(types.StringType())
-def nfkc_exact(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
+def casefold(c: Column) -> Column:
+    """Full case folding."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), _icu("lang.UCharacter", "foldCase", c)).otherwise(F.lower(c))
 
 
 def words_pattern(words: list[str]) -> str:
@@ -63,7 +59,7 @@ def normalize(c: Column) -> Column:
 
 
 def surface_key(c: Column) -> Column:
-    return F.regexp_replace(F.replace(F.lower(clean_raw(c)), F.lit("ß"), F.lit("ss")), r"(?U)\s+", "")
+    return F.regexp_replace(casefold(clean_raw(c)), r"(?U)\s+", "")
 
 
 def latin_part(normal: Column) -> Column:

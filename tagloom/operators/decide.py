@@ -209,22 +209,36 @@ RESULT = ["candidate1", "candidate2", "candidate3", "suggested_name", "suggested
 
 
 def key_table(items: DataFrame) -> DataFrame:
-    """Items by decision key: first raw brand and title (by item id), item count, most frequent l2 (the smallest of equal ones)."""
-    rows = items.withColumn("key", T.brand_key(F.col("brand"), F.col("title"), F.col("item_id")))
-    l2 = rows.groupBy("key", "l2").agg(F.count("*").alias("n")).groupBy("key").agg(F.min_by("l2", F.struct(-F.col("n"), "l2")).alias("main_l2"))
-    g = rows.groupBy("key").agg(F.min_by(F.struct("brand", "title", "l1"), "item_id").alias("f"), F.count("*").alias("goods"))
-    return g.join(l2, "key").select("key", F.col("f.brand").alias("raw_brand"), F.col("f.title").alias("title"), F.col("f.l1").alias("l1"), "goods", "main_l2")
+    """Items by category and decision key: first raw brand and title (by item id), item count, most frequent l2 (the smallest of equal ones).
+
+    A key is decided in each category on its own, so results do not depend on which categories run together.
+    """
+    return _key_table(with_keys(items))
+
+
+def with_keys(items: DataFrame) -> DataFrame:
+    return items.withColumn("key", T.brand_key(F.col("brand"), F.col("title"), F.col("item_id")))
+
+
+def _key_table(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("l1", F.coalesce("l1", F.lit("")))
+    # Counts by l2 first, so that a common key costs a row for each l2 and task.
+    per = rows.groupBy("l1", "key", "l2").agg(F.min_by(F.struct("item_id", "brand", "title"), "item_id").alias("f"), F.count("*").alias("n"))
+    g = per.groupBy("l1", "key").agg(F.min_by("f", "f.item_id").alias("f"), F.sum("n").alias("goods"), F.min_by("l2", F.struct(-F.col("n"), "l2")).alias("main_l2"))
+    return g.select("key", F.col("f.brand").alias("raw_brand"), F.col("f.title").alias("title"), "l1", "goods", "main_l2")
 
 
 def tag_items(items: DataFrame, index: Index, rules: DataFrame | None = None, overrides: DataFrame | None = None) -> DataFrame:
-    """Every item with its key's outcome: decided once for each key, rules on keys, then overrides on items."""
+    """Every item with its key's outcome: decided once for each category and key, rules on keys, then overrides on items."""
     categories = index.parts.where("category <> ''").select(F.col("category").alias("l1")).distinct().withColumn("cat_check", F.lit(True))
-    keys = key_table(items).join(categories, "l1", "left")
-    cases = keys.select(F.col("key").alias("case_id"), "raw_brand", "title", F.coalesce("l1", F.lit("")).alias("cat"), F.coalesce("cat_check", F.lit(False)).alias("cat_check"))
-    result = tag(cases, index).withColumnRenamed("case_id", "key")
+    rows = with_keys(items)
+    case = F.concat("l1", F.lit("\n"), "key")
+    keys = _key_table(rows).join(categories, "l1", "left").withColumn("case_id", case)
+    result = tag(keys.select("case_id", "raw_brand", "title", F.col("l1").alias("cat"), F.coalesce("cat_check", F.lit(False)).alias("cat_check")), index)
     if rules is not None:
-        result = apply_rules(result, rules.withColumnRenamed("rule_key", "key"), "key", "3.1", index)
-    out = items.withColumn("key", T.brand_key(F.col("brand"), F.col("title"), F.col("item_id"))).join(result, "key")
+        key = F.regexp_extract("case_id", r"(?s)^[^\n]*\n(.*)$", 1)
+        result = apply_rules(result.withColumn("key", key), rules.withColumnRenamed("rule_key", "key"), "key", "3.1", index).drop("key")
+    out = rows.withColumn("case_id", F.concat(F.coalesce("l1", F.lit("")), F.lit("\n"), "key")).join(result, "case_id").drop("case_id")
     if overrides is not None:
         out = apply_rules(out, overrides.withColumnRenamed("rule_key", "item_id"), "item_id", "3.2", index)
     return out

@@ -127,6 +127,7 @@ def s_ratios(pairs: str) -> str:
 
 ITEMS, RESULTS, LOG, RUNS = (I.sql(*x) for x in (("part", I.ITEMS), ("part", I.RESULTS), ("events", I.LOG), ("orders", I.RUNS)))
 V = I.TEXTS.sql
+STRINGS = I.STRINGS_SQL
 items = lambda s, d: I.derived(s, d, "part", I.ITEMS)
 results = lambda s, d: I.derived(s, d, "part", I.RESULTS)
 log = lambda s, d: I.derived(s, d, "events", I.LOG)
@@ -138,9 +139,26 @@ def index(spark: SparkSession) -> pool.Index:
 
 
 # --- Text functions ---------------------------------------------------------------------------------------
-@query(f"SELECT case_id AS id, {s_clean('s')} AS clean FROM {V}")
+@query(f"SELECT id, {s_clean('s')} AS clean FROM {STRINGS}")
 def text_clean(spark, sf_dir):
-    return I.TEXTS.df(spark).select(F.col("case_id").alias("id"), T.clean_raw(F.col("s")).alias("clean"))
+    return I.strings(spark, sf_dir).select("id", T.clean_raw(F.col("s")).alias("clean"))
+
+
+# Half-width, square, ligature, full-width and folding forms, worked out from the Unicode data.
+_FORMS = I.Values(
+    {"s": "VARCHAR", "clean": "VARCHAR", "normal": "VARCHAR", "surface": "VARCHAR"},
+    [
+        ("ｶﾞｼﾞｪ", "ガジェ", "ガジェ", "ガジェ"), ("ﾌﾟﾗｻﾞ", "プラザ", "プラザ", "プラザ"), ("㌔½ﬁ", "キロ1⁄2fi", "キロ12fi", "キロ1⁄2fi"), ("Ｈ＆Ｈ", "H&H", "hh", "h&h"), ("Cafe\u0301 ①", "Café 1", "café1", "café1"), ("ＳＴＲＡẞＥ", "STRAẞE", "straße", "strasse"),
+        ("ΣΊΣΥΦΟΣ", "ΣΊΣΥΦΟΣ", "σίσυφος", "σίσυφοσ"), ("한글", "한글", "한글", "한글"), ("ŉ x", "ʼn x", "ʼnx", "ʼnx"), ("plain Text", "plain Text", "plaintext", "plaintext"), (None, "", "", ""),
+    ],
+)
+
+
+@query(_FORMS.sql)
+def text_compatibility(spark, sf_dir):
+    """Compatibility forms and full case folding."""
+    s = F.col("s")
+    return _FORMS.df(spark).select("s", T.clean_raw(s).alias("clean"), T.normalize(s).alias("normal"), T.surface_key(s).alias("surface"))
 
 
 @query(f"SELECT item_id, {s_norm('title')} AS normal FROM {ITEMS}")
@@ -148,37 +166,37 @@ def text_normalize(spark, sf_dir):
     return items(spark, sf_dir).select("item_id", T.normalize(F.col("title")).alias("normal"))
 
 
-@query(f"WITH n AS (SELECT case_id, {s_norm('s')} AS n FROM {V}) SELECT case_id, n AS full_text, {s_lat('n')} AS lat, {s_cjk('n')} AS cjk FROM n")
+@query(f"WITH n AS (SELECT id, {s_norm('s')} AS n FROM {STRINGS}) SELECT id, n AS full_text, {s_lat('n')} AS lat, {s_cjk('n')} AS cjk FROM n")
 def text_parts(spark, sf_dir):
     n = F.col("full_text")
-    return I.TEXTS.df(spark).select("case_id", T.normalize(F.col("s")).alias("full_text")).select("case_id", n, T.latin_part(n).alias("lat"), T.cjk_part(n).alias("cjk"))
+    return I.strings(spark, sf_dir).select("id", T.normalize(F.col("s")).alias("full_text")).select("id", n, T.latin_part(n).alias("lat"), T.cjk_part(n).alias("cjk"))
 
 
-@query(f"SELECT case_id AS id, array_to_string({s_tokens('s')}, ' ') AS tokens FROM {V} UNION ALL SELECT CAST(doc_id AS INT) + 1000, array_to_string({s_tokens('text')}, ' ') FROM documents WHERE lang = 'en'")
+@query(f"SELECT case_id AS id, array_to_string({s_tokens('s')}, ' ') AS tokens FROM {V} UNION ALL SELECT CAST(doc_id AS INT) + 1000, array_to_string({s_tokens('text')}, ' ') FROM documents")
 def text_tokens(spark, sf_dir):
     one = I.TEXTS.df(spark).select(F.col("case_id").alias("id"), "s")
-    two = I.table(spark, sf_dir, "documents").where("lang = 'en'").select((F.col("doc_id") + 1000).cast("int").alias("id"), F.col("text").alias("s"))
+    two = I.table(spark, sf_dir, "documents").select((F.col("doc_id") + 1000).cast("int").alias("id"), F.col("text").alias("s"))
     return one.unionByName(two).select("id", F.array_join(F.sort_array(T.latin_tokens(F.col("s"))), " ").alias("tokens"))
 
 
-@query(f"SELECT case_id, regexp_replace(replace(lower({s_clean('s')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface FROM {V}")
+@query(f"SELECT id, regexp_replace(replace(lower({s_clean('s')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface FROM {STRINGS}")
 def text_surface_key(spark, sf_dir):
-    return I.TEXTS.df(spark).select("case_id", T.surface_key(F.col("s")).alias("surface"))
+    return I.strings(spark, sf_dir).select("id", T.surface_key(F.col("s")).alias("surface"))
 
 
-@query(rf"SELECT case_id, regexp_full_match({s_clean('s')}, '[^\x{{3400}}-\x{{9FFF}}]*[A-Za-z0-9][^\x{{3400}}-\x{{9FFF}}]*\s+[\x{{3400}}-\x{{9FFF}}].*') OR regexp_full_match({s_clean('s')}, '[\x{{3400}}-\x{{9FFF}}][^A-Za-z]*\s+[A-Za-z].*') AS bilingual FROM {V}")
+@query(rf"SELECT id, regexp_full_match({s_clean('s')}, '[^\x{{3400}}-\x{{9FFF}}]*[A-Za-z0-9][^\x{{3400}}-\x{{9FFF}}]*\s+[\x{{3400}}-\x{{9FFF}}].*') OR regexp_full_match({s_clean('s')}, '[\x{{3400}}-\x{{9FFF}}][^A-Za-z]*\s+[A-Za-z].*') AS bilingual FROM {STRINGS}")
 def text_bilingual(spark, sf_dir):
-    return I.TEXTS.df(spark).select("case_id", T.is_bilingual(T.clean_raw(F.col("s"))).alias("bilingual"))
+    return I.strings(spark, sf_dir).select("id", T.is_bilingual(T.clean_raw(F.col("s"))).alias("bilingual"))
 
 
-@query(f"SELECT case_id, bracket FROM {s_bracket_rows(V, 's')}")
+@query(f"SELECT id, bracket FROM {s_bracket_rows(STRINGS, 's')}")
 def text_bracket(spark, sf_dir):
-    return I.TEXTS.df(spark).select("case_id", T.extract_bracket(F.col("s")).alias("bracket"))
+    return I.strings(spark, sf_dir).select("id", T.extract_bracket(F.col("s")).alias("bracket"))
 
 
-@query(f"WITH c AS (SELECT case_id, {s_clean('s')} AS c FROM {V}) SELECT case_id, {s_generic('c')} AS generic, (length({s_cjk('c')}) = 0 AND length(c) >= 5) OR length({s_cjk('c')}) >= 3 AS long_enough FROM c")
+@query(f"WITH c AS (SELECT id, {s_clean('s')} AS c FROM {STRINGS}) SELECT id, {s_generic('c')} AS generic, (length({s_cjk('c')}) = 0 AND length(c) >= 5) OR length({s_cjk('c')}) >= 3 AS long_enough FROM c")
 def text_generic(spark, sf_dir):
-    return I.TEXTS.df(spark).select("case_id", T.clean_raw(F.col("s")).alias("c")).select("case_id", T.is_generic(F.col("c")).alias("generic"), T.long_enough(F.col("c")).alias("long_enough"))
+    return I.strings(spark, sf_dir).select("id", T.clean_raw(F.col("s")).alias("c")).select("id", T.is_generic(F.col("c")).alias("generic"), T.long_enough(F.col("c")).alias("long_enough"))
 
 
 @query(f"WITH c AS (SELECT CAST(case_id AS VARCHAR) AS id, {s_clean('s')} AS c FROM {V} UNION ALL SELECT s_name, {s_clean('s_name')} FROM supplier UNION ALL SELECT item_id, {s_clean('brand')} FROM {ITEMS}) SELECT id, {s_why('c')} AS why FROM c")
@@ -195,9 +213,9 @@ def compat_accessory_flags(spark, sf_dir):
     return one.unionByName(items(spark, sf_dir).select(F.col("item_id").alias("id"), T.compatible(F.col("brand")).alias("compatible"), T.accessory(F.col("title")).alias("accessory")))
 
 
-@query(f"WITH n AS (SELECT case_id, {s_norm('s')} AS n FROM {V}) SELECT case_id, {s_host('n')} AS host FROM n")
+@query(f"WITH n AS (SELECT id, {s_norm('s')} AS n FROM {STRINGS}) SELECT id, {s_host('n')} AS host FROM n")
 def host_platform_flags(spark, sf_dir):
-    return I.TEXTS.df(spark).select("case_id", T.host_brand(F.col("s")).alias("host"))
+    return I.strings(spark, sf_dir).select("id", T.host_brand(F.col("s")).alias("host"))
 
 
 _MIXED = f"(SELECT item_id, brand, title FROM {ITEMS} UNION ALL SELECT 'v' || case_id, NULL, s FROM {V} UNION ALL SELECT 'w' || case_id, s, s FROM {V})"
@@ -213,15 +231,17 @@ def brand_key_assign(spark, sf_dir):
     return _mixed(spark, sf_dir).select("item_id", T.brand_key(F.col("brand"), F.col("title"), F.col("item_id")).alias("key"))
 
 
-_NAMES = "(SELECT DISTINCT p_name AS n FROM part)"
-_PAIRS = f"(SELECT x.n AS a, y.n AS b FROM {_NAMES} AS x JOIN {_NAMES} AS y ON substr(x.n, 1, 1) = substr(y.n, 1, 1) AND x.n < y.n)"
+_NAMES = "(SELECT DISTINCT replace(p_name, ' ', '') AS n FROM part UNION SELECT 'brand' || regexp_extract(p_brand, '(\\d+)', 1) FROM part)"
+_PAIRS = f"(SELECT x.n AS a, y.n AS b FROM {_NAMES} AS x JOIN {_NAMES} AS y ON substr(x.n, 1, 1) = substr(y.n, 1, 1) AND length(y.n) BETWEEN CAST(floor(length(x.n) * 0.78) AS INT) AND CAST(floor(length(x.n) / 0.78) AS INT) + 1 WHERE length(x.n) >= 5 AND length(y.n) >= 5)"
 
 
-@query(f"SELECT a, b, round(ratio, 6) AS ratio FROM {s_ratios(_PAIRS)}")
+@query(f"SELECT a, b, round(ratio, 6) AS ratio FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY ratio DESC, b) AS n FROM {s_ratios(_PAIRS)} WHERE ratio >= 40) WHERE n <= 6 AND a <> b")
 def similarity_ratio(spark, sf_dir):
-    names = I.table(spark, sf_dir, "part").select(F.col("p_name").alias("a")).distinct().withColumn("c", F.substring("a", 1, 1))
-    pairs = names.join(names.withColumnRenamed("a", "b"), "c").where("a < b")
-    return pairs.select("a", "b", F.round(T.indel_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
+    """Each name's most similar ones within its block of first character and length, by the similarity in the JVM."""
+    part = I.table(spark, sf_dir, "part")
+    names = part.select(F.regexp_replace("p_name", " ", "").alias("key")).union(part.select(F.concat(F.lit("brand"), F.regexp_extract("p_brand", r"(\d+)", 1)))).distinct()
+    found = match.similar_keys(names.withColumnRenamed("key", "probe"), names, T.indel_ratio, 40, 6)
+    return found.select(F.col("probe").alias("a"), F.col("key").alias("b"), F.round("similarity", 6).alias("ratio"))
 
 
 @query(f"SELECT log_id, substr(sha1(scope || '|' || rule_key || '|' || decision || '|' || coalesce(CASE WHEN brand_id <> 0 THEN CAST(brand_id AS VARCHAR) END, '') || '|' || brand_name || '|' || nobrand_reason || '|' || note), 1, 16) AS fp FROM {LOG}")
@@ -270,20 +290,28 @@ def category_scan(spark, sf_dir):
     return catalogue.scan_category(items(spark, sf_dir), "PROMO")
 
 
-_RAW_POOL = I.Values({"pos": "BIGINT", "brand_id": "VARCHAR", "brand_name": "VARCHAR", "category": "VARCHAR", "adg": "VARCHAR"}, [(1, "1", " A ", "x", "1,234.5"), (2, "2.0", "B", None, "bad"), (3, "x", "C", "y", "1"), (4, "1", "D", "z", "2"), (5, None, "E", "z", "2"), (6, "7", "F", "", "12,000,000")])
+_RAW_ROWS = I.Values({"pos": "BIGINT", "brand_id": "VARCHAR", "brand_name": "VARCHAR", "category": "VARCHAR", "adg": "VARCHAR"}, [(1, "1", " A ", "x", "1,234.5"), (2, "2.0", "B", None, "bad"), (3, "x", "C", "y", "1"), (4, "1", "D", "z", "2"), (5, None, "E", "z", "2"), (6, "7", "F", "", "12,000,000")])
+
 
+_RAW_POOL = f"(SELECT * FROM {_RAW_ROWS.sql} UNION ALL SELECT 100 + p_partkey, CAST(1000 + p_partkey // 2 AS VARCHAR) || '.0', ' ' || p_name, CASE WHEN p_size > 25 THEN p_type END, CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) || ',000' FROM part)"
 
-@query(f"SELECT CAST(TRY_CAST(brand_id AS DOUBLE) AS BIGINT) AS brand_id, trim(brand_name) AS name, coalesce(category, '') AS category, coalesce(TRY_CAST(replace(adg, ',', '') AS DOUBLE), 0) AS adg FROM {_RAW_POOL.sql} WHERE TRY_CAST(brand_id AS DOUBLE) IS NOT NULL QUALIFY row_number() OVER (PARTITION BY TRY_CAST(brand_id AS DOUBLE) ORDER BY pos) = 1")
+
+@query(f"SELECT CAST(TRY_CAST(brand_id AS DOUBLE) AS BIGINT) AS brand_id, trim(brand_name) AS name, coalesce(category, '') AS category, coalesce(TRY_CAST(replace(adg, ',', '') AS DOUBLE), 0) AS adg FROM {_RAW_POOL} WHERE TRY_CAST(brand_id AS DOUBLE) IS NOT NULL QUALIFY row_number() OVER (PARTITION BY TRY_CAST(brand_id AS DOUBLE) ORDER BY pos) = 1")
 def pool_typed(spark, sf_dir):
-    return pool.typed_pool(_RAW_POOL.df(spark))
+    rows = I.table(spark, sf_dir, "part").selectExpr("100 + p_partkey as pos", "concat(1000 + p_partkey div 2, '.0') as brand_id", "concat(' ', p_name) as brand_name", "case when p_size > 25 then p_type end as category", "concat(cast(floor(p_retailprice) as bigint), ',000') as adg")
+    return pool.typed_pool(_RAW_ROWS.df(spark).unionByName(rows))
 
 
 _CURATED = I.Values({"alias_text": "VARCHAR", "brand_id": "BIGINT"}, [("綠鐘 GB", 1), ("莉婕", 15), ("無此", 500), (" ", 3), ("Kate!", 4)])
 
 
-@query(f"WITH a AS (SELECT *, {s_norm('alias_text')} AS alias FROM {_CURATED.sql}) SELECT alias_text, brand_id, alias, true AS valid FROM a WHERE brand_id IN (SELECT brand_id FROM {I.BRANDS.sql}) AND alias <> '' UNION ALL SELECT alias_text, brand_id, alias, false FROM a WHERE brand_id NOT IN (SELECT brand_id FROM {I.BRANDS.sql})")
+_ALIAS_ROWS = f"(SELECT * FROM {_CURATED.sql} UNION ALL SELECT '品 ' || s_name, 1000000 + CAST(s_suppkey AS BIGINT) * 2 FROM supplier)"
+
+
+@query(f"WITH a AS (SELECT *, {s_norm('alias_text')} AS alias FROM {_ALIAS_ROWS}) SELECT alias_text, brand_id, alias, true AS valid FROM a WHERE brand_id IN (SELECT brand_id FROM {I.WIDE_BRANDS_SQL}) AND alias <> '' UNION ALL SELECT alias_text, brand_id, alias, false FROM a WHERE brand_id NOT IN (SELECT brand_id FROM {I.WIDE_BRANDS_SQL})")
 def alias_curation_split(spark, sf_dir):
-    good, bad = catalogue.curated_aliases(_CURATED.df(spark), I.BRANDS.df(spark))
+    rows = I.table(spark, sf_dir, "supplier").selectExpr("concat('品 ', s_name) as alias_text", "1000000 + cast(s_suppkey as bigint) * 2 as brand_id")
+    good, bad = catalogue.curated_aliases(_CURATED.df(spark).unionByName(rows), I.wide_brands(spark, sf_dir))
     return good.withColumn("valid", F.lit(True)).unionByName(bad.withColumn("valid", F.lit(False)))
 
 
@@ -302,50 +330,60 @@ def export_slim(spark, sf_dir):
 
 
 # --- Brand index ---------------------------------------------------------------------------------------------
-_PARTS = f"(SELECT *, {s_lat('full_')} AS lat, {s_cjk('full_')} AS cjk FROM (SELECT *, {s_norm('name')} AS full_, regexp_replace(replace(lower({s_clean('name')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface FROM {I.BRANDS.sql}))"
+_PARTS = f"(SELECT *, {s_lat('full_')} AS lat, {s_cjk('full_')} AS cjk FROM (SELECT *, {s_norm('name')} AS full_, regexp_replace(replace(lower({s_clean('name')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface FROM {I.WIDE_BRANDS_SQL}))"
 _REAL = f"(SELECT * FROM {_PARTS} WHERE brand_id NOT IN (0, 99999999))"
 _NATURAL = f"(SELECT DISTINCT key, brand_id FROM (SELECT unnest([full_, lat, cjk]) AS key, brand_id, full_ FROM {_REAL}) WHERE length(key) >= 2 OR (key <> '' AND key = full_))"
 _KEYS = f"""(SELECT key, brand_id, bool_or(source = 'human') AS human, bool_or(source = 'curated') AS curated, bool_or(source = 'auto') AND NOT bool_or(source = 'natural') AS auto, bool_or(source = 'natural') AS "natural"
 FROM (SELECT key, brand_id, 'natural' AS source FROM {_NATURAL} UNION ALL SELECT alias, brand_id, source FROM {I.ALIASES.sql} WHERE brand_id IN (SELECT brand_id FROM {_REAL})) GROUP BY key, brand_id)"""
 _LONG = f"(SELECT * FROM {_KEYS} WHERE ((length({s_cjk('key')}) = 0 AND length(key) >= 5) OR length({s_cjk('key')}) >= 3) AND key NOT IN {q([*fixed.GENERIC_KEYS, *fixed.STOP_TOKENS])})"
-_Q = f"(SELECT *, {s_lat('full_')} AS lat, {s_cjk('full_')} AS cjk FROM (SELECT DISTINCT s, {s_norm('s')} AS full_, regexp_replace(replace(lower({s_clean('s')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface, {s_clean('s')} AS clean FROM {V}) WHERE full_ <> '')"
+_Q = f"(SELECT *, {s_lat('full_')} AS lat, {s_cjk('full_')} AS cjk FROM (SELECT DISTINCT s, {s_norm('s')} AS full_, regexp_replace(replace(lower({s_clean('s')}), 'ß', 'ss'), '\\s+', '', 'g') AS surface, {s_clean('s')} AS clean FROM {STRINGS}) WHERE full_ <> '')"
 
 
 def _parts(spark):
     return pool.with_parts(I.BRANDS.df(spark))
 
 
+def _wide_parts(spark, sf_dir):
+    return pool.with_parts(I.wide_brands(spark, sf_dir))
+
+
+def wide_index(spark, sf_dir):
+    return pool.build_index(I.wide_brands(spark, sf_dir), I.ALIASES.df(spark), I.LINKS.df(spark))
+
+
 @query(f"SELECT * FROM {_KEYS}")
 def pool_key_index(spark, sf_dir):
-    return pool.key_index(_parts(spark), I.ALIASES.df(spark))
+    return pool.key_index(_wide_parts(spark, sf_dir), I.ALIASES.df(spark))
 
 
 @query(f"SELECT unnest({s_tokens('name')}) AS token, brand_id FROM {_REAL}")
 def pool_token_index(spark, sf_dir):
-    return pool.token_index(_parts(spark))
+    return pool.token_index(_wide_parts(spark, sf_dir))
 
 
 @query(f"SELECT substr(cjk, 1, 2) AS bucket, cjk, brand_id FROM {_REAL} WHERE length(cjk) >= 3")
 def pool_prefix_bucket(spark, sf_dir):
-    return pool.prefix_buckets(_parts(spark))
+    return pool.prefix_buckets(_wide_parts(spark, sf_dir))
 
 
 @query(f"WITH l AS (SELECT * FROM {I.LINKS.sql} WHERE brand_id_a <> brand_id_b AND brand_id_a IN (SELECT brand_id FROM {_PARTS}) AND brand_id_b IN (SELECT brand_id FROM {_PARTS})) SELECT brand_id_a AS brand_id, brand_id_b AS peer FROM l UNION SELECT brand_id_b, brand_id_a FROM l")
 def pool_entity_links(spark, sf_dir):
-    return pool.entity_links(_parts(spark), I.LINKS.df(spark))
+    return pool.entity_links(_wide_parts(spark, sf_dir), I.LINKS.df(spark))
 
 
 _TYPED = I.Values({"typed": "VARCHAR"}, [("KATE 凱婷 [4]",), ("13",), ("13.0",), ("555",), ("sony",), ("H&H",), ("nothing",), ("Liese",)])
 
 
-@query(f"""WITH t AS (SELECT typed, CASE WHEN regexp_matches(trim(typed), '\\[(\\d+)\\]\\s*$') THEN regexp_extract(trim(typed), '\\[(\\d+)\\]\\s*$', 1) ELSE trim(typed) END AS t FROM {_TYPED.sql}),
+@query(f"""WITH t AS (SELECT typed, CASE WHEN regexp_matches(trim(typed), '\\[(\\d+)\\]\\s*$') THEN regexp_extract(trim(typed), '\\[(\\d+)\\]\\s*$', 1) ELSE trim(typed) END AS t FROM (SELECT typed FROM {_TYPED.sql} UNION SELECT s FROM {STRINGS} WHERE trim(coalesce(s, '')) <> '')),
 n AS (SELECT *, CASE WHEN regexp_full_match(t, '\\d+(\\.0)?') THEN CAST(CAST(t AS DOUBLE) AS BIGINT) END AS id FROM t),
-f AS (SELECT n.*, (SELECT count(*) FROM {_PARTS} WHERE brand_id = id) AS known, (SELECT list_sort(list(brand_id)) FROM {_PARTS} WHERE id IS NULL AND full_ = {s_norm('t')}) AS ids FROM n)
+u AS (SELECT *, CASE WHEN id IS NULL THEN {s_norm('t')} END AS norm FROM n), b AS (SELECT full_, list_sort(list(brand_id)) AS ids FROM {_PARTS} GROUP BY full_),
+f AS (SELECT u.*, (SELECT count(*) FROM {I.WIDE_BRANDS_SQL} AS x WHERE x.brand_id = u.id) AS known, b.ids FROM u LEFT JOIN b ON b.full_ = u.norm)
 SELECT typed, CASE WHEN id IS NOT NULL THEN CASE WHEN known > 0 THEN id END WHEN len(ids) = 1 THEN ids[1] END AS brand_id,
 CASE WHEN id IS NOT NULL AND known = 0 THEN 'brand_id ' || id || ' 不在品牌庫' WHEN id IS NULL AND coalesce(len(ids), 0) > 1 THEN '「' || t || '」在品牌庫有多筆 (' || array_to_string(ids, ', ') || ')，請改填 brand_id'
 WHEN id IS NULL AND coalesce(len(ids), 0) < 1 THEN '品牌庫找不到「' || t || '」（品牌庫沒有的品牌請選：{I.NEW}）' END AS error FROM f""")
 def resolve_input(spark, sf_dir):
-    return pool.resolve_input(_TYPED.df(spark), _parts(spark))
+    names = I.strings(spark, sf_dir).where("trim(coalesce(s, '')) <> ''").select(F.col("s").alias("typed")).distinct()
+    return pool.resolve_input(_TYPED.df(spark).unionByName(names).distinct(), _wide_parts(spark, sf_dir))
 
 
 # --- Candidates -----------------------------------------------------------------------------------------------
@@ -353,6 +391,10 @@ def _texts(spark):
     return match.with_query_parts(I.TEXTS.df(spark).where("s is not null"))
 
 
+def _wide_texts(spark, sf_dir):
+    return match.with_query_parts(I.strings(spark, sf_dir).where("s is not null"))
+
+
 def _short(df):
     return df.select("s", "brand_id", "score", "via", "alias")
 
@@ -363,7 +405,7 @@ r AS (SELECT q.s, q.full_, k.brand_id, p.full_ = q.full_ OR human OR curated AS
 SELECT s, brand_id, 100.0::DOUBLE AS score, 'surface' AS via, full_ AS alias FROM c1 UNION ALL SELECT DISTINCT s, b, 100.0::DOUBLE, 'entity', full_ FROM c1 JOIN peers ON a = brand_id
 UNION ALL SELECT s, brand_id, CASE WHEN whole THEN 100.0::DOUBLE ELSE 95.0::DOUBLE END, CASE WHEN whole THEN 'full' WHEN regexp_matches(full_, '[{CJK}]') THEN 'cjk' ELSE 'lat' END, full_ FROM r""")
 def match_exact(spark, sf_dir):
-    return _short(match.exact_candidates(_texts(spark), index(spark)))
+    return _short(match.exact_candidates(_wide_texts(spark, sf_dir), wide_index(spark, sf_dir)))
 
 
 @query(f"""WITH q AS (SELECT *, regexp_full_match(clean, '[^\\x{{3400}}-\\x{{9FFF}}]*[A-Za-z0-9][^\\x{{3400}}-\\x{{9FFF}}]*\\s+[\\x{{3400}}-\\x{{9FFF}}].*') OR regexp_full_match(clean, '[\\x{{3400}}-\\x{{9FFF}}][^A-Za-z]*\\s+[A-Za-z].*') AS bil FROM {_Q}),
@@ -373,31 +415,31 @@ SELECT s, brand_id, 100.0::DOUBLE AS score, 'full' AS via, full_ AS alias FROM b
 UNION ALL SELECT s, brand_id, CASE WHEN length(lat) <= 3 AND cjk <> '' AND NOT bil THEN 70.0::DOUBLE WHEN length(lat) <= 2 AND cjk <> '' THEN 85.0::DOUBLE ELSE 95.0::DOUBLE END, 'lat', lat FROM hl WHERE (s, brand_id) NOT IN (SELECT (s, brand_id) FROM b)
 UNION ALL SELECT s, brand_id, CASE WHEN length(cjk) <= 2 AND length(lat) >= 4 AND NOT bil THEN 70.0::DOUBLE ELSE 95.0::DOUBLE END, 'cjk', cjk FROM hc WHERE (s, brand_id) NOT IN (SELECT (s, brand_id) FROM b)""")
 def match_parts(spark, sf_dir):
-    return _short(match.part_candidates(_texts(spark), index(spark)))
+    return _short(match.part_candidates(_wide_texts(spark, sf_dir), wide_index(spark, sf_dir)))
 
 
 @query(f"""WITH w AS (SELECT s, full_, {s_norm('word')} AS word FROM (SELECT s, full_, unnest(regexp_split_to_array(clean, '[\\s/|｜]+')) AS word FROM {_Q} WHERE len(regexp_split_to_array(clean, '[\\s/|｜]+')) > 1))
 SELECT w.s, k.brand_id, 85.0::DOUBLE AS score, 'word' AS via, w.word AS alias FROM w JOIN {_KEYS} AS k ON k.key = w.word JOIN {_PARTS} AS p ON p.brand_id = k.brand_id
 WHERE word <> '' AND word <> w.full_ AND word NOT IN {q([*fixed.STOP_TOKENS, *fixed.GENERIC_KEYS])} AND (length(word) >= 3 OR (length(word) >= 2 AND regexp_matches(word, '[{CJK}]'))) AND word IN (p.full_, p.lat, p.cjk)""")
 def match_word(spark, sf_dir):
-    return _short(match.word_candidates(_texts(spark), index(spark)))
+    return _short(match.word_candidates(_wide_texts(spark, sf_dir), wide_index(spark, sf_dir)))
 
 
 @query(f"WITH t AS (SELECT s, unnest({s_tokens('s')}) AS token FROM {_Q}), p AS (SELECT unnest({s_tokens('name')}) AS token, brand_id FROM {_REAL}) SELECT s, brand_id, 65.0::DOUBLE AS score, 'tok' AS via, t.token AS alias FROM t JOIN p ON t.token = p.token")
 def match_token(spark, sf_dir):
-    return _short(match.token_candidates(_texts(spark), index(spark)))
+    return _short(match.token_candidates(_wide_texts(spark, sf_dir), wide_index(spark, sf_dir)))
 
 
 @query(f"SELECT DISTINCT s, brand_id, 75.0::DOUBLE AS score, 'sub' AS via, key AS alias FROM {_Q} JOIN {_LONG} ON contains(full_, key) AND key <> full_ AND length(key) BETWEEN 3 AND 25")
 def match_substring(spark, sf_dir):
-    return _short(match.substring_candidates(_texts(spark), index(spark))).distinct()
+    return _short(match.substring_candidates(_wide_texts(spark, sf_dir), wide_index(spark, sf_dir))).distinct()
 
 
 @query(f"""WITH q AS (SELECT * FROM {_Q} WHERE length(cjk) >= 2 AND cjk NOT IN (SELECT key FROM {_KEYS})), h AS (SELECT q.s, q.cjk, p.brand_id, substr(p.cjk, length(q.cjk) + 1) AS tail, count(*) OVER (PARTITION BY q.s) AS n FROM q JOIN {_REAL} AS p ON length(p.cjk) >= 3 AND p.cjk <> q.cjk AND starts_with(p.cjk, q.cjk))
 SELECT s, brand_id, CASE WHEN n = 1 AND (tail IN {q(fixed.CORPORATE_SUFFIXES)} OR length(tail) <= 2) THEN 95.0::DOUBLE WHEN tail IN {q(fixed.CORPORATE_SUFFIXES)} THEN 85.0::DOUBLE ELSE 82.0::DOUBLE END AS score, 'cjkpre' AS via, cjk AS alias
 FROM h WHERE n <= CASE WHEN length(cjk) = 2 THEN 2 ELSE 3 END AND (length(cjk) > 2 OR tail IN {q(fixed.CORPORATE_SUFFIXES)})""")
 def match_prefix(spark, sf_dir):
-    return _short(match.prefix_candidates(_texts(spark), index(spark)))
+    return _short(match.prefix_candidates(_wide_texts(spark, sf_dir), wide_index(spark, sf_dir)))
 
 
 _PROBES = "(SELECT DISTINCT replace(substr(p_name, 1, 5) || 'x' || substr(p_name, 7), ' ', '') AS p FROM part)"
@@ -416,7 +458,7 @@ def match_fuzzy(spark, sf_dir):
 SELECT s, brand_id, CAST(max(length(key)) AS INT) AS alias_len FROM h WHERE brand_id NOT IN (10, 11, 12) GROUP BY s, brand_id UNION ALL SELECT s, 11, NULL FROM h WHERE brand_id IN (10, 11, 12) GROUP BY s""")
 def scan_title(spark, sf_dir):
     titles = items(spark, sf_dir).select(F.col("title").alias("s")).unionByName(I.TEXTS.df(spark).where("s is not null").select("s"))
-    found = match.scan_titles(titles, index(spark))
+    found = match.scan_titles(titles, wide_index(spark, sf_dir))
     return found.select("s", "brand_id", F.when(F.col("brand_id") != 11, F.col("alias_len")).alias("alias_len"))
 
 
@@ -438,19 +480,24 @@ def match_candidates(spark, sf_dir):
     return match.match(_texts(spark).select("s"), index(spark)).select("s", "brand_id", "score", "via", "source", "weak_short")
 
 
-@query(f"""WITH p AS (SELECT *, CASE WHEN lat <> '' THEN substr(lat, 1, 6) ELSE substr(cjk, 1, 2) END AS block FROM {_REAL} WHERE full_ <> '')
-SELECT a.brand_id AS a, b.brand_id AS b FROM p AS a JOIN p AS b ON a.block = b.block AND a.brand_id < b.brand_id WHERE a.full_ = b.full_
-OR (length(least(a.full_, b.full_)) >= 2 AND ((starts_with(b.full_, a.full_) AND length(a.full_) >= 2 AND substr(b.full_, length(a.full_) + 1) IN {q(fixed.CORPORATE_SUFFIXES)}) OR (starts_with(a.full_, b.full_) AND length(b.full_) >= 2 AND substr(a.full_, length(b.full_) + 1) IN {q(fixed.CORPORATE_SUFFIXES)})))
-OR (length(a.lat) >= 4 AND a.lat = b.lat AND (a.cjk = '' OR b.cjk = '' OR a.cjk = b.cjk)) OR (a.cjk <> '' AND a.cjk = b.cjk AND (a.lat = '' OR b.lat = '' OR a.lat = b.lat))
+_BLOCKED = f"(SELECT *, count(*) OVER (PARTITION BY block) AS n FROM (SELECT *, CASE WHEN lat <> '' THEN substr(lat, 1, 6) ELSE substr(cjk, 1, 2) END AS block FROM {_REAL} WHERE full_ <> ''))"
+_BESIDE = f"(SELECT a.brand_id AS a_id, b.brand_id AS b_id, a.full_ AS af, b.full_ AS bf, a.lat AS al, b.lat AS bl, a.cjk AS ac, b.cjk AS bc FROM {_BLOCKED} AS a JOIN {_BLOCKED} AS b ON a.block = b.block AND a.brand_id < b.brand_id WHERE a.n <= 200)"
+
+
+@query(f"""WITH p AS (SELECT * FROM {_BESIDE}), r AS (SELECT a, b FROM {s_ratios(f'(SELECT DISTINCT af AS a, bf AS b FROM {_BESIDE})')} WHERE ratio >= 95)
+SELECT a_id AS a, b_id AS b FROM p WHERE af = bf OR EXISTS (SELECT 1 FROM r WHERE r.a = af AND r.b = bf)
+OR (starts_with(bf, af) AND length(af) >= 2 AND substr(bf, length(af) + 1) IN {q(fixed.CORPORATE_SUFFIXES)}) OR (starts_with(af, bf) AND length(bf) >= 2 AND substr(af, length(bf) + 1) IN {q(fixed.CORPORATE_SUFFIXES)})
+OR (length(al) >= 4 AND al = bl AND (ac = '' OR bc = '' OR ac = bc)) OR (ac <> '' AND ac = bc AND (al = '' OR bl = '' OR al = bl))
 UNION SELECT 5, 7""")
 def same_entity_pairs(spark, sf_dir):
-    ix = index(spark)
+    ix = wide_index(spark, sf_dir)
     return pool.same_entity_pairs(ix.parts, ix.links)
 
 
 @query("SELECT * FROM (VALUES (5::BIGINT, 5::BIGINT, 1), (5, 6, 2), (15, 15, 2), (15, 16, 1), (19, 19, 2), (19, 20, 1)) AS t(\"group\", brand_id, position)")
 def duplicate_groups(spark, sf_dir):
-    ix = index(spark)
+    """Groups among all brands; those named by the tables' rows have no registration twice."""
+    ix = wide_index(spark, sf_dir)
     return pool.duplicate_groups(ix.parts, ix.links)
 
 
@@ -485,20 +532,19 @@ def part_index(spark, sf_dir):
     return pool.build_index(part_pool(spark, sf_dir), *none)
 
 
-# Texts of part names and unknown brands match no brand name as a whole; what remains is decided by the leaf's conditions.
-_TAGGED = f"""(SELECT *, CASE p WHEN '1.1' THEN 97 WHEN '1.2' THEN 90 WHEN '1.3' THEN 98 WHEN '2.2' THEN 93 ELSE NULL END AS c FROM (SELECT item_id, l1, CASE CAST(item_id AS BIGINT) % 7 WHEN 0 THEN '2.2' WHEN 1 THEN '1.1' WHEN 2 THEN '1.2' WHEN 3 THEN '1.3' END AS p, l3 FROM {ITEMS}))"""
+# The leaf of each brand text of the derived items, by the rules: the digits decide whether one or two brand names are inside "Zed...".
+_LEAVES = f"""(SELECT *, CAST(item_id AS BIGINT) % 7 AS m, CAST(regexp_extract(l3, '(\\d+)', 1) AS BIGINT) AS no FROM {s_key(ITEMS, 'brand', 'title', 'item_id')})"""
 
 
-@query(f"SELECT p AS node, CASE WHEN p < '1.3' THEN '{I.NONE}' ELSE '{I.POOL}' END AS outcome, count(*) AS goods, CAST(min(c) AS INT) AS confidence_min, CAST(max(c) AS INT) AS confidence_max FROM {_TAGGED} WHERE p IS NOT NULL GROUP BY ALL")
-def brand_distribution(spark, sf_dir):
-    """Flagship: items with blank, no-brand, compatible or registered brand texts, tagged and counted by node."""
-    rows = items(spark, sf_dir).where("cast(item_id as bigint) % 7 < 4")
-    got = decide.tag_items(rows, part_index(spark, sf_dir))
-    return got.groupBy(T.path_code(F.col("path")).alias("node"), "outcome").agg(F.count("*").alias("goods"), F.min("confidence").alias("confidence_min"), F.max("confidence").alias("confidence_max"))
+_OUTCOMES = f"""(SELECT CASE m WHEN 0 THEN '2.2' WHEN 1 THEN '1.1' WHEN 2 THEN '1.2' WHEN 3 THEN '1.3' WHEN 4 THEN CASE WHEN no < 10 THEN '1.3' ELSE '1.5' END ELSE '1.6' END AS node, CASE WHEN m IN (1, 2) THEN '{I.NONE}' WHEN m > 4 THEN '{I.NEW}' ELSE '{I.POOL}' END AS outcome,
+CASE m WHEN 0 THEN 93 WHEN 1 THEN 97 WHEN 2 THEN 90 WHEN 3 THEN 98 WHEN 4 THEN CASE WHEN no < 10 THEN 86 ELSE 33 END ELSE 85 END AS c FROM {_LEAVES})"""
 
 
-# The leaf of each brand text of the derived items, by the rules: the digits decide whether one or two brand names are inside "Zed...".
-_LEAVES = f"""(SELECT *, CAST(item_id AS BIGINT) % 7 AS m, CAST(regexp_extract(l3, '(\\d+)', 1) AS BIGINT) AS no FROM {s_key(ITEMS, 'brand', 'title', 'item_id')})"""
+@query(f"SELECT node, outcome, count(*) AS goods, CAST(min(c) AS INT) AS confidence_min, CAST(max(c) AS INT) AS confidence_max FROM {_OUTCOMES} GROUP BY node, outcome")
+def brand_distribution(spark, sf_dir):
+    """Flagship: all items, tagged and counted by node."""
+    got = decide.tag_items(items(spark, sf_dir), part_index(spark, sf_dir))
+    return got.groupBy(T.path_code(F.col("path")).alias("node"), "outcome").agg(F.count("*").alias("goods"), F.min("confidence").alias("confidence_min"), F.max("confidence").alias("confidence_max"))
 
 
 @query(f"""SELECT item_id, key, CASE m WHEN 0 THEN '2.2' WHEN 1 THEN '1.1' WHEN 2 THEN '1.2' WHEN 3 THEN '1.3' WHEN 4 THEN CASE WHEN no < 10 THEN '1.3' ELSE '1.5' END ELSE '1.6' END AS node, CASE WHEN m IN (1, 2) THEN '0' WHEN m > 4 THEN '' ELSE CAST(100 + no AS VARCHAR) END AS suggested_id,
@@ -517,9 +563,9 @@ def tag_with_rules(spark, sf_dir):
     return got.select("item_id", "key", "candidate1", "suggested_name", "suggested_id", "new_name", "no_brand_reason", "confidence", "path")
 
 
-@query(f"""WITH k AS (SELECT * FROM {s_key(ITEMS, 'brand', 'title', 'item_id')}), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY item_id) = 1),
-m AS (SELECT key, l2 FROM (SELECT key, l2, count(*) AS n FROM k GROUP BY key, l2) QUALIFY row_number() OVER (PARTITION BY key ORDER BY n DESC, l2) = 1)
-SELECT f.key, f.brand AS raw_brand, f.title, f.l1, (SELECT count(*) FROM k WHERE k.key = f.key) AS goods, m.l2 AS main_l2 FROM f JOIN m ON m.key = f.key""")
+@query(f"""WITH k AS (SELECT * FROM {s_key(ITEMS, 'brand', 'title', 'item_id')}), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY l1, key ORDER BY item_id) = 1),
+m AS (SELECT l1, key, l2 FROM (SELECT l1, key, l2, count(*) AS n FROM k GROUP BY l1, key, l2) QUALIFY row_number() OVER (PARTITION BY l1, key ORDER BY n DESC, l2) = 1), c AS (SELECT l1, key, count(*) AS goods FROM k GROUP BY l1, key)
+SELECT f.key, f.brand AS raw_brand, f.title, f.l1, goods, m.l2 AS main_l2 FROM f JOIN m ON m.key = f.key AND m.l1 = f.l1 JOIN c ON c.key = f.key AND c.l1 = f.l1""")
 def key_aggregate(spark, sf_dir):
     return decide.key_table(items(spark, sf_dir))
 
@@ -527,7 +573,7 @@ def key_aggregate(spark, sf_dir):
 @query("SELECT * FROM (VALUES ('a1', 1::BIGINT, 98, 2::BIGINT, 74)) AS t(case_id, brand_id, confidence, other_id, other_confidence)")
 def scenario_comparison(spark, sf_dir):
     """Cases whose outcome changes when aliases that people checked are left out."""
-    cases = CASES.df(spark).where("case_id like 'a%'")
+    cases = CASES.df(spark)
     now = decide.tag(cases, index(spark)).select("case_id", "brand_id", "confidence")
     without = pool.build_index(I.BRANDS.df(spark), I.ALIASES.df(spark).where("source = 'auto'"), I.LINKS.df(spark))
     then = decide.tag(cases, without).select("case_id", F.col("brand_id").alias("other_id"), F.col("confidence").alias("other_confidence"))
@@ -561,15 +607,17 @@ def recent_history(spark, sf_dir):
 
 def _batch(spark, sf_dir):
     """Each key's second last decision typed in again."""
-    rows = log(spark, sf_dir).where("scope = 'brand' and log_id % 11 = 1")
+    rows = log(spark, sf_dir).where("scope = 'brand'")
+    last = rows.groupBy(F.col("rule_key").alias("k")).agg(F.max("log_id").alias("last"))
     rest = [c for c in rows.columns if c != "rule_key"]
-    return rows.groupBy("rule_key").agg(F.max_by(F.struct(*rest), "log_id").alias("r")).select("rule_key", "r.*").withColumnRenamed("log_id", "pos").withColumn("scope", F.lit("brand"))
+    before = rows.join(last, F.col("rule_key") == F.col("k")).where("log_id < last")
+    return before.groupBy("rule_key").agg(F.max_by(F.struct(*rest), "log_id").alias("r")).select("rule_key", "r.*").withColumnRenamed("log_id", "pos").withColumn("scope", F.lit("brand"))
 
 
 _FP = "coalesce(CASE WHEN {0}brand_id <> 0 THEN CAST({0}brand_id AS VARCHAR) END, '') || '|' || {0}decision || '|' || {0}brand_name || '|' || {0}note"
 
 
-@query(f"""WITH e AS (SELECT * FROM {LOG} WHERE scope = 'brand' AND log_id % 11 = 1 QUALIFY row_number() OVER (PARTITION BY rule_key ORDER BY log_id DESC) = 1), c AS (SELECT * FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}')
+@query(f"""WITH e AS (SELECT * FROM {LOG} WHERE scope = 'brand' QUALIFY row_number() OVER (PARTITION BY rule_key ORDER BY log_id DESC) = 2), c AS (SELECT * FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}')
 SELECT e.rule_key, e.decision, e.log_id AS pos FROM e LEFT JOIN c ON c.rule_key = e.rule_key WHERE CASE WHEN c.rule_key IS NULL THEN e.decision <> '{fixed.REVOKED}' ELSE {_FP.format('e.')} <> {_FP.format('c.')} END""")
 def idempotent_append(spark, sf_dir):
     return store.new_entries(log(spark, sf_dir), _batch(spark, sf_dir), "s0").select("rule_key", "decision", "pos")
@@ -578,10 +626,14 @@ def idempotent_append(spark, sf_dir):
 _NEW_ALIASES = I.Values({"alias": "VARCHAR", "brand_id": "BIGINT", "source": "VARCHAR"}, [("綠鐘", 2, "curated"), ("莉婕", 15, "auto"), ("新", 3, "auto"), ("", 3, "human"), ("y", None, "human")])
 
 
-@query(f"""WITH a AS (SELECT * FROM {I.ALIASES.sql} UNION ALL SELECT * FROM {_NEW_ALIASES.sql} WHERE alias <> '' AND brand_id IS NOT NULL)
+_PART_ALIASES = "SELECT p_name AS alias, CAST(p_size AS BIGINT) AS brand_id, CASE p_partkey % 3 WHEN 0 THEN 'auto' WHEN 1 THEN 'curated' ELSE 'human' END AS source FROM part"
+
+
+@query(f"""WITH a AS (SELECT * FROM {I.ALIASES.sql} UNION ALL SELECT * FROM (SELECT * FROM {_NEW_ALIASES.sql} UNION ALL {_PART_ALIASES}) WHERE alias <> '' AND brand_id IS NOT NULL)
 SELECT alias, brand_id, arg_max(source, CASE source WHEN 'auto' THEN 1 WHEN 'curated' THEN 2 ELSE 3 END) AS source FROM a GROUP BY alias, brand_id""")
 def alias_promotion(spark, sf_dir):
-    return store.promote_aliases(I.ALIASES.df(spark), _NEW_ALIASES.df(spark))
+    rows = I.table(spark, sf_dir, "part").selectExpr("p_name as alias", "cast(p_size as bigint) as brand_id", "case p_partkey % 3 when 0 then 'auto' when 1 then 'curated' else 'human' end as source")
+    return store.promote_aliases(I.ALIASES.df(spark), _NEW_ALIASES.df(spark).unionByName(rows))
 
 
 @query("SELECT DISTINCT least(user_id % 9, event_id % 9) AS brand_id_a, greatest(user_id % 9, event_id % 9) AS brand_id_b FROM events WHERE user_id % 9 <> event_id % 9")
@@ -606,10 +658,11 @@ def apply_rules(spark, sf_dir):
 _LEARN = I.Values({"raw_brand": "VARCHAR", "decision": "VARCHAR", "brand_id": "BIGINT"}, [("Liese 莉婕", I.POOL, 16), ("GB 綠鐘", I.POOL, 1), ("x", I.NEW, None), (None, I.POOL, 3), ("MUK 潮嘜", I.POOL, 22)])
 
 
-@query(f"""WITH n AS (SELECT brand_id, {s_norm(s_clean('raw_brand'))} AS f FROM {_LEARN.sql} WHERE decision = '{I.POOL}' AND brand_id IS NOT NULL AND NOT {s_blank('raw_brand')})
+@query(f"""WITH n AS (SELECT brand_id, {s_norm(s_clean('raw_brand'))} AS f FROM (SELECT * FROM {_LEARN.sql} UNION ALL SELECT raw_brand, CASE WHEN suggested_id = '7' THEN '{I.POOL}' ELSE suggested_name END, goods FROM {RESULTS}) WHERE decision = '{I.POOL}' AND brand_id IS NOT NULL AND NOT {s_blank('raw_brand')})
 SELECT f AS alias, brand_id, 'human' AS source FROM n UNION SELECT {s_lat('f')}, brand_id, 'human' FROM n WHERE length({s_lat('f')}) >= 4 UNION SELECT {s_cjk('f')}, brand_id, 'human' FROM n WHERE length({s_cjk('f')}) >= 2""")
 def human_alias_learning(spark, sf_dir):
-    return store.human_aliases(_LEARN.df(spark))
+    rows = results(spark, sf_dir).select("raw_brand", F.when(F.col("suggested_id") == "7", I.POOL).otherwise(F.col("suggested_name")).alias("decision"), F.col("goods").alias("brand_id"))
+    return store.human_aliases(_LEARN.df(spark).unionByName(rows))
 
 
 _AUTO = I.Values({"raw_brand": "VARCHAR", "confidence": "INT", "outcome": "VARCHAR", "brand_id": "BIGINT"}, [("Dove 多芬芳", 98, I.POOL, 8), ("MSI 微星", 95, I.POOL, 9), ("Sonya 索尼", 80, I.POOL, 9), ("Sonyx 索尼", 92, I.POOL, 9), ("LG生活", 99, I.POOL, 23)])
