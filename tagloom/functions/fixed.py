@@ -74,3 +74,7 @@ ACTION_PAIR, ACTION_ADD, ACTION_CHECK = "A 可能是品牌庫既有品牌的中
 LANG_BOTH, LANG_CJK, LANG_LATIN = "中英並列", "純中文", "純英文"
 TRIAGE = {"A": "A 跨類目衝突／主管處理", "B": "B 新品牌查證", "C": "C 單品／配件辨識", "D": "D 無品牌確認", "E": "E 既有品牌配對"}
 STEPS = (50, 100, 200, 500, 1000, 2000)
+
+#: Errors of an imported bundle.
+LOST_KEY = "key 不見了"
+CONFLICT_ROW = "跨類目衝突列不可整組匯入，請清空判斷並由主管處理單品覆蓋"

@@ -220,36 +220,12 @@ def outcome_type(suggested: Column) -> Column:
     return F.when(suggested.isin(fixed.NONE, fixed.NEW), suggested).otherwise(fixed.POOL)
 
 
-def indel_ratio(a: Column, b: Column) -> Column:
-    """100 * 2 * LCS / (len a + len b): the normalised insert/delete similarity, in the JVM.
+@F.pandas_udf(types.DoubleType())
+def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """100 * 2 * LCS / (len a + len b): the normalised insert/delete similarity.
 
-    One row of the table of longest common subsequences is folded over the characters of a.
+    Arrow batches; the longest common subsequence goes bit-parallel over Python integers, a step for each character of b.
     """
-    # Characters by position; split on nothing would give an empty string for an empty text.
-    chars = lambda s: F.filter(F.split(s, ""), lambda x: x != "")
-
-    def lcs(xs: Column, ys: Column) -> Column:
-        zero = F.transform(ys, lambda _: F.lit(0))
-
-        def row(previous: Column, x: Column) -> Column:
-            start = F.struct(F.lit(0).alias("left"), F.array().cast("array<int>").alias("row"))
-
-            def cell(acc: Column, p: Column) -> Column:
-                value = F.when(p["y"] == x, p["diagonal"] + 1).otherwise(F.greatest(p["up"], acc["left"]))
-                return F.struct(value.alias("left"), F.concat(acc["row"], F.array(value)).alias("row"))
-
-            steps = F.transform(ys, lambda y, j: F.struct(y.alias("y"), F.get(previous, j).alias("up"), F.coalesce(F.get(previous, j - 1), F.lit(0)).alias("diagonal")))
-            return F.aggregate(steps, start, cell)["row"]
-
-        return F.coalesce(F.array_max(F.aggregate(xs, zero, row)), F.lit(0))
-
-    total = F.length(a) + F.length(b)
-    return F.when(total == 0, 100.0).otherwise(200.0 * lcs(chars(a), chars(b)) / total)
-
-
-@F.pandas_udf(types.DoubleType())
-def indel_ratio_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    """indel_ratio for many rows: bit-parallel longest common subsequence on Python integers."""
 
     def one(x: str, y: str) -> float:
         if not x and not y:

@@ -33,7 +33,7 @@ def resolved(rows: DataFrame, index: Index) -> DataFrame:
     df = df.withColumns({f"t_{k}": top(v) for k, v in (("id", "brand_id"), ("full", "b_full"), ("lat", "b_lat"), ("cjk", "b_cjk"), ("score", "score"), ("source", "source"), ("descr", "descr"))})
     links = index.links.select(F.col("brand_id").alias("l_a"), F.col("peer").alias("l_b"))
     df = df.join(links, (F.col("a_id") == F.col("l_a")) & (F.col("t_id") == F.col("l_b")), "left")
-    df = df.withColumn("same", F.coalesce(same_entity("a", "t", F.col("l_a").isNotNull(), T.indel_ratio_batch(F.col("a_full"), F.col("t_full"))), F.lit(False)))
+    df = df.withColumn("same", F.coalesce(same_entity("a", "t", F.col("l_a").isNotNull(), T.indel_ratio(F.col("a_full"), F.col("t_full"))), F.lit(False)))
     df = df.withColumn("rival", ~F.col("same") & (F.col("score") >= F.col("t_score") - fixed.TIE_GAP))
     # A child brand: among the top and its rivals, in the case's category if any is, named in the text.
     tied = F.col("rival") | (F.col("brand_id") == F.col("t_id"))

@@ -123,7 +123,7 @@ def similar_keys(probes: DataFrame, keys: DataFrame, ratio=T.indel_ratio, cutoff
 
 def fuzzy_candidates(q: DataFrame, index: Index) -> DataFrame:
     probe = q.select("s", F.explode(F.array_distinct(F.array("full", "lat"))).alias("probe")).where(F.length("probe") >= 5)
-    found = similar_keys(probe, index.keys, T.indel_ratio_batch)
+    found = similar_keys(probe, index.keys, T.indel_ratio)
     hit = probe.join(found, "probe").join(index.keys.select("key", "brand_id"), "key")
     score = T.half_even(60 + (F.col("similarity") - fixed.FUZZY_CUTOFF) / (100 - fixed.FUZZY_CUTOFF) * 14)
     return _rows(hit, score, F.format_string("拼字相似(%.0f%%)", F.bround("similarity", 0)), F.col("key"), F.lit("fuzzy"), "fuzzy")

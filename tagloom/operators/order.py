@@ -2,33 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
-
-
-def _ranges(df: DataFrame, column: str) -> Column:
-    """A range number that follows the column's order; cut points are quantiles, so ranges hold about equal rows."""
-    cuts = df.agg(F.percentile_approx(column, [k / BUCKETS for k in range(1, BUCKETS)], 10_000).alias("c")).first()["c"] or []
-    return F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c <= F.col(column))) if cuts else F.lit(0)
-
-
-def global_row_number(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """df with `row`, the position in the order of a column with unique numbers or texts; and the number of rows."""
-    key = "__key"
-    if dict(df.dtypes)[column] == "string":
-        # Strings are cut by their first characters' code points.
-        code = lambda k: F.coalesce(F.ascii(F.substring(column, k, 1)), F.lit(0)).cast("long")
-        keyed = df.withColumn(key, code(1) * 2**42 + code(2) * 2**21 + code(3))
-    else:
-        keyed = df.withColumn(key, F.col(column))
-    keyed = keyed.withColumn("__r", _ranges(keyed, key))
-    counts = {r["__r"]: r["n"] for r in keyed.groupBy("__r").agg(F.count("*").alias("n")).collect()}  # BUCKETS rows at most
-    before, total = [], 0
-    for r in sorted(counts):
-        before += [F.lit(r), F.lit(total)]
-        total += counts[r]
-    offset = F.create_map(*before)[F.col("__r")] if before else F.lit(0)
-    place = F.row_number().over(Window.partitionBy("__r").orderBy(column))
-    return keyed.withColumn("row", (offset + place).cast("long")).drop(key, "__r"), total
+#: Rows of a range, about.
+RANGE = 200_000
+
+
+def ranges(df: DataFrame, *order: str, rows: int | None = None) -> DataFrame:
+    """df dealt by ranges of the order columns, with `__r`: the range, increasing with the order.
+
+    Spark samples the cut points over whole values, whatever their type or common beginnings; equal rows share a range.
+    """
+    n = df.count() if rows is None else rows
+    parts = max(1, -(-n // RANGE))
+    return df.repartitionByRange(parts, *order).withColumn("__r", F.spark_partition_id())
+
+
+def global_row_number(df: DataFrame, *order: str) -> tuple[DataFrame, int]:
+    """df with `row`, the position in the order of the columns, which must tell rows apart; and the number of rows.
+
+    Ranges are written once, counted, and numbered each on its own; the counts are a row for RANGE rows.
+    """
+    from tagloom.plans.session import checkpointed
+
+    dealt = checkpointed(ranges(df, *order))
+    counts = dealt.groupBy("__r").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    counts = checkpointed(counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))))
+    total = counts.agg(F.sum("__n").alias("n")).first()["n"] or 0
+    place = F.row_number().over(Window.partitionBy("__r").orderBy(*order))
+    return dealt.join(counts.drop("__n"), "__r").withColumn("row", (F.col("__before") + place).cast("long")).drop("__r", "__before"), total
+
+
+def running(df: DataFrame, order: list, value: str, *, add: dict[str, str]) -> DataFrame:
+    """df with running totals over the whole order: names of `add` to "count" or "sum" (of value), current row included; and `total`.
+
+    order: columns of df (ascending). Each range sums on its own; earlier ranges' sums come from a row for each range.
+    """
+    from tagloom.plans.session import checkpointed
+
+    dealt = checkpointed(ranges(df, *order))
+    per = dealt.groupBy("__r").agg(F.count("*").alias("__n"), F.sum(value).alias("__s"))
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__nb"), F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__sb"), F.sum("__s").over(Window.partitionBy()).alias("total"))
+    inner = Window.partitionBy("__r").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    exprs = {"count": F.col("__nb") + F.count("*").over(inner), "sum": F.col("__sb") + F.sum(value).over(inner)}
+    return dealt.join(per, "__r").withColumns({name: exprs[kind] for name, kind in add.items()}).drop("__r", "__nb", "__sb")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import fixed
 from tagloom.functions import text as T
+from tagloom.operators.order import running
 
 
 def rate(condition: Column) -> Column:
@@ -81,13 +82,9 @@ def backlog(items: DataFrame) -> DataFrame:
 
 
 def ranked_shares(g: DataFrame) -> DataFrame:
-    """Adds rank and cumulative_share by goods (desc), name. The window over everything sees the distinct counts only."""
-    per = g.groupBy("goods").agg(F.count("*").alias("n"))
-    before = Window.orderBy(F.desc("goods")).rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumns({"n_before": F.coalesce(F.sum("n").over(before), F.lit(0)), "s_before": F.coalesce(F.sum(F.col("n") * F.col("goods")).over(before), F.lit(0)), "total": F.sum(F.col("n") * F.col("goods")).over(Window.partitionBy())})
-    rows = g.join(per.drop("n"), "goods")
-    k = F.row_number().over(Window.partitionBy("goods").orderBy("name"))
-    return rows.withColumn("k", k).select("name", "goods", (F.col("n_before") + F.col("k")).alias("rank"), ((F.col("s_before") + F.col("k") * F.col("goods")) / F.col("total")).alias("cumulative_share"))
+    """Adds rank and cumulative_share by goods (desc), name. Ranges of this order are summed each in a task of its own."""
+    out = running(g.withColumn("__o", -F.col("goods")), ["__o", "name"], "goods", add={"rank": "count", "__s": "sum"})
+    return out.select("name", "goods", "rank", (F.col("__s") / F.col("total")).alias("cumulative_share"))
 
 
 def backlog_summary(b: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import fixed
 from tagloom.functions import text as T
+from tagloom.operators.order import global_row_number, running
 from tagloom.operators.pool import resolve_input
 
 
@@ -90,16 +91,17 @@ def prefill(decision: Column, brand_id: Column, brand_name: Column) -> Column:
     return F.when(decision.isNull(), "").when(decision == fixed.POOL, T.label(brand_name, brand_id)).when(decision == fixed.NEW, named).otherwise(fixed.NONE)
 
 
-def review_sample(keys: DataFrame, n: int = 30, seed: int = 42) -> DataFrame:
-    """Keys (key, confidence, goods, ruled) drawn for a check: up to n in each of two confidence strata, without replacement, weighted by the root of goods.
+def review_sample(keys: DataFrame, n: int = 30, seed: int = 42, within: str = "level1") -> DataFrame:
+    """Keys (within, key, confidence, goods, ruled) drawn for a check: up to n in each of two confidence strata of each category,
+    without replacement, weighted by the root of goods.
 
-    The n smallest of -ln(u) / weight have this law; u comes from a hash of the key, so reruns agree.
+    The n smallest of -ln(u) / weight have this law; u comes from a hash of the key, so reruns agree. The first n of a
+    stratum are found in each task before any exchange.
     """
     rows = keys.where((F.col("confidence") >= fixed.REVIEW_BELOW) & ~F.col("ruled") & (F.col("goods") >= 3)).withColumn("stratum", F.when(F.col("confidence") < 90, 75).otherwise(90))
-    u = (F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(2**52)) + 0.5) / 2**52
-    rows = rows.withColumn("draw", -F.log(u) / F.sqrt("goods"))
-    low, high = (rows.where(F.col("stratum") == s).orderBy("draw", "key").limit(n) for s in (75, 90))  # a top-n for each stratum, no window over all keys
-    return low.unionByName(high).drop("draw")
+    u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), "key")), 1, 13), 16, 10).cast("long") + 0.5) / 2**52
+    first = Window.partitionBy(within, "stratum").orderBy("draw", "key")
+    return rows.withColumn("draw", -F.log(u) / F.sqrt("goods")).withColumn("k", F.row_number().over(first)).where(F.col("k") <= n).drop("draw", "k")
 
 
 def review_state(df: DataFrame) -> Column:
@@ -114,24 +116,27 @@ def ambiguous(df: DataFrame) -> Column:
     return (F.col("confidence") >= 90) & (F.trim(F.coalesce("candidate2", F.lit(""))) != "")
 
 
-def work_list(rows: DataFrame) -> DataFrame:
-    """Adds position and running coverage: by state, the group's largest count, the group, the count, the key.
+def work_list(rows: DataFrame, within: str | None = None) -> DataFrame:
+    """Adds position and running coverage (in each category, if `within` names its column): by state, the group's largest
+    count, the group, the count, the key.
 
-    The running sum goes over one list for people to read; it is partial-summed by (state, group) first, so that the
-    window over everything sees a row for each group.
+    Positions and sums run over ranges of this order, each range in a task of its own; groups give only their largest counts.
     """
     state = F.array_position(F.array(*map(F.lit, fixed.STATE_ORDER)), F.col("state"))
     single = F.col("grp") == ""
     block = F.when(single, F.concat(F.lit("k"), "key")).otherwise(F.concat(F.lit("g"), "grp"))
-    df = rows.withColumns({"o": state, "block": block, "top": F.when(single, F.col("goods")).otherwise(F.max("goods").over(Window.partitionBy("grp")))})
-    blocks = df.groupBy("o", "top", "grp", "block").agg(F.sum("goods").alias("sum"), F.count("*").alias("n"), F.max("goods").alias("most"))
-    order = [F.col("o"), F.desc("top"), F.col("grp"), F.desc("most"), F.col("block")]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumns({"sum_before": F.coalesce(F.sum("sum").over(before), F.lit(0)), "n_before": F.coalesce(F.sum("n").over(before), F.lit(0)), "total": F.sum("sum").over(Window.partitionBy())})
-    inner = Window.partitionBy("o", "block").orderBy(F.desc("goods"), "key").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.join(blocks.select("o", "block", "sum_before", "n_before", "total"), ["o", "block"])
-    covered = (F.col("sum_before") + F.sum("goods").over(inner)) / F.greatest("total", F.lit(1))
-    return df.withColumns({"position": F.col("n_before") + F.count("*").over(inner), "coverage": covered}).select(*rows.columns, "position", "coverage")
+    own = F.coalesce(F.col(within).cast("string"), F.lit("")) if within else F.lit("")
+    df = rows.withColumn("o0", own)
+    tops = df.where("grp <> ''").groupBy("o0", "grp").agg(F.max("goods").alias("__top"))
+    most = df.where("grp <> ''").groupBy("o0", "state", "grp").agg(F.max("goods").alias("__most"))
+    df = df.join(tops, ["o0", "grp"], "left").join(most, ["o0", "state", "grp"], "left")
+    df = df.withColumns({"o1": state, "o2": -F.coalesce("__top", "goods"), "o3": F.col("grp"), "o4": -F.coalesce("__most", "goods"), "o5": block, "o6": -F.col("goods"), "o7": F.col("key")})
+    out = running(df, [f"o{k}" for k in range(8)], "goods", add={"position": "count", "covered": "sum"}).drop("total")
+    before = Window.orderBy("o0").rowsBetween(Window.unboundedPreceding, -1)  # a row for each category
+    per = df.groupBy("o0").agg(F.count("*").alias("n"), F.sum("goods").alias("total"))
+    per = per.select("o0", "total", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "total")))
+    out = out.join(per, "o0").withColumns({"position": F.col("position") - F.col("n_before"), "coverage": (F.col("covered") - F.col("total_before")) / F.greatest("total", F.lit(1))})
+    return out.select(*rows.columns, "position", "coverage")
 
 
 def block_edges(texts: DataFrame, least: int = 70, most: int = 60) -> DataFrame:
@@ -167,8 +172,8 @@ def components(edges: DataFrame) -> DataFrame:
 def cluster_keys(texts: DataFrame) -> DataFrame:
     """(key, grp): groups of alike keys, numbered by size (then first key); keys that stand alone are left out."""
     labels = components(block_edges(texts))
-    sizes = labels.groupBy("root").agg(F.count("*").alias("n")).withColumn("k", F.row_number().over(Window.orderBy(F.desc("n"), "root")))
-    return labels.join(sizes, "root").select("key", F.format_string("G%04d", "k").alias("grp"))
+    sizes, _ = global_row_number(labels.groupBy("root").agg((-F.count("*")).alias("n")), "n", "root")
+    return labels.join(sizes, "root").select("key", F.format_string("G%04d", "row").alias("grp"))
 
 
 def override_sheet(items: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -214,12 +219,22 @@ def triage(merged: DataFrame) -> DataFrame:
 
 
 def import_bundle(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """Log entries from a filled-in bundle; raises for any error, or a decision on a conflict row."""
+    """Log entries from a filled-in bundle, with what the system had said; raises BatchError for any error, a lost key, or a
+    decision on a conflict row, and then nothing of it is recorded."""
     from tagloom.operators.store import BatchError
 
     df = parse_human(rows, parts)
-    decided = F.col("h_decision").isNotNull()
-    bad = df.where(F.col("h_error").isNotNull() | (decided & F.startswith("triage", F.lit("A")))).select("key", F.coalesce("h_error", F.lit("conflict rows must stay blank")).alias("e")).limit(1).collect()
+    filled = F.col("h_decision").isNotNull() | F.col("h_error").isNotNull()
+    error = F.coalesce("h_error", F.when(T.blank(F.col("key")), F.lit(fixed.LOST_KEY)), F.when(F.startswith("triage", F.lit("A")), F.lit(fixed.CONFLICT_ROW)))
+    bad = df.where(filled & error.isNotNull()).select(F.coalesce("key", F.lit("")).alias("key"), error.alias("e")).orderBy("key").limit(20).collect()
     if bad:
-        raise BatchError(f"{bad[0]['key']}: {bad[0]['e']}")
-    return df.where(decided).select(F.lit("brand").alias("scope"), F.col("key").alias("rule_key"), F.col("h_decision").alias("decision"), F.col("h_brand_id").alias("brand_id"), F.col("h_brand_name").alias("brand_name"), F.col("h_reason").alias("nobrand_reason"), F.col("h_note").alias("note"), "raw_brand")
+        raise BatchError("\n".join(f"{r['key']}: {r['e']}" for r in bad))
+    kind = T.outcome_type(F.coalesce("suggested_name", F.lit("")))
+    system_id = F.expr("try_cast(suggested_id as double)").cast("long")
+    agree = (F.col("h_decision") == kind) & ((F.col("h_decision") != fixed.POOL) | F.col("h_brand_id").eqNullSafe(system_id))
+    own = {"expected_log_id": F.coalesce(F.expr("try_cast(rule_version as double)").cast("long"), F.lit(0)) if "rule_version" in rows.columns else None, "goods": F.col("goods").cast("long") if "goods" in rows.columns else None}
+    entries = df.where("h_decision is not null").select(
+        F.lit("brand").alias("scope"), F.trim("key").alias("rule_key"), F.col("h_decision").alias("decision"), F.col("h_brand_id").alias("brand_id"), F.col("h_brand_name").alias("brand_name"), F.col("h_reason").alias("nobrand_reason"),
+        F.col("h_note").alias("note"), "raw_brand", kind.alias("sys_decision"), system_id.alias("sys_brand_id"), agree.cast("int").alias("agree"), *(v.alias(k) for k, v in own.items() if v is not None),
+    )
+    return entries

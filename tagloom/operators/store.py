@@ -62,6 +62,32 @@ def record(log: DataFrame, entries: DataFrame, site: str, level1: str, actor: st
     return log.unionByName(rows.select(*(F.col(c) for c in log.columns if c in rows.columns)), allowMissingColumns=True)
 
 
+def batch_counts(entries: DataFrame) -> tuple[int, int]:
+    """How many entries were recorded, and in how many people agreed with the system."""
+    agree = F.count_if(F.col("agree") == 1) if "agree" in entries.columns else F.lit(0)
+    r = entries.agg(F.count("*").alias("n"), agree.alias("a")).first()
+    return r["n"], r["a"]
+
+
+RUN_COLUMNS = {"run_id": "long", "site": "string", "level1": "string", "ran_at": "timestamp", "goods": "long", "n_keys": "long", "imported": "long", "agreed": "long", "pending_keys": "long", "pending_goods": "long", "pool_goods": "long", "new_goods": "long", "none_goods": "long", "seconds": "double"}
+
+
+def log_run(runs: DataFrame, results: DataFrame, site: str, ran_at: Column, imported: int = 0, agreed: int = 0, seconds: float | None = None) -> DataFrame:
+    """The run log with a row for each category of the results; run ids go on from the last, by category."""
+    key_confidence = F.min_by("confidence", "item_id")
+    keys = results.groupBy("level1", "key").agg(F.count("*").alias("n"), key_confidence.alias("c"), *(F.count_if(F.col("outcome") == kind).alias(name) for name, kind in (("pool", fixed.POOL), ("new", fixed.NEW), ("none", fixed.NONE))))
+    pending = F.coalesce(F.col("c"), F.lit(0)) < fixed.REVIEW_BELOW
+    g = keys.groupBy("level1").agg(
+        F.sum("n").alias("goods"), F.count("*").alias("n_keys"), F.count_if(pending).alias("pending_keys"), F.sum(F.when(pending, F.col("n")).otherwise(0)).alias("pending_goods"),
+        F.sum("pool").alias("pool_goods"), F.sum("new").alias("new_goods"), F.sum("none").alias("none_goods"),
+    )
+    top = runs.agg(F.coalesce(F.max("run_id"), F.lit(0)).alias("m")).first()["m"]
+    number = F.row_number().over(Window.orderBy("level1"))  # a row for each category
+    extra = {"run_id": F.lit(top) + number, "site": F.lit(site), "ran_at": ran_at, "imported": F.lit(imported), "agreed": F.lit(agreed), "seconds": F.lit(seconds)}
+    rows = g.withColumns(extra).select(*(F.col(c).cast(t).alias(c) for c, t in RUN_COLUMNS.items()))
+    return runs.unionByName(rows, allowMissingColumns=True)
+
+
 def alias_priority(source: Column) -> Column:
     out = F.lit(0)
     for name, p in fixed.ALIAS_PRIORITY.items():

@@ -134,6 +134,10 @@ log = lambda s, d: I.derived(s, d, "events", I.LOG)
 runs = lambda s, d: I.derived(s, d, "orders", I.RUNS)
 
 
+def _latest(scope: str, keys: str) -> str:
+    return f"SELECT * FROM {LOG} WHERE scope = '{scope}' QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY log_id DESC) = 1"
+
+
 def index(spark: SparkSession) -> pool.Index:
     return pool.build_index(I.BRANDS.df(spark), I.ALIASES.df(spark), I.LINKS.df(spark))
 
@@ -450,7 +454,7 @@ _NEAR = f"(SELECT p AS a, k AS b FROM {_PROBES} JOIN {_PLAIN} ON substr(p, 1, 1)
 @query(f"SELECT a AS probe, b AS key, round(ratio, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY ratio DESC, b) AS n FROM {s_ratios(_NEAR)} WHERE ratio >= 80) WHERE n <= 3 AND a <> b")
 def match_fuzzy(spark, sf_dir):
     probes = I.table(spark, sf_dir, "part").select(F.concat(F.substring("p_name", 1, 5), F.lit("x"), F.expr("substring(p_name, 7)")).alias("probe"))
-    found = match.similar_keys(probes.select(F.regexp_replace("probe", " ", "").alias("probe")), I.table(spark, sf_dir, "part").select(F.regexp_replace("p_name", " ", "").alias("key")), T.indel_ratio_batch, 80)
+    found = match.similar_keys(probes.select(F.regexp_replace("probe", " ", "").alias("probe")), I.table(spark, sf_dir, "part").select(F.regexp_replace("p_name", " ", "").alias("key")), T.indel_ratio, 80)
     return found.select("probe", "key", F.round("similarity", 6).alias("similarity"))
 
 
@@ -501,6 +505,17 @@ def duplicate_groups(spark, sf_dir):
     return pool.duplicate_groups(ix.parts, ix.links)
 
 
+_NAME_PAIRS = f"(SELECT x.n AS a, y.n AS b FROM {_NAMES} AS x JOIN {_NAMES} AS y ON substr(x.n, 1, 3) = substr(y.n, 1, 3))"
+
+
+@query(f"SELECT a, b, a = b OR (least(length(a), length(b)) >= 3 AND (contains(a, b) OR contains(b, a))) OR ratio >= 85 AS is_close FROM {s_ratios(_NAME_PAIRS)}")
+def names_close(spark, sf_dir):
+    part = I.table(spark, sf_dir, "part")
+    names = part.select(F.regexp_replace("p_name", " ", "").alias("a")).union(part.select(F.concat(F.lit("brand"), F.regexp_extract("p_brand", r"(\d+)", 1)))).distinct().withColumn("c", F.substring("a", 1, 3))
+    pairs = names.join(names.withColumnRenamed("a", "b"), "c").drop("c")
+    return pairs.select("a", "b", pool.names_close(F.col("a"), F.col("b")).alias("is_close"))
+
+
 # --- Decisions --------------------------------------------------------------------------------------------------
 CASES = I.Values(
     {"case_id": "VARCHAR", "raw_brand": "VARCHAR", "title": "VARCHAR", "cat": "VARCHAR", "cat_check": "BOOLEAN"},
@@ -555,12 +570,17 @@ def tag_items(spark, sf_dir):
     return got.select("item_id", "key", T.path_code(F.col("path")).alias("node"), "suggested_id", "new_name", "no_brand_reason", "confidence")
 
 
-@query()
+@query(f"""WITH r AS (SELECT 'B:brand' || substr(rule_key, 3) AS key, decision, brand_id, brand_name FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}')
+SELECT t.item_id, t.key, CASE WHEN decision IS NULL THEN CASE WHEN m IN (1, 2) THEN '{I.NONE}' WHEN m > 4 THEN '{I.NEW}' ELSE l3 END WHEN decision = '{I.POOL}' THEN brand_name ELSE decision END AS suggested_name,
+CASE WHEN decision IS NULL THEN CASE WHEN m IN (1, 2) THEN '0' WHEN m > 4 THEN '' ELSE CAST(100 + no AS VARCHAR) END WHEN decision = '{I.POOL}' THEN CAST(brand_id AS VARCHAR) WHEN decision = '{I.NONE}' THEN '0' ELSE '' END AS suggested_id,
+CASE WHEN decision IS NULL THEN CASE WHEN m > 4 THEN brand ELSE '' END WHEN decision = '{I.NEW}' THEN brand_name ELSE '' END AS new_name, CASE WHEN decision IS NOT NULL THEN '' WHEN m = 1 THEN '{fixed.REASON_WORD}' WHEN m = 2 THEN '{fixed.REASON_COMPATIBLE}' ELSE '' END AS no_brand_reason,
+CASE WHEN decision IS NOT NULL THEN 100 WHEN m = 0 THEN 93 WHEN m = 1 THEN 97 WHEN m = 2 THEN 90 WHEN m = 3 THEN 98 WHEN m = 4 THEN CASE WHEN no < 10 THEN 86 ELSE 33 END ELSE 85 END AS confidence,
+CASE WHEN decision IS NOT NULL THEN '3.1' WHEN m = 0 THEN '2.2' WHEN m = 1 THEN '1.1' WHEN m = 2 THEN '1.2' WHEN m = 3 THEN '1.3' WHEN m = 4 THEN CASE WHEN no < 10 THEN '1.3' ELSE '1.5' END ELSE '1.6' END AS node FROM {_LEAVES} AS t LEFT JOIN r ON r.key = t.key""")
 def tag_with_rules(spark, sf_dir):
     """Every item, with rules from the decision log laid over."""
     rules = store.latest(log(spark, sf_dir), "brand").withColumn("rule_key", F.concat(F.lit("B:brand"), F.expr("substring(rule_key, 3)")))
     got = decide.tag_items(items(spark, sf_dir), part_index(spark, sf_dir), rules)
-    return got.select("item_id", "key", "candidate1", "suggested_name", "suggested_id", "new_name", "no_brand_reason", "confidence", "path")
+    return got.select("item_id", "key", "suggested_name", "suggested_id", "new_name", "no_brand_reason", "confidence", T.path_code(F.col("path")).alias("node"))
 
 
 @query(f"""WITH k AS (SELECT * FROM {s_key(ITEMS, 'brand', 'title', 'item_id')}), f AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY l1, key ORDER BY item_id) = 1),
@@ -581,10 +601,6 @@ def scenario_comparison(spark, sf_dir):
 
 
 # --- Decision log ---------------------------------------------------------------------------------------------------
-def _latest(scope: str, keys: str) -> str:
-    return f"SELECT * FROM {LOG} WHERE scope = '{scope}' QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY log_id DESC) = 1"
-
-
 @query(f"SELECT rule_key, decision, brand_id, brand_name, log_id FROM ({_latest('brand', 'rule_key')}) WHERE decision <> '{fixed.REVOKED}'")
 def latest_rules(spark, sf_dir):
     return store.latest(log(spark, sf_dir), "brand").select("rule_key", "decision", "brand_id", "brand_name", "log_id")
@@ -696,9 +712,10 @@ def parse_human_input(spark, sf_dir):
     return review.parse_human(_SHEET.df(spark), _parts(spark)).select("key", "h_decision", "h_brand_id", "h_brand_name", "h_error")
 
 
-@query()
+@query(f"""WITH k AS (SELECT item_id AS key, level1, confidence, goods, ruled, CASE WHEN confidence < 90 THEN 75 ELSE 90 END AS stratum, -ln((('0x' || substr(md5('42:' || item_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / sqrt(goods) AS draw FROM {RESULTS} WHERE confidence >= 75 AND NOT ruled AND goods >= 3)
+SELECT key, level1, confidence, goods, ruled, stratum FROM k QUALIFY row_number() OVER (PARTITION BY level1, stratum ORDER BY draw, key) <= 30""")
 def review_sample(spark, sf_dir):
-    return review.review_sample(results(spark, sf_dir).select("item_id", F.col("item_id").alias("key"), "confidence", "goods", "ruled"))
+    return review.review_sample(results(spark, sf_dir).select(F.col("item_id").alias("key"), "level1", "confidence", "goods", "ruled"))
 
 
 _STATE = f"CASE WHEN ruled AND agreed THEN '{fixed.STATE_AGREED}' WHEN ruled THEN '{fixed.STATE_FIXED}' WHEN confidence < 75 THEN '{fixed.STATE_PENDING}' WHEN sampled THEN '{fixed.STATE_SAMPLE}' ELSE '{fixed.STATE_AUTO}' END"
@@ -798,6 +815,31 @@ def review_collect(spark, sf_dir):
     return review.collect_decisions(sheet, _parts(spark)).select("rule_key", "decision", "brand_id", "agree")
 
 
+_TYPED_PICK = f"CASE WHEN conflict THEN '' WHEN goods % 3 = 0 THEN 'v' WHEN goods % 3 = 1 THEN '{I.NEW}:Neu ' || key ELSE '' END"
+
+
+@query(f"""SELECT key AS rule_key, CASE WHEN goods % 3 = 1 THEN '{I.NEW}' ELSE {s_type('suggested_name')} END AS decision, CASE WHEN goods % 3 = 1 OR suggested_name = '{I.NEW}' THEN NULL WHEN suggested_name = '{I.NONE}' THEN 0 ELSE CAST(suggested_id AS BIGINT) END AS brand_id,
+CASE WHEN goods % 3 = 1 THEN 'Neu ' || key WHEN suggested_name = '{I.NEW}' THEN '' ELSE suggested_name END AS brand_name, CAST(CASE WHEN goods % 3 = 1 THEN suggested_name = '{I.NEW}' ELSE true END AS INT) AS agree FROM {_MERGED} WHERE NOT conflict AND goods % 3 < 2""")
+def bundle_import(spark, sf_dir):
+    """A bundle in which people have accepted every third row and named a new brand in another third."""
+    merged = review.triage(review.merge_sheets(I.sheets(spark, sf_dir)))
+    typed = F.when(F.startswith("triage", F.lit("A")), "").when(F.col("goods") % 3 == 0, "v").when(F.col("goods") % 3 == 1, F.concat(F.lit(f"{I.NEW}:Neu "), "key")).otherwise("")
+    rows = merged.withColumns({"pick": typed, **{c: F.lit("") for c in ("reason", "note", "candidate1", "candidate2", "candidate3", "raw_brand", "bracket")}})
+    return review.import_bundle(rows, _wide_parts(spark, sf_dir)).select("rule_key", "decision", "brand_id", "brand_name", "agree")
+
+
+@query(f"""WITH r AS (SELECT *, {s_type('suggested_name')} AS outcome FROM {RESULTS}), k AS (SELECT level1, key, count(*) AS n, arg_min(confidence, item_id) AS c, count(*) FILTER (outcome = '{I.POOL}') AS p, count(*) FILTER (outcome = '{I.NEW}') AS w, count(*) FILTER (outcome = '{I.NONE}') AS z FROM r GROUP BY level1, key),
+g AS (SELECT level1, CAST(sum(n) AS BIGINT) AS goods, count(*) AS n_keys, count(*) FILTER (c < 75) AS pending_keys, CAST(coalesce(sum(n) FILTER (c < 75), 0) AS BIGINT) AS pending_goods, CAST(sum(p) AS BIGINT) AS pool_goods, CAST(sum(w) AS BIGINT) AS new_goods, CAST(sum(z) AS BIGINT) AS none_goods FROM k GROUP BY level1)
+SELECT CAST((SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY level1) AS BIGINT) AS run_id, level1, goods, n_keys, pending_keys, pending_goods, pool_goods, new_goods, none_goods FROM g
+UNION ALL SELECT CAST(run_id AS BIGINT), level1, goods, CAST(n_keys AS BIGINT), CAST(pending_keys AS BIGINT), pending_goods, pool_goods, NULL, NULL FROM {RUNS}""")
+def run_log_append(spark, sf_dir):
+    """The run log after a run over all categories."""
+    done = results(spark, sf_dir).withColumn("outcome", T.outcome_type(F.col("suggested_name")))
+    before = runs(spark, sf_dir).withColumns({c: F.col(c).cast("long") for c in ("run_id", "n_keys", "pending_keys")})
+    out = store.log_run(before, done, "site", F.lit(None).cast("timestamp"))
+    return out.select("run_id", "level1", "goods", "n_keys", "pending_keys", "pending_goods", "pool_goods", "new_goods", "none_goods")
+
+
 # --- Analytics -----------------------------------------------------------------------------------------------------------
 @query(f"SELECT {s_type('suggested_name')} AS kind, {s_band('confidence')} AS band, count(*) AS goods, count(*) / (SELECT count(*) FROM {RESULTS}) AS share FROM {RESULTS} GROUP BY 1, 2")
 def type_by_band(spark, sf_dir):

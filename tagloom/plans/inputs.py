@@ -107,19 +107,19 @@ LINKS = Values({"brand_id_a": "BIGINT", "brand_id_b": "BIGINT"}, [(5, 7), (7, 5)
 
 
 #: Strings of the data folder beside the written-out ones: what shops type, as far as the tables have it.
-STRINGS_SQL = f"(SELECT 'v' || case_id AS id, s FROM {TEXTS.sql} UNION ALL SELECT 't' || item_id, title FROM {sql('part', ITEMS)} UNION ALL SELECT 'b' || item_id, brand FROM {sql('part', ITEMS)} UNION ALL SELECT 's' || s_suppkey, s_name FROM supplier UNION ALL SELECT 'c' || c_custkey, c_name FROM customer)"
+STRINGS_SQL = f"(SELECT 'v' || case_id AS id, s FROM {TEXTS.sql} UNION ALL SELECT 't' || item_id, title FROM {sql('part', ITEMS)} UNION ALL SELECT 'b' || item_id, brand FROM {sql('part', ITEMS)} UNION ALL SELECT 's' || s_suppkey, replace(s_name, '#', '') FROM supplier UNION ALL SELECT 'c' || c_custkey, replace(c_name, '#', '') FROM customer)"
 
 #: The written-out brands united with names from the tables.
 WIDE_BRANDS_SQL = f"""(SELECT * FROM {BRANDS.sql} UNION ALL SELECT 100000 + CAST(regexp_extract(p_brand, '(\\d+)', 1) AS BIGINT), p_brand, '', CAST(sum(floor(p_retailprice)) AS DOUBLE) FROM part GROUP BY p_brand
-UNION ALL SELECT 300000 + CAST(min(p_partkey) AS BIGINT), p_name, min(p_type), CAST(max(p_size) AS DOUBLE) FROM part GROUP BY p_name UNION ALL SELECT 1000000 + CAST(s_suppkey AS BIGINT), s_name, '', CAST(s_nationkey AS DOUBLE) FROM supplier
-UNION ALL SELECT 100000000 + CAST(c_custkey AS BIGINT), c_name, c_mktsegment, CAST(c_nationkey AS DOUBLE) FROM customer)"""
+UNION ALL SELECT 300000 + CAST(min(p_partkey) AS BIGINT), p_name, min(p_type), CAST(max(p_size) AS DOUBLE) FROM part GROUP BY p_name UNION ALL SELECT 1000000 + CAST(s_suppkey AS BIGINT), replace(s_name, '#', ''), '', CAST(s_nationkey AS DOUBLE) FROM supplier
+UNION ALL SELECT 100000000 + CAST(c_custkey AS BIGINT), replace(c_name, '#', ''), c_mktsegment, CAST(c_nationkey AS DOUBLE) FROM customer)"""
 
 
 def strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = derived(spark, sf_dir, "part", ITEMS)
     rows = [
         TEXTS.df(spark).selectExpr("concat('v', case_id) as id", "s"), items.selectExpr("concat('t', item_id) as id", "title as s"), items.selectExpr("concat('b', item_id) as id", "brand as s"),
-        table(spark, sf_dir, "supplier").selectExpr("concat('s', s_suppkey) as id", "s_name as s"), table(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey) as id", "c_name as s"),
+        table(spark, sf_dir, "supplier").selectExpr("concat('s', s_suppkey) as id", "replace(s_name, '#', '') as s"), table(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey) as id", "replace(c_name, '#', '') as s"),
     ]
     return functools.reduce(DataFrame.unionByName, rows)
 
@@ -129,7 +129,7 @@ def wide_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [
         BRANDS.df(spark), part.groupBy("p_brand").agg(F.sum(F.floor("p_retailprice")).cast("double").alias("adg")).select((100000 + F.regexp_extract("p_brand", r"(\d+)", 1).cast("long")).alias("brand_id"), F.col("p_brand").alias("name"), F.lit("").alias("category"), "adg"),
         part.groupBy("p_name").agg((300000 + F.min("p_partkey").cast("long")).alias("brand_id"), F.min("p_type").alias("category"), F.max("p_size").cast("double").alias("adg")).withColumnRenamed("p_name", "name"),
-        table(spark, sf_dir, "supplier").selectExpr("1000000 + cast(s_suppkey as long) as brand_id", "s_name as name", "'' as category", "cast(s_nationkey as double) as adg"),
-        table(spark, sf_dir, "customer").selectExpr("100000000 + cast(c_custkey as long) as brand_id", "c_name as name", "c_mktsegment as category", "cast(c_nationkey as double) as adg"),
+        table(spark, sf_dir, "supplier").selectExpr("1000000 + cast(s_suppkey as long) as brand_id", "replace(s_name, '#', '') as name", "'' as category", "cast(s_nationkey as double) as adg"),
+        table(spark, sf_dir, "customer").selectExpr("100000000 + cast(c_custkey as long) as brand_id", "replace(c_name, '#', '') as name", "c_mktsegment as category", "cast(c_nationkey as double) as adg"),
     ]
     return functools.reduce(DataFrame.unionByName, rows)

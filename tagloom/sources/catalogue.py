@@ -79,9 +79,61 @@ def input_stamp(spark: SparkSession, path: str) -> str:
     return f"{total}:{status.getModificationTime()}"
 
 
+def replace_table(df: DataFrame, path: str, *partitions: str) -> None:
+    """Writes df beside the table and then swaps the names, so that readers see the old table or the new one.
+
+    df may be computed from the table itself. A run that dies before the swap leaves the table as it was; one that dies between the two
+    renames leaves the old table under `path__old`, from where the next call or `read_table` brings it back.
+    """
+    spark = df.sparkSession
+    fs, at = _files(spark, path)
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}__new")
+    restore_table(spark, path)
+    if fs.exists(at(path)):
+        fs.rename(at(path), at(f"{path}__old"))
+    fs.rename(at(f"{path}__new"), at(path))
+    fs.delete(at(f"{path}__old"), True)
+
+
+def restore_table(spark: SparkSession, path: str) -> None:
+    """Ends a swap that died half way."""
+    fs, at = _files(spark, path)
+    if fs.exists(at(f"{path}__old")):
+        if fs.exists(at(path)):
+            fs.delete(at(f"{path}__old"), True)
+        else:
+            fs.rename(at(f"{path}__old"), at(path))
+
+
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A table that `replace_table` keeps; empty with the schema if there is none yet."""
+    restore_table(spark, path)
+    fs, at = _files(spark, path)
+    if schema and not fs.exists(at(path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """Spark's file system of a path, and its path type."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def write_items(items: DataFrame, path: str) -> None:
-    """Partitioned by category; the commit protocol makes the replacement atomic."""
-    items.write.mode("overwrite").partitionBy("l1").parquet(path)
+    """Partitioned by category; readers see the old items or the new ones."""
+    replace_table(items, path, "l1")
+
+
+def fresh_items(spark: SparkSession, source: str, cache: str, build) -> DataFrame:
+    """The items in `cache`, rebuilt by build(source rows) where the source's stamp is not the one they were built from."""
+    stamp = input_stamp(spark, source)
+    fs, at = _files(spark, cache)
+    known = spark.read.parquet(f"{cache}__stamp").first()["stamp"] if fs.exists(at(f"{cache}__stamp")) and fs.exists(at(cache)) else None
+    if known != stamp:
+        write_items(build(spark.read.parquet(source)), cache)
+        spark.createDataFrame([(stamp,)], "stamp string").coalesce(1).write.mode("overwrite").parquet(f"{cache}__stamp")
+    return spark.read.parquet(cache)
 
 
 def read_brand_list(spark: SparkSession, path: str, required: tuple[str, ...] = ("brand_id", "brand_name")) -> DataFrame:
@@ -116,6 +168,25 @@ def curated_aliases(rows: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFr
     return df.join(ids, "brand_id", "left_semi").where("alias <> ''"), df.join(ids, "brand_id", "left_anti")
 
 
+def curated(rows: DataFrame, link_rows: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(aliases, links, rejected) of a curated list (alias_text, brand_id, same_as) and a list of links (brand_id_a, brand_id_b), all texts.
+
+    Rows without a text or an id are skipped; ids that are no numbers or not in the pool are rejected with a reason.
+    """
+    ids = pool.select(F.col("brand_id").cast("string").alias("known")).distinct()
+    text = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    valid = lambda df, c: df.join(ids, F.col(c) == F.col("known"), "left").withColumn(f"{c}_ok", F.col("known").isNotNull()).drop("known")
+    a = rows.select(text("alias_text").alias("alias_text"), text("brand_id").alias("a"), text("same_as").alias("b")).where("alias_text <> '' and a <> ''")
+    a = valid(valid(a, "a"), "b")
+    own = valid(valid(link_rows.select(text("brand_id_a").alias("a"), text("brand_id_b").alias("b")), "a"), "b")
+    aliases = a.where("a_ok").select(T.normalize(F.col("alias_text")).alias("alias"), F.col("a").cast("long").alias("brand_id"), F.lit("curated").alias("source")).where("alias <> ''").distinct()
+    both = a.where("a_ok and b <> ''").select("a", "b", "a_ok", "b_ok").unionByName(own)
+    links = both.where("a_ok and b_ok and a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).distinct()
+    why = lambda c: F.concat(F.lit("brand_id "), F.col(c), F.lit(" 不在品牌庫"))
+    rejected = a.where("not a_ok").select("alias_text", why("a").alias("reason")).unionByName(a.where("a_ok and b <> '' and not b_ok").select("alias_text", why("b").alias("reason")))
+    return aliases, links, rejected.unionByName(own.where("not (a_ok and b_ok)").select(F.concat("a", F.lit(" ↔ "), "b").alias("alias_text"), F.lit("brand_id 不在品牌庫").alias("reason")))
+
+
 def read_review_sheet(spark: SparkSession, path: str) -> DataFrame | None:
     """All columns as text; None if there is no sheet."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -144,7 +215,7 @@ def export_items(items: DataFrame, results: DataFrame, categories: list[str] | N
 def slim_export(exported: DataFrame) -> DataFrame:
     """Two halves by row position, without the candidates and with short paths.
 
-    The position comes from counts of equal-sized id ranges, not from one global sort in a task.
+    The position comes from counts of ranges of ids, not from one sort in a task.
     """
     from tagloom.operators.order import global_row_number
 

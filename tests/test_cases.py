@@ -152,5 +152,5 @@ def test_log(spark):
 
 def test_similarity_agrees(spark):
     df = spark.createDataFrame([("brandname", "brandnmae"), ("", ""), ("abc", "xyz"), ("a", ""), ("kitten", "sitting")], "a string, b string")
-    rows = df.select(T.indel_ratio(F.col("a"), F.col("b")).alias("x"), T.indel_ratio_batch("a", "b").alias("y")).collect()
+    rows = df.select(T.indel_ratio(F.col("a"), F.col("b")).alias("x"), T.indel_ratio("a", "b").alias("y")).collect()
     assert all(abs(r["x"] - r["y"]) < 1e-9 for r in rows) and round(rows[4]["x"], 2) == 61.54
