@@ -44,11 +44,20 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", filter_quality), ("n-gram Jaccard join", drop_near_duplicates), ("suffix-array dedup", cut_repeats), ("mixing sources", mix_sources), ("BPE encoding", encode)]
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what a stage returns is written to the shared folder and read again."""
-    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over documents; what a stage returns is written to the shared folder and read again.
+
+    A stage's output goes once the next one's is written. A run in a named folder that has ended early goes on after its
+    last finished stage.
+    """
+    folder = folder or f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = max((k for k in range(len(STAGES)) if files.exists(at(f"{folder}/{k}/_SUCCESS"))), default=-1)
+    docs = spark.read.parquet(f"{folder}/{done}" if done >= 0 else f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if k > done:
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
+            files.delete(at(f"{folder}/{k - 1}"), True)
     return docs
