@@ -138,6 +138,10 @@ def starts(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+#: Edges of a task of connected_components.
+EDGES = 50_000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of edges (u, v), longs; a component's name is one of its nodes.
 
@@ -146,15 +150,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Only aggregates and equi-joins run; no component is gathered anywhere.
     """
     maps = []
-    edges = edges.where("u != v").select("u", "v")
-    while True:
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = checkpointed(edges.where("u != v").select("u", "v"))
+    while n := edges.count():
+        parts = min(most, n // EDGES + 1)  # edges get fewer from round to round, and so do the tasks
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hook = checkpointed(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("to")))
-        if hook.isEmpty():
-            break
+        hook = checkpointed(both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("to")).coalesce(parts))
         maps.append(hook)
         one, two = hook.select(F.col("node").alias("u"), F.col("to").alias("pu")), hook.select(F.col("node").alias("v"), F.col("to").alias("pv"))
-        edges = checkpointed(edges.join(one, "u").join(two, "v").where("pu != pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct())
+        edges = checkpointed(edges.join(one, "u").join(two, "v").where("pu != pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct().coalesce(parts))
     if not maps:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     out = maps[0].select("node", F.col("to").alias("component"))

@@ -7,8 +7,9 @@ leaves a subtree when the lengths that remain cannot reach the threshold.
 
 How it scales: sets of equal content become one class. Shingles travel as packed arrays, hot shingles
 (found by counts within tasks, a list of bounded length) are held back from that exchange. Shingles of
-one class alone take part in nothing after their count. A hot component is split into blocks, and each
-pair of blocks is one task. Nothing emits pairs: a task returns link counts and a spanning forest.
+one class alone take part in nothing after their count. A hot component is split by length, since linked sets are of
+nearly one length, and each length class into blocks; two blocks of one class or of neighbouring ones are a task. Nothing emits
+pairs: a task returns link counts and a spanning forest.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing. Repeated rows are
 rows of one class each. doc_id may be null (then component_id is null unless another member has one).
@@ -35,7 +36,7 @@ FLUSH, CACHE, HOT_LIST, HOT_SHARE = 800_000, 300_000, 100_000, 0.004
 #: Prefix shingles of a bucket in the search for sets that meet.
 STAR_ENTRIES = 400_000
 #: Sets and shingles of a block in the verification.
-BLOCK_SETS, BLOCK_SHINGLES = 4096, 4_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 2048, 4_000_000
 
 
 class _Hashes(dict):
@@ -349,12 +350,22 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -
     classes = rows.where("n > 0").groupBy("sig").agg(F.first("n").alias("size"), F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
     member = active.join(comps.withColumnRenamed("node", "sig"), "sig").join(classes.select("sig", "mult"), "sig")
     member = checkpointed(member.select("component", "sig", "n", "mult", "shared"))
-    sizes = member.groupBy("component").agg(F.count("*").alias("sets"), F.sum(F.length("shared") / 12).alias("entries"))
-    sizes = sizes.select("component", F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("entries") / BLOCK_SHINGLES)).cast("int").alias("m"))
+    # Two linked sets' lengths differ by a factor of 100 / percent at most, so their classes are the same or neighbours.
+    width = math.log(100 / percent) * 1.02 + 1e-6
+    classed = member.select("component", F.floor(F.log("n") / width).alias("c"), F.length("shared").alias("bytes"))
+    blocks_of = lambda n, b: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(b / (12 * BLOCK_SHINGLES))).cast("int")
+    by_class = classed.groupBy("component", "c").agg(F.count("*").alias("sets"), F.sum("bytes").alias("bytes"))
+    sizes = by_class.groupBy("component").agg(blocks_of(F.sum("sets"), F.sum("bytes")).alias("m"), F.collect_list(F.struct("c", blocks_of(F.col("sets"), F.col("bytes")).alias("m"))).alias("all"))
+    one = F.array(F.struct(F.lit(0).cast("long").alias("c"), F.lit(1).alias("m")))
+    sizes = sizes.select("component", (F.col("m") > 1).alias("hot"), F.map_from_entries(F.when(F.col("m") > 1, F.col("all")).otherwise(one)).alias("ms"))
     total = member.agg(F.sum(F.length("shared") / 12).alias("s")).first()["s"] or 0
     bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (BLOCK_SHINGLES / 4)))
-    mine = F.pmod(F.xxhash64("sig"), F.col("m")).cast("int")
-    blocks = member.join(sizes, "component").withColumn("b", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    blocks = member.join(sizes, "component").withColumn("c", F.when(F.col("hot"), F.floor(F.log("n") / width)).otherwise(F.lit(0).cast("long")))
+    number = lambda c, b: c * 2**31 + b
+    blocks = blocks.withColumn("b", number(F.col("c"), F.pmod(F.xxhash64("sig"), F.try_element_at("ms", F.col("c")))))
+    # A set meets the blocks of its own class, of the one below and of the one above.
+    others = F.flatten(F.transform(F.filter(F.map_entries("ms"), lambda e: F.abs(e["key"] - F.col("c")) <= 1), lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda o: number(e["key"], o))))
+    blocks = blocks.withColumn("o", F.explode(others))
     blocks = blocks.select("component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).cast("long").alias("side"), "sig", "n", "mult", "shared")
     blocks = blocks.withColumn("bin", F.pmod(F.xxhash64("component", "i", "j"), F.lit(bins)).cast("int"))
     links = checkpointed(blocks.groupBy("bin").applyInArrow(table_fn(_verify, percent=percent), "sig long, root long, links long"))

@@ -77,6 +77,16 @@ def test_jaccard_join_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == linked(rows)
 
 
+def test_jaccard_join_of_one_hot_component(spark, monkeypatch):
+    """Sets of many lengths that all share rare shingles: blocks of neighbouring length classes find every link."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 4)
+    r = random.Random(13)
+    base = [str(r.random()) for _ in range(400)]
+    rows = [(k, " ".join(base[: r.randrange(8, 400)] + [str(k)] * r.randrange(2)), "x", None) for k in range(70)]
+    got = jaccard_join.ngram_jaccard_join(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=repr) == linked(rows)
+
+
 def test_one_row_of_each_component(spark):
     """Null ids stay, copies of one id become one row, and an id with two texts keeps only what is first of its group."""
     r = random.Random(11)
