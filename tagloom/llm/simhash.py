@@ -9,8 +9,8 @@ combined on the map side and no text takes part in a shuffle for them.
 blocks that must agree if at most `radius` of them differ there is a table keyed by those blocks' bits. Equal
 fingerprints are looked up once.
 
-The next document comes from ranges of doc_id with bounded rows (cut points by quantiles), sorted one by one; only
-the first row of each range is looked up apart. Null texts are empty. Null doc_ids come last in the descending order;
+The next document comes from ranges of doc_id (cut points by quantiles; rows without an id by their text's hash), sorted
+one by one; only the first row of each range is looked up apart. Null texts are empty. Null doc_ids come last in the descending order;
 rows with equal doc_id are ordered by a hash of their text. One row alone is its own next document.
 """
 
@@ -71,13 +71,15 @@ def likeness(a: Column, b: Column) -> Column:
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, __th) with next_id, next_text, next_th: the next row in descending doc_id, after the last the first."""
-    stats = docs.agg(F.count("*").alias("n")).first()["n"]
-    ranges = max(1, min(RANGES, stats // RANGE))
+    stats = docs.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    ranges = max(1, min(RANGES, stats["n"] // RANGE))
+    null_ranges = max(1, min(RANGES, stats["nulls"] // RANGE))
     cuts = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)] or [0.5], 20_000).alias("c")).first()["c"] or []
     cuts = sorted({c for c in cuts if c is not None})
     spots = F.array(*map(F.lit, cuts)).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
-    # Range 0 holds the nulls, the others the ids from one cut point to the next.
-    docs = docs.withColumn("__r", F.when(F.col("doc_id").isNull(), 0).otherwise(_position(spots, F.col("doc_id"), len(cuts)) + 1))
+    # Ranges from 0 down hold the nulls by their texts' hashes, the others the ids from one cut point to the next.
+    part = F.least(F.floor((F.col("__th") / 2.0**64 + 0.5) * null_ranges), F.lit(null_ranges - 1)).cast("int")
+    docs = docs.withColumn("__r", F.when(F.col("doc_id").isNull(), -part).otherwise(_position(spots, F.col("doc_id"), len(cuts)) + 1))
     inner = Window.partitionBy("__r").orderBy(F.col("doc_id").desc_nulls_last(), "__th")
     lead = docs.select("*", *(F.lead(c).over(inner).alias(n) for c, n in (("doc_id", "next_id"), ("text", "next_text"), ("__th", "next_th"))), F.lead(F.lit(True)).over(inner).alias("__more"))
     done = lead.where("__more").drop("__more")
@@ -141,12 +143,13 @@ def simhash_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return out.select("doc_id", "n_chars", "edited_sha256", hex64(F.col("own")).alias("fingerprint"), hex64(F.col("edited")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"), count.alias("n_within"))
 
 
-def within_radius(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, queries: Column | None = None) -> DataFrame:
-    """(own, n_rows): for each queried fingerprint, the rows within the radius, itself included.
+def near_pairs(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, queries: Column | None = None) -> DataFrame:
+    """(own, found, distance, w): for each queried fingerprint every fingerprint within the radius, itself included, with the
+    rows that have it.
 
     rows: own (fingerprint), doc_id, __rows (how many rows this one stands for). By default the query set is every
-    doc_id divisible by 100. A pair within the radius agrees on some choice of blocks; it is counted in the first
-    choice it agrees on, so pairs are neither kept nor made distinct.
+    doc_id divisible by 100. A pair within the radius agrees on some choice of blocks; it comes from the first
+    choice it agrees on, so pairs need not be made distinct.
     """
     if radius >= blocks:
         raise ValueError("more blocks than the radius are needed")
@@ -163,4 +166,26 @@ def within_radius(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, q
     x = F.col("a").bitwiseXOR(F.col("b"))
     first = F.coalesce(*(F.when(x.bitwiseAND(F.lit(m)) == 0, F.lit(k)) for k, m in enumerate(masks)))
     hits = left.join(right, ["k", "key"]).where((F.bit_count(x) <= radius) & (first == F.col("k")))
-    return hits.groupBy(F.col("a").alias("own")).agg(F.sum("w").alias("n_rows"))
+    return hits.select(F.col("a").alias("own"), F.col("b").alias("found"), F.bit_count(x).alias("distance"), "w")
+
+
+def within_radius(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, queries: Column | None = None) -> DataFrame:
+    """(own, n_rows): for each queried fingerprint, the rows within the radius, itself included."""
+    return near_pairs(rows, radius, blocks, queries).groupBy("own").agg(F.sum("w").alias("n_rows"))
+
+
+def near_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """Near documents as pairs of fingerprints and membership, so that copies are not expanded into all pairs.
+
+    (fingerprint, found, distance) for the fingerprints of rows whose doc_id is divisible by 100, against all; and
+    (doc_id, fingerprint) of every row. Joined on `found`, the second gives the documents. Repeated rows are members each.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("__th"), term_hashes(F.col("text")).alias("__t"))
+    votes = keyed.select("doc_id", "__th", F.posexplode("__t").alias("p", "t"))
+    one = votes.groupBy("doc_id", "__th").agg(F.count("t").alias("__n"), F.count_if(F.col("p") == 0).alias("__rows"), *(s.alias(f"__s{k}") for k, s in enumerate(_votes(F.col("t")))))
+    bits = F.when(F.col("__n") == 0, F.lit(0).cast("long")).otherwise(_bits([F.col(f"__s{k}") for k in range(32)], F.col("__n")))
+    own = checkpointed(one.select("doc_id", "__rows", bits.alias("own")))
+    pairs = near_pairs(own, radius).select(hex64(F.col("own")).alias("fingerprint"), hex64(F.col("found")).alias("found"), "distance")
+    members = own.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__rows")))).select("doc_id", hex64(F.col("own")).alias("fingerprint"))
+    return pairs, members

@@ -254,6 +254,28 @@ def test_simhash_of_odd_rows(spark):
     assert one["near_next"] == 1.0
 
 
+def test_near_documents(spark, monkeypatch):
+    """Pairs of fingerprints with membership give the documents within the radius; copies are members, not pairs."""
+    rows = corpus(8) + [(700, "copy of one text", "x", None)] * 3
+    pairs, members = simhash.near_documents(frame(spark, rows), radius=3)
+    got = pairs.join(members.withColumnsRenamed({"fingerprint": "found", "doc_id": "near"}), "found").join(members, "fingerprint").where("doc_id % 100 = 0")
+    own = [(r[0], simhash_by_hand(r[1] or "")) for r in rows]
+    want = sorted((i, j, (a ^ b).bit_count()) for i, a in own if i % 100 == 0 for j, b in own if (a ^ b).bit_count() <= 3)
+    assert sorted((r["doc_id"], r["near"], r["distance"]) for r in got.collect()) == want
+
+
+def test_rows_without_ids_are_in_ranges(spark, monkeypatch):
+    """Many rows without an id: ordered by their texts' hashes after all ids, in several ranges."""
+    monkeypatch.setattr(simhash, "RANGE", 15)
+    r = random.Random(10)
+    rows = [(None if k % 2 else k, " ".join(str(r.random()) for _ in range(9)), "x", None) for k in range(120)]
+    found = simhash.with_next(frame(spark, rows).select("doc_id", "text").withColumn("__th", F.xxhash64("text"))).collect()
+    order = sorted(found, key=lambda x: (x["doc_id"] is None, -(x["doc_id"] or 0), x["__th"]))
+    assert len(order) == 120
+    for a, b in zip(order, [*order[1:], order[0]], strict=True):
+        assert (a["next_id"], a["next_th"], a["next_text"]) == (b["doc_id"], b["__th"], b["text"])
+
+
 def test_radius_against_all_pairs(spark):
     r = random.Random(9)
     base = [r.getrandbits(64) for _ in range(12)]
