@@ -180,7 +180,8 @@ def judged(counted: DataFrame, cutoffs: DataFrame, lang_col: str = "lang") -> Da
         table = F.broadcast(table)  # else Catalyst shuffles, and splits the partitions of common languages
     out = counted.join(table, stratum(F.col(lang_col)) == F.col("__stratum"), "left")
     fails = functools.reduce(lambda a, b: a | b, (F.coalesce(measure(r) > F.col(f"__cut_{r}"), F.lit(False)) for r in MEASURES))
-    return out.withColumn("__kept", ~base_failed() & ~fails).drop("__stratum", *(f"__cut_{r}" for r in MEASURES))
+    # One comparison of both parts: a filter on it needs both sides of the join, and so is never pushed below the measures, which it would repeat.
+    return out.withColumn("__kept", F.greatest(base_failed().cast("int"), fails.cast("int")) == 0).drop("__stratum", *(f"__cut_{r}" for r in MEASURES))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -192,8 +193,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of docs that pass, with their columns, whatever these are called. Measures are taken once, and kept beside the rows."""
-    slim = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("__text"))
-    counted = checkpointed(measured(slim, F.col("__text")).drop("__text"))
-    cutoffs = learn_cutoffs(counted.drop("row"), labels.select(F.col(id_col).alias("doc_id"), "quality"))
-    return judged(counted, cutoffs).where("__kept").select("row.*")
+    """The rows of docs that pass, with their columns, whatever these are called.
+
+    The labelled rows are measured for the cutoffs, and all rows once more as they are filtered; texts are not written in between.
+    """
+    own = [F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("__text")]
+    marked = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("doc_id"), "quality")
+    taught = docs.select(*own).join(marked.select("doc_id").distinct(), "doc_id", "left_semi")
+    cutoffs = learn_cutoffs(checkpointed(measured(taught, F.col("__text")).drop("__text")), marked)
+    rows = measured(docs.select(F.struct(*docs.columns).alias("row"), *own), F.col("__text"))
+    return judged(rows, cutoffs).where("__kept").select("row.*")
