@@ -324,7 +324,7 @@ def _clean(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
                 at = y
             keep.append(data[at:])
             rows.append(text if text is None else b"".join(keep).decode("utf-8", "surrogatepass"))
-        yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(rows, pa.string())], [*b.schema.names[:-3], "__clean"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(rows, pa.string())], [*b.schema.names[:-3], "clean"])
 
 
 def dedup_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
@@ -334,15 +334,17 @@ def dedup_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     _, lists = _repeats(slim, length)
-    key = docs.mapInArrow(functools.partial(_with_key, id_col=id_col, text_col=text_col), T.StructType([*docs.schema.fields, T.StructField("__doc", T.LongType()), T.StructField("__th", T.LongType())]))
-    lists = lists.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), F.col("gone").alias("__gone"), F.col("late").alias("__late"))
-    joined = key.join(lists, ["__doc", "__th"], "left").select(*docs.columns, F.col(text_col).cast("string").alias("__text"), "__gone", "__late")
-    out = joined.mapInArrow(functools.partial(_clean, length=length), T.StructType([*docs.schema.fields, T.StructField("__clean", T.StringType())]))
-    return out.select(*(F.col("__clean").alias(text_col) if c == text_col else F.col(c) for c in docs.columns))
+    # The input's columns go by their numbers, so that no name of theirs can clash.
+    number = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    rows = docs.select(*(F.col(c).alias(n) for c, n in number.items()))
+    key = rows.mapInArrow(functools.partial(_with_key, id_col=number[id_col], text_col=number[text_col]), T.StructType([*rows.schema.fields, T.StructField("doc", T.LongType()), T.StructField("th", T.LongType())]))
+    joined = key.join(lists, ["doc", "th"], "left").select(*number.values(), F.col(number[text_col]).cast("string").alias("text"), "gone", "late")
+    out = joined.mapInArrow(functools.partial(_clean, length=length), T.StructType([*rows.schema.fields, T.StructField("clean", T.StringType())]))
+    return out.select(*(F.col("clean" if c == text_col else n).alias(c) for c, n in number.items()))
 
 
 def _with_key(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         at = b.schema.names.index
         keys = [(d, t) for d, t, _ in _documents(iter([b.select([at(id_col), at(text_col)])]))]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())], [*b.schema.names, "__doc", "__th"])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())], [*b.schema.names, "doc", "th"])
