@@ -122,12 +122,17 @@ def tag(cases: DataFrame, index: Index) -> DataFrame:
     c = checkpointed(c.withColumn("early", early))
     texts = c.where("rb <> '' and early is null").select(F.col("rb").alias("s")).unionByName(c.where("bracket <> ''").select(F.col("bracket").alias("s"))).distinct()
     found = checkpointed(M.match(texts, index))
-    case = lambda s, comp, scale, odd: [F.col("case_id"), F.col(s).alias("s"), F.col(comp).alias("comp"), "cat", "cat_check", F.lit(scale).alias("scale"), odd.alias("odd")]
-    by_brand = best(c.where("rb <> '' and early is null").select(*case("rb", "rb_n", 1.0, F.lit(False))), found.select("s", *CANDIDATE), index)
-    # A bracket that does not read like a brand counts only where it is one exactly.
-    by_bracket = best(c.where("rb = '' and bracket <> '' and early is null").select(*case("bracket", "br_n", 0.95, F.col("br_why").isNotNull())), found.select("s", *CANDIDATE), index)
+    # A case is decided by its brand text, or by its bracket if it has none. A bracket that does not read like a brand counts only where it is one exactly.
+    has = F.col("rb") != ""
+    one = lambda brand, bracket: F.when(has, brand).otherwise(bracket)
+    cases = c.where("early is null and (rb <> '' or bracket <> '')").select(
+        "case_id", one(F.col("rb"), F.col("bracket")).alias("s"), one(F.col("rb_n"), F.col("br_n")).alias("comp"), "cat", "cat_check", one(F.lit(1.0), F.lit(0.95)).alias("scale"), (~has & F.col("br_why").isNotNull()).alias("odd"),
+    )
+    found_here = best(cases, found.select("s", *CANDIDATE), index)
     strong_brackets = found.where(F.col("score") >= 95).groupBy(F.col("s").alias("bracket")).agg(F.collect_set("brand_id").alias("bracket_ids"))
-    out = checkpointed(c.join(_named(by_brand, "a"), "case_id", "left").join(_named(by_bracket, "b"), "case_id", "left").join(strong_brackets, "bracket", "left"))
+    sides = [F.when(side, F.col(f"x_{k}")).alias(f"{p}_{k}") for p, side in (("a", has), ("b", ~has)) for k in found_here.columns if k != "case_id"]
+    out = c.join(_named(found_here, "x"), "case_id", "left").select(*(F.col(k) for k in c.columns), *sides)
+    out = checkpointed(out.join(strong_brackets, "bracket", "left"))
     to_scan = out.where("rb = '' and early is null and b_pick is null and not (bracket <> '' and br_why is null) and not t_compat and not t_access").select("case_id", F.col("t").alias("s"), T.normalize(F.col("t")).alias("comp"), "cat", "cat_check", F.lit(1.0).alias("scale"), F.lit(False).alias("odd"))
     scanned = M.scan_titles(to_scan.select("s"), index).where(T.distinctive(F.col("alias")))
     out = out.join(_named(best(to_scan, scanned.select("s", *CANDIDATE), index), "d"), "case_id", "left")
