@@ -8,8 +8,9 @@ leaves a subtree when the lengths that remain cannot reach the threshold.
 How it scales: sets of equal content become one class. Shingles travel as packed arrays, hot shingles
 (found by counts within tasks, a list of bounded length) are held back from that exchange. Shingles of
 one class alone take part in nothing after their count. A hot component is split by length, since linked sets are of
-nearly one length, and each length class into blocks; two blocks of one class or of neighbouring ones are a task. Nothing emits
-pairs: a task returns link counts and a spanning forest.
+nearly one length, and each length class into blocks by the sets' smallest shingle, which near copies mostly share. Two
+blocks of one class or of neighbouring ones are a task if a prefix shingle occurs in both; others never meet. Nothing
+emits pairs of sets: a task returns link counts and a spanning forest.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing. Repeated rows are
 rows of one class each. doc_id may be null (then component_id is null unless another member has one).
@@ -175,8 +176,8 @@ def _activate(table: pa.Table, percent: int) -> pa.Table:
             size = int(n[a])
             prefix = size - -(-percent * size // 100) + 1 - (size - (z - a))
             if prefix > 0:
-                out.append((int(sig[a]), size, min(int(prefix), z - a), pack(tokens[a:z], df[a:z])))
-    return pa.Table.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["sig", "n", "prefix", "shared"])
+                out.append((int(sig[a]), size, min(int(prefix), z - a), int(tokens[a:z].min().view(np.int64)), pack(tokens[a:z], df[a:z])))
+    return pa.Table.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["sig", "n", "prefix", "mark", "shared"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -238,6 +239,33 @@ def _stars(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
 
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks that hold each prefix shingle, once for a batch."""
+    for b in slices(batches):
+        heads = [unpack(s, np.uint64, np.uint32)[0][:p] for p, s in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+        if not heads:
+            continue
+        runs = [len(h) for h in heads]
+        comp, c, block = (np.repeat(b.column(k).to_numpy(), runs) for k in range(3))
+        token = np.concatenate(heads).view(np.int64)
+        order = np.lexsort((block, c, token, comp))
+        once = order[starts(comp[order], token[order], c[order], block[order])]
+        yield pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (comp, token, c, block)], ["component", "token", "c", "b"])
+
+
+def _meetings(hot: DataFrame) -> DataFrame:
+    """(component, b, o): the blocks of hot components that can hold linked sets, both ways, a block and itself included.
+
+    Linked sets share a prefix shingle and lie in one length class or in neighbouring ones. Shingles that occur in the
+    same blocks are taken as one, so the pairs of blocks are listed once for each list of blocks and not for each shingle.
+    """
+    held = hot.select("component", "c", "b", "prefix", "shared").mapInArrow(_holders, "component long, token long, c long, b long").distinct()
+    lists = held.groupBy("component", "token").agg(F.array_sort(F.collect_list(F.struct("c", "b"))).alias("all")).select("component", "all").distinct()
+    each = lists.select("component", "all", F.explode("all").alias("one"))
+    near = F.filter("all", lambda o: F.abs(o["c"] - F.col("one.c")) <= 1)
+    return each.select("component", F.col("one.b").alias("b"), F.explode(F.transform(near, lambda o: o["b"])).alias("o")).distinct()
+
+
 class _Trie:
     """Path-compressed trie of sorted rank arrays; node k has its edge's ranks, children and the sets that end there."""
 
@@ -329,6 +357,20 @@ def _verify(table: pa.Table, percent: int) -> pa.Table:
     return pa.Table.from_arrays([cat(out_sig), cat(out_root), cat(out_links)], ["sig", "root", "links"])
 
 
+def _dealt(slim: DataFrame) -> DataFrame:
+    """(sig, component, n, mult, c, hot, b): sets of components that fit a task have block 0, the others one of bounded size."""
+    blocks_of = lambda sets, b: F.greatest(F.ceil(F.sum(sets) / BLOCK_SETS), F.ceil(F.sum(b) / (12 * BLOCK_SHINGLES))).cast("long")
+    per_class = slim.groupBy("component", "c").agg(F.count("*").alias("sets"), F.sum("bytes").alias("bytes"))
+    hot = per_class.groupBy("component").agg(blocks_of("sets", "bytes").alias("all")).where("all > 1").select("component")
+    classes = per_class.join(hot, "component").groupBy("component", "c").agg(blocks_of("sets", "bytes").alias("m"))
+    near = slim.join(classes, ["component", "c"], "left").withColumn("near", F.pmod(F.xxhash64("mark"), "m")).drop("m")
+    # Sets with one smallest shingle may be many: what is too much for a block is split by signature.
+    parts = near.where("near is not null").groupBy("component", "c", "near").agg(blocks_of(F.lit(1), "bytes").alias("parts"))
+    out = near.join(parts, ["component", "c", "near"], "left")
+    block = F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("c", "near", F.pmod(F.xxhash64("sig"), "parts")))
+    return out.select("sig", "component", "n", "mult", "c", F.col("parts").isNotNull().alias("hot"), block.alias("b"))
+
+
 def _linked(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, sig, text_hash) of every row, and (sig, component, component_id, n_links) of every set but the empty one."""
     spark = docs.sparkSession
@@ -341,31 +383,22 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -
     hot, hot_df = np.array([x[0] for x in listed], np.uint64), np.array([max(2, x[1]) for x in listed], np.uint32)
 
     shared = packed_exchange(docs, functools.partial(_spread, n=n, buckets=buckets, hot=hot, hot_df=hot_df), table_fn(_count, buckets=buckets), "bucket int, payload binary")
-    active = checkpointed(shared.groupBy("bucket").applyInArrow(table_fn(_activate, percent=percent), "sig long, n long, prefix int, shared binary"))
+    active = checkpointed(shared.groupBy("bucket").applyInArrow(table_fn(_activate, percent=percent), "sig long, n long, prefix int, mark long, shared binary"))
     # Few large buckets: each returns an edge for a set at most, so edges stay in proportion to the sets.
     few = (active.agg(F.sum("prefix").alias("p")).first()["p"] or 0) // STAR_ENTRIES + 1
     stars = packed_exchange(active.select("sig", "prefix", "shared"), functools.partial(_prefixes, buckets=few), table_fn(_stars), "u long, v long")
     comps = connected_components(stars.distinct())
 
     classes = rows.where("n > 0").groupBy("sig").agg(F.first("n").alias("size"), F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
-    member = active.join(comps.withColumnRenamed("node", "sig"), "sig").join(classes.select("sig", "mult"), "sig")
-    member = checkpointed(member.select("component", "sig", "n", "mult", "shared"))
+    slim = active.select("sig", "n", "mark", F.length("shared").alias("bytes")).join(comps.withColumnRenamed("node", "sig"), "sig").join(classes.select("sig", "mult"), "sig")
     # Two linked sets' lengths differ by a factor of 100 / percent at most, so their classes are the same or neighbours.
     width = math.log(100 / percent) * 1.02 + 1e-6
-    classed = member.select("component", F.floor(F.log("n") / width).alias("c"), F.length("shared").alias("bytes"))
-    blocks_of = lambda n, b: F.greatest(F.ceil(n / BLOCK_SETS), F.ceil(b / (12 * BLOCK_SHINGLES))).cast("int")
-    by_class = classed.groupBy("component", "c").agg(F.count("*").alias("sets"), F.sum("bytes").alias("bytes"))
-    sizes = by_class.groupBy("component").agg(blocks_of(F.sum("sets"), F.sum("bytes")).alias("m"), F.collect_list(F.struct("c", blocks_of(F.col("sets"), F.col("bytes")).alias("m"))).alias("all"))
-    one = F.array(F.struct(F.lit(0).cast("long").alias("c"), F.lit(1).alias("m")))
-    sizes = sizes.select("component", (F.col("m") > 1).alias("hot"), F.map_from_entries(F.when(F.col("m") > 1, F.col("all")).otherwise(one)).alias("ms"))
-    total = member.agg(F.sum(F.length("shared") / 12).alias("s")).first()["s"] or 0
+    slim = checkpointed(slim.withColumn("c", F.floor(F.log("n") / width)))
+    total = slim.agg(F.sum(F.col("bytes") / 12).alias("s")).first()["s"] or 0
     bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (BLOCK_SHINGLES / 4)))
-    blocks = member.join(sizes, "component").withColumn("c", F.when(F.col("hot"), F.floor(F.log("n") / width)).otherwise(F.lit(0).cast("long")))
-    number = lambda c, b: c * 2**31 + b
-    blocks = blocks.withColumn("b", number(F.col("c"), F.pmod(F.xxhash64("sig"), F.try_element_at("ms", F.col("c")))))
-    # A set meets the blocks of its own class, of the one below and of the one above.
-    others = F.flatten(F.transform(F.filter(F.map_entries("ms"), lambda e: F.abs(e["key"] - F.col("c")) <= 1), lambda e: F.transform(F.sequence(F.lit(0), e["value"] - 1), lambda o: number(e["key"], o))))
-    blocks = blocks.withColumn("o", F.explode(others))
+    member = checkpointed(active.drop("n", "mark").join(_dealt(slim), "sig"))
+    hot = member.where("hot")
+    blocks = member.where("not hot").withColumn("o", F.col("b")).unionByName(hot.join(_meetings(hot), ["component", "b"]))
     blocks = blocks.select("component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), F.when(F.col("b") <= F.col("o"), 0).otherwise(1).cast("long").alias("side"), "sig", "n", "mult", "shared")
     blocks = blocks.withColumn("bin", F.pmod(F.xxhash64("component", "i", "j"), F.lit(bins)).cast("int"))
     links = checkpointed(blocks.groupBy("bin").applyInArrow(table_fn(_verify, percent=percent), "sig long, root long, links long"))

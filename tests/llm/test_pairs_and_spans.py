@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -87,6 +88,30 @@ def test_jaccard_join_of_one_hot_component(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == linked(rows)
 
 
+def test_jaccard_join_of_a_chain(spark, monkeypatch):
+    """A chain of groups is one component; blocks meet only where they share a shingle, and every link is found."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 5)
+    r = random.Random(17)
+    word = lambda: str(r.random())
+    bridges = [[word() for _ in range(5)] for _ in range(13)]
+    rows = []
+    for g in range(12):
+        base = [word() for _ in range(60)]
+        ends = [bridges[g], bridges[g + 1], [word()], [], [word(), word()], base[:2]]  # rare shingles, shared with the groups beside
+        rows += [(len(rows) + k, " ".join(base + e), "x", None) for k, e in enumerate(ends)]
+    got = jaccard_join.ngram_jaccard_join(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=repr) == linked(rows)
+
+
+def test_blocks_meet_where_they_share(spark):
+    """Blocks 1 to 4 of a chain meet their neighbours, not all others; far length classes do not meet."""
+    packed = lambda *t: bytearray(jaccard_join.pack(np.array(t, np.uint64), np.ones(len(t), np.uint32)))
+    held = [(1, 0, 1, 2, packed(10, 11, 13)), (1, 0, 2, 2, packed(11, 12)), (1, 0, 2, 1, packed(12, 13)), (1, 1, 3, 2, packed(12, 13)), (1, 3, 4, 2, packed(13, 14)), (2, 0, 1, 1, packed(10))]
+    hot = spark.createDataFrame(held, "component long, c long, b long, prefix int, shared binary")
+    got = {tuple(x) for x in jaccard_join._meetings(hot).collect()}
+    assert got == {(1, 1, 1), (1, 1, 2), (1, 2, 1), (1, 2, 2), (1, 2, 3), (1, 3, 2), (1, 3, 3), (1, 4, 4), (2, 1, 1)}
+
+
 def test_one_row_of_each_component(spark):
     """Null ids stay, copies of one id become one row, and an id with two texts keeps only what is first of its group."""
     r = random.Random(11)
