@@ -30,10 +30,12 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; set here only where it is unset, as in tests."""
+    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset and Spark runs in one process."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="checkpoints-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)

@@ -310,3 +310,15 @@ def test_radius_against_all_pairs(spark):
     for radius in (0, 2, 3):
         got = {x["own"]: x["n_rows"] for x in simhash.within_radius(df, radius, radius + 2, F.lit(True)).collect()}
         assert got == {v: sum(m for _, u, m in rows if ((u ^ v) & (1 << 64) - 1).bit_count() <= radius) for _, v, _ in rows}
+
+
+def test_no_temporary_folder_on_a_cluster():
+    """A machine's own folder serves only Spark in one process."""
+    from types import SimpleNamespace
+
+    from tagloom.llm.common import shared_folder
+
+    conf = SimpleNamespace(get=lambda name, default: default)
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None)))
