@@ -190,3 +190,14 @@ def test_ranges_split_common_beginnings(spark, monkeypatch):
     assert n == 4000 and got.where(F.col("row") != F.substring("k", 5, 8).cast("long") + 1).count() == 0
     out = order.running(df, ["goods", "k"], "goods", add={"rank": "count", "sum": "sum"})
     assert out.where("rank <> sum or total <> 4000").count() == 0 and out.agg(F.max("rank")).first()[0] == 4000
+
+
+def test_no_temporary_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tagloom.plans.session import checkpointed
+
+    conf = SimpleNamespace(get=lambda name, default: default)
+    session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpointed(SimpleNamespace(sparkSession=session))
